@@ -54,9 +54,10 @@ def days_between(spark: SparkSession, first: dt.date = FIRST_DAY, last: dt.date
 
 
 def days_of(facts: DataFrame, date: str = "date") -> DataFrame:
-    """Every day from the first to the last date of a fact table."""
-    bounds = facts.agg(F.min(date).alias("first"), F.max(date).alias("last"))
-    return bounds.select(F.explode(F.sequence("first", "last")).alias("date"))
+    """Every day from the first to the last date of a fact table. The two dates
+    are fetched, so that no later step reads the facts again."""
+    bounds = facts.agg(F.min(date).alias("first"), F.max(date).alias("last")).first()
+    return days_between(facts.sparkSession, bounds["first"], bounds["last"])
 
 
 def calendar_columns(date: Column) -> list[Column]:
@@ -71,13 +72,23 @@ def calendar_columns(date: Column) -> list[Column]:
     ]
 
 
-def _rule_date(rule: str, a: int, b: int | None, year: Column, easter: Column) -> Column:
-    if rule == "fixed":
-        return F.make_date(year, F.lit(a), F.lit(b))
-    if rule == "easter":
-        return F.date_add(easter, a)
-    limit = F.make_date(year, F.lit(a), F.lit(b))
-    return F.date_sub(limit, (F.weekday(limit) + 4) % 7 + 1)
+def _rule_table(states: Sequence[str]) -> Column:
+    """The rules of the given states as one constant array."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("holiday_name"),
+                F.array(*[F.lit(s) for s in in_states if s in states]).alias("states"),
+                F.lit(rule).alias("rule"),
+                F.lit(a).alias("a"),
+                F.lit(b or 0).alias("b"),
+                F.lit(since or 0).alias("since"),
+                F.lit(until or 9999).alias("until"),
+            )
+            for name, in_states, rule, a, b, since, until in HOLIDAY_RULES
+            if set(in_states) & set(states)
+        ]
+    )
 
 
 def holidays(days: DataFrame, states: Sequence[str], extra: DataFrame | None = None) -> DataFrame:
@@ -88,23 +99,17 @@ def holidays(days: DataFrame, states: Sequence[str], extra: DataFrame | None = N
     school breaks; it yields to the rules.
     """
     years = with_easter(days.select(F.year("date").alias("year")).distinct())
-    year, easter = F.col("year"), F.col("easter")
-    entries = [
-        F.struct(
-            F.array(*[F.lit(s) for s in in_states if s in states]).cast("array<string>").alias("states"),
-            F.lit(name).alias("holiday_name"),
-            F.when(
-                year.between(F.lit(since or 0), F.lit(until or 9999)), _rule_date(rule, a, b, year, easter)
-            ).alias("date"),
-            F.lit(1 if rule == "easter" else 0).alias("priority"),
-        )
-        for name, in_states, rule, a, b, since, until in HOLIDAY_RULES
-        if set(in_states) & set(states)
-    ]
-    found = (
-        years.select(F.inline(F.array(*entries)))
-        .filter(F.col("date").isNotNull())
-        .select(F.explode("states").alias("state"), "date", "holiday_name", "priority")
+    rule, moving = F.col("rule"), F.col("rule") == "easter"
+    day = F.make_date("year", F.when(moving, 1).otherwise(F.col("a")), F.when(moving, 1).otherwise(F.col("b")))
+    dated = years.select("year", "easter", F.inline(_rule_table(states))).filter("year between since and until")
+    found = dated.select(
+        F.explode("states").alias("state"),
+        F.when(moving, F.date_add("easter", F.col("a")))
+        .when(rule == "fixed", day)
+        .otherwise(F.date_sub(day, (F.weekday(day) + 4) % 7 + 1))
+        .alias("date"),
+        "holiday_name",
+        moving.cast("int").alias("priority"),
     )
     if extra is not None:
         found = found.unionByName(

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from demandkit.operators.grain import PAIR, TARGET
+from demandkit.operators.template import future_template
 
 #: Categories up to this many values become indexed tree categories; wider ones
 #: become their mean target.
@@ -156,10 +157,10 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows).select(*PAIR, "date", "split", TARGET, "forecast")
 
 
-def recent_mean_forecast(template: DataFrame, profile: DataFrame) -> DataFrame:
+def recent_mean_forecast(profile: DataFrame) -> DataFrame:
     """Baseline: every day to predict gets the mean of the pair's recent sales."""
-    recent = profile.select(*PAIR, F.col(f"recent_{TARGET}").alias("forecast"))
-    return template.select(*PAIR, "date").join(recent, list(PAIR), "left")
+    recent = f"recent_{TARGET}"
+    return future_template(profile, keep=(recent,)).select(*PAIR, "date", F.col(recent).alias("forecast"))
 
 
 def regression_metrics(scored: DataFrame, label: str = TARGET, prediction: str = "forecast") -> DataFrame:

@@ -13,6 +13,8 @@ from demandkit.runtime import settle
 #: Factors for the two ends of an order range.
 BAND = (0.85, 1.15)
 SERVED_DAYS = 7
+#: Rows that one task may sort.
+SORT_ROWS = 2_000_000
 
 # Columns of the order table.
 ORDER_COLUMNS = (
@@ -28,15 +30,22 @@ ORDER_COLUMNS = (
 )
 
 
-def position_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """1-based position inside each group, without sorting a group in one task.
+def position_within(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, sort_rows: int = SORT_ROWS
+) -> DataFrame:
+    """1-based position inside each group.
 
-    Rows are range-partitioned by (group, order) and stored, each row with its
-    partition number. Positions inside a partition, plus the group's rows in the
-    partitions before it, give the position in the group.
+    The rows are stored and counted. Up to ``sort_rows`` in the whole table, no
+    group can be too large to sort in a task. Beyond that a group may be, and the
+    rows are range-partitioned by (group, order) instead: the position inside a
+    partition, plus the group's rows in the partitions before it.
     """
-    numbered = df.repartitionByRange(*group, *order).withColumn("__part", F.spark_partition_id())
-    ranged = settle(numbered, "positions")
+    stored = settle(df, "unnumbered")
+    if stored.count() <= sort_rows:
+        return stored.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(*order)))
+
+    numbered = stored.repartitionByRange(*group, *order).withColumn("__part", F.spark_partition_id())
+    ranged = settle(numbered, "ranged")
     before = W.partitionBy(*group).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(*group, "__part")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import datetime as dt
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, functions as F
 
 MIN_ROWS = 10
 
@@ -22,31 +25,43 @@ def split_bounds(curated: DataFrame, train_share: float = 0.75) -> DataFrame:
     ).withColumn("cutoff_date", F.date_add("start", F.col("train_span")))
 
 
-def _bound(bounds: DataFrame, name: str) -> Column:
-    return bounds.select(name).scalar()
+@dataclass(frozen=True)
+class Bounds:
+    """The dates of :func:`split_bounds`, fetched once and used as literals, which
+    reach scans as pushed filters."""
+
+    start: dt.date
+    end: dt.date
+    pred_cutoff: dt.date
+    cutoff_date: dt.date
+
+
+def fetch_bounds(curated: DataFrame, train_share: float = 0.75) -> Bounds:
+    row = split_bounds(curated, train_share).first()
+    return Bounds(row["start"], row["end"], row["pred_cutoff"], row["cutoff_date"])
 
 
-def trim(entity: DataFrame, bounds: DataFrame, date: str = "date") -> DataFrame:
+def trim(entity: DataFrame, bounds: Bounds, date: str = "date") -> DataFrame:
     """Keep the days the sales table covers, the days to predict included."""
-    return entity.filter(F.col(date).between(_bound(bounds, "start"), _bound(bounds, "end")))
+    return entity.filter(F.col(date).between(F.lit(bounds.start), F.lit(bounds.end)))
 
 
 def to_predict(curated: DataFrame) -> DataFrame:
     return curated.filter(F.col("sales").isNull())
 
 
-def history_rows(entity: DataFrame, bounds: DataFrame, date: str = "date") -> DataFrame:
+def history_rows(entity: DataFrame, bounds: Bounds, date: str = "date") -> DataFrame:
     """Everything before the first day to predict (train and test together)."""
-    return entity.filter(F.col(date) < _bound(bounds, "pred_cutoff"))
+    return entity.filter(F.col(date) < F.lit(bounds.pred_cutoff))
 
 
-def assign_split(entity: DataFrame, bounds: DataFrame, date: str = "date") -> DataFrame:
+def assign_split(entity: DataFrame, bounds: Bounds, date: str = "date") -> DataFrame:
     """Label rows train, test or predict. One table serves all sets."""
     day = F.col(date)
     return entity.withColumn(
         "split",
-        F.when(day >= _bound(bounds, "pred_cutoff"), "predict")
-        .when(day <= _bound(bounds, "cutoff_date"), "train")
+        F.when(day >= F.lit(bounds.pred_cutoff), "predict")
+        .when(day <= F.lit(bounds.cutoff_date), "train")
         .otherwise("test"),
     )
 
@@ -59,13 +74,13 @@ def split_sizes(labelled: DataFrame, date: str = "date") -> DataFrame:
     )
 
 
-def split_violations(sizes: DataFrame, bounds: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+def split_violations(sizes: DataFrame, bounds: Bounds, min_rows: int = MIN_ROWS) -> DataFrame:
     """Sets that are too small or reach across a cut."""
-    cutoff, predict = _bound(bounds, "cutoff_date"), _bound(bounds, "pred_cutoff")
+    split, cutoff = F.col("split"), F.lit(bounds.cutoff_date)
     broken = (
-        F.when((F.col("split") != "predict") & (F.col("n_rows") < min_rows), "too few rows")
-        .when((F.col("split") == "train") & (F.col("last_date") > cutoff), "train after cut")
-        .when((F.col("split") == "test") & (F.col("first_date") <= cutoff), "test before cut")
-        .when((F.col("split") == "test") & (F.col("last_date") >= predict), "test in days to predict")
+        F.when((split != "predict") & (F.col("n_rows") < min_rows), "too few rows")
+        .when((split == "train") & (F.col("last_date") > cutoff), "train after cut")
+        .when((split == "test") & (F.col("first_date") <= cutoff), "test before cut")
+        .when((split == "test") & (F.col("last_date") >= F.lit(bounds.pred_cutoff)), "test in days to predict")
     )
     return sizes.withColumn("violation", broken).filter(F.col("violation").isNotNull())

@@ -62,13 +62,19 @@ def assert_full_grid(profile: DataFrame) -> None:
         raise IncompleteGridError(f"{found['missing_pairs']} pairs have no sales history")
 
 
-def future_template(profile: DataFrame, assortment: DataFrame | None = None, days: int = HORIZON_DAYS) -> DataFrame:
+def future_template(
+    profile: DataFrame,
+    assortment: DataFrame | None = None,
+    days: int = HORIZON_DAYS,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """Rows to predict: every pair on each of the days after the last sales date.
 
     ``profile`` comes from :func:`recent_profile` and should be a stored table,
     for it is read twice (once for the last date of all pairs). Pairs come from
     the history. An ``assortment`` table (store, product) replaces them, so that
-    a listing without history gets a row with NULL attributes.
+    a listing without history gets a row with NULL attributes. ``keep`` names
+    further profile columns to carry.
     """
     last_date = profile.agg(F.max("last_date")).scalar()
     carried = [c for c in profile.columns if c not in (*PAIR, "last_date") and not c.startswith("recent_")]
@@ -81,6 +87,7 @@ def future_template(profile: DataFrame, assortment: DataFrame | None = None, day
         F.explode(ahead).alias("date"),
         F.lit(None).cast("double").alias(TARGET),
         *carried,
+        *keep,
     )
 
 

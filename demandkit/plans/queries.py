@@ -85,8 +85,7 @@ def grid_gaps(spark, sf):
 @query
 def horizon_join(spark, sf):
     curated = Stages(spark, sf).curated()
-    predictions = model.recent_mean_forecast(curated.sales.filter(F.col(TARGET).isNull()), curated.profile)
-    return serve.join_horizons(predictions)
+    return serve.join_horizons(model.recent_mean_forecast(curated.profile))
 
 
 # --- calendar and stores --------------------------------------------------------
@@ -176,20 +175,20 @@ def split_bounds(spark, sf):
 @query
 def split_assign(spark, sf):
     curated = Stages(spark, sf).curated().sales
-    labelled = splits.assign_split(curated, splits.split_bounds(curated))
+    labelled = splits.assign_split(curated, splits.fetch_bounds(curated))
     return labelled.select("store", "product", "date", "sales", "split")
 
 
 @query
 def split_sizes(spark, sf):
     curated = Stages(spark, sf).curated().sales
-    return splits.split_sizes(splits.assign_split(curated, splits.split_bounds(curated)))
+    return splits.split_sizes(splits.assign_split(curated, splits.fetch_bounds(curated)))
 
 
 @query
 def entity_trim(spark, sf):
     """Orders cut to the span of the sales, then labelled with the sales' splits."""
-    bounds = settle(splits.split_bounds(Stages(spark, sf).curated().sales), "split-bounds")
+    bounds = splits.fetch_bounds(Stages(spark, sf).curated().sales)
     trimmed = splits.trim(t.order_entity(spark, sf), bounds)
     return splits.split_sizes(splits.assign_split(trimmed, bounds))
 
@@ -610,7 +609,7 @@ def baseline_metrics(spark, sf):
     """R2, RMSE and MAE on the test set of a forecast by the mean of the seven
     days before."""
     curated = Stages(spark, sf).curated().sales
-    labelled = splits.assign_split(curated, splits.split_bounds(curated))
+    labelled = splits.assign_split(curated, splits.fetch_bounds(curated))
     scored = lags.sales_lags(labelled).withColumnRenamed("rolling7_mean", "forecast")
     return rounded(model.regression_metrics(scored.filter(F.col("split") == "test")), 6)
 

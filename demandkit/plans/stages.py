@@ -17,7 +17,7 @@ from demandkit.operators.features import FeatureDef, build_features
 from demandkit.operators.grain import TARGET, to_grain
 from demandkit.operators.model import Trained, recent_mean_forecast, score, train
 from demandkit.operators.serve import order_table
-from demandkit.operators.splits import assign_split, split_bounds, split_sizes, split_violations, trim
+from demandkit.operators.splits import Bounds, assign_split, fetch_bounds, split_sizes, split_violations, trim
 from demandkit.operators.template import future_template, recent_profile, with_template
 from demandkit.runtime import settle
 
@@ -46,14 +46,14 @@ def baseline_orders(lines: DataFrame, band: tuple[float, float]) -> DataFrame:
     Only one row per pair is stored on the way.
     """
     profile = settle(recent_profile(to_grain(lines), measures_too=(TARGET,)), "recent-profile")
-    return order_table(recent_mean_forecast(future_template(profile), profile), band)
+    return order_table(recent_mean_forecast(profile), band)
 
 
 @dataclass(frozen=True)
 class FeatureSet:
     features: DataFrame
     definitions: list[FeatureDef]
-    bounds: DataFrame
+    bounds: Bounds
 
 
 def prepare_features(
@@ -66,7 +66,7 @@ def prepare_features(
 ) -> FeatureSet:
     """Curated sales -> stored, labelled feature table for all sets."""
     curated = settle(sales, "curated-sales")
-    bounds = settle(split_bounds(curated, config.train_share), "split-bounds")
+    bounds = fetch_bounds(curated, config.train_share)
     calendar = settle(date_dimension(days_of(curated), states), "calendar")
     trimmed = {name: trim(entity, bounds) for name, entity in (entities or {}).items()}
     features, definitions = build_features(curated, stores, calendar, trimmed)
