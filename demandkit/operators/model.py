@@ -17,6 +17,8 @@ from demandkit.operators.template import future_template
 #: Categories up to this many values become indexed tree categories; wider ones
 #: become their mean target.
 MAX_CATEGORIES = 256
+#: Tree bins beyond that number, as the count of values is approximate.
+BIN_MARGIN = 1.25
 #: Stands for a missing number: below every value, so trees can split it off.
 MISSING = -1.0e12
 #: Weight of the overall mean in the mean target of a category.
@@ -110,7 +112,7 @@ def boosted_trees(
         maxIter=max_iter,
         maxDepth=max_depth,
         stepSize=step,
-        maxBins=max_categories + 2,
+        maxBins=int(max_categories * BIN_MARGIN) + 2,
         validationTol=tolerance,
         seed=seed,
     )

@@ -21,7 +21,8 @@ def sales_windows(bounds: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
 
     The next window starts the day after the last one ends.
     """
-    starts = F.sequence("first", F.date_sub("today", 1), F.expr(f"interval {days + 1} days"))
+    last = F.greatest(F.col("first"), F.date_sub("today", 1))
+    starts = F.sequence("first", last, F.expr(f"interval {days + 1} days"))
     planned = bounds.filter(F.col("first") < F.col("today")).select("today", F.explode(starts).alias("start_date"))
     return planned.withColumn("end_date", F.date_add("start_date", days)).withColumn(
         "file_name", window_file(F.col("start_date"), F.col("end_date"))

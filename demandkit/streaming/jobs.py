@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from demandkit.operators.weather import daily
+from demandkit.runtime import settle, small_side
 
 LATENESS = "3 days"
 
@@ -109,8 +110,10 @@ def ingest_windows(stream: DataFrame, target: str, checkpoint: str, window: Colu
 def current_windows(spark: SparkSession, target: str) -> DataFrame:
     """Lines of the latest load of every window; older loads are not read.
 
-    The list of loads has one row per window and load.
+    The latest loads, one row per window, are stored and counted; broadcast, they
+    prune the scan to their partitions.
     """
     stored = spark.read.parquet(target)
     latest = stored.groupBy("window_start").agg(F.max("load_id").alias("load_id"))
+    latest = small_side(settle(latest, "latest-loads"))
     return stored.join(latest, ["window_start", "load_id"], "left_semi").drop("batch_id", "load_id", "window_start")
