@@ -8,12 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from demandkit.functions.dates import iso_weekday, season, with_easter
+from demandkit.runtime import small_side
 
 #: Default span: 365 * 30 + 8 days from the first of January 2000.
 FIRST_DAY = dt.date(2000, 1, 1)
 DEFAULT_DAYS = 365 * 30 + 8
-#: A calendar this long (about 270 years) is still small enough to broadcast.
-BROADCAST_DAYS = 100_000
 
 ALL_STATES = ("BB", "BE", "BW", "BY", "HB", "HE", "HH", "MV", "NI", "NW", "RP", "SH", "SL", "SN", "ST", "TH")
 
@@ -53,11 +52,15 @@ def days_between(spark: SparkSession, first: dt.date = FIRST_DAY, last: dt.date
     return spark.range(1).select(F.explode(span).alias("date"))
 
 
+def date_span(facts: DataFrame, date: str = "date") -> tuple[dt.date, dt.date]:
+    """First and last date of a fact table. They are fetched, so that no later
+    step reads the facts again."""
+    return tuple(facts.agg(F.min(date), F.max(date)).first())
+
+
 def days_of(facts: DataFrame, date: str = "date") -> DataFrame:
-    """Every day from the first to the last date of a fact table. The two dates
-    are fetched, so that no later step reads the facts again."""
-    bounds = facts.agg(F.min(date).alias("first"), F.max(date).alias("last")).first()
-    return days_between(facts.sparkSession, bounds["first"], bounds["last"])
+    """Every day from the first to the last date of a fact table."""
+    return days_between(facts.sparkSession, *date_span(facts, date))
 
 
 def calendar_columns(date: Column) -> list[Column]:
@@ -138,6 +141,14 @@ def date_dimension(days: DataFrame, states: Sequence[str], extra: DataFrame | No
     )
 
 
+def calendar_of(facts: DataFrame, states: Sequence[str], extra: DataFrame | None = None) -> DataFrame:
+    """Calendar over the days of a fact table, ready to be joined to it. The span
+    and the states bound its rows, which decides on the broadcast."""
+    first, last = date_span(facts)
+    calendar = date_dimension(days_between(facts.sparkSession, first, last), states, extra)
+    return small_side(calendar, rows=((last - first).days + 1) * len(states))
+
+
 def with_store_context(facts: DataFrame, stores: DataFrame) -> DataFrame:
     """State, city and name of the store of each row."""
     return facts.join(stores, "store", "left")

@@ -160,11 +160,17 @@ def direct_definitions(calendar: DataFrame) -> list[FeatureDef]:
     ]
 
 
-def attach_day_aggregates(facts: DataFrame, per_day: DataFrame, definitions: Sequence[FeatureDef]) -> DataFrame:
-    """Left join on the day. The aggregate is stored and counted, and broadcast
-    only while small, so facts of one busy day are not moved to one task."""
-    stored = small_side(settle(per_day, "day-aggregates"))
-    joined = facts.join(stored, "date", "left")
+def attach_day_aggregates(
+    facts: DataFrame, per_day: DataFrame, definitions: Sequence[FeatureDef], days: int | None = None
+) -> DataFrame:
+    """Left join on the day, by broadcast while the aggregate is small, so that
+    facts of one busy day are not moved to one task.
+
+    ``days`` bounds the rows of the aggregate. Without it, the aggregate is stored
+    and counted.
+    """
+    side = small_side(per_day, days) if days else small_side(settle(per_day, "day-aggregates"))
+    joined = facts.join(side, "date", "left")
     counts = [d.name for d in definitions if d.primitive in ("count", "count_where")]
     return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
 
@@ -176,18 +182,20 @@ def build_features(
     entities: dict[str, DataFrame] | None = None,
     texts: Sequence[str] = (),
     include_target: bool = False,
+    days: int | None = None,
 ) -> tuple[DataFrame, list[FeatureDef]]:
     """Features of history and days to predict in one table, so that every split
     has the same definitions.
 
     Same-day aggregates of the target are known only in training and are left out
-    unless ``include_target`` is set. ``stores`` and ``calendar`` are configured
-    tables of known size.
+    unless ``include_target`` is set. ``stores`` is the configured list and
+    ``calendar`` comes from :func:`demandkit.operators.calendar.calendar_of`.
+    ``days`` is the number of days that all tables are trimmed to.
     """
     features = transform_features(curated, texts=texts)
     definitions = transform_definitions(texts=texts) + direct_definitions(calendar)
     placed = features.join(F.broadcast(stores.select("store", "state")), "store", "left")
-    features = placed.join(small_side(direct_features(calendar)), ["state", "date"], "left")
+    features = placed.join(direct_features(calendar), ["state", "date"], "left")
 
     dated = {"sales": curated, **(entities or {})}
     for name, entity in dated.items():
@@ -195,7 +203,7 @@ def build_features(
         if name == "sales" and not include_target:
             exclude.append(TARGET)
         mine = define_day_features(entity, name, exclude)
-        features = attach_day_aggregates(features, day_aggregates(entity, mine), mine)
+        features = attach_day_aggregates(features, day_aggregates(entity, mine), mine, days)
         definitions += mine
     return features, definitions
 

@@ -286,7 +286,44 @@ WEATHER_COLUMNS = (
 SKEW = """CASE WHEN count(totalprice) < 3 THEN NULL WHEN min(totalprice) = max(totalprice) THEN 0.0
               ELSE skewness(totalprice) END"""
 
-RADIANS = "radians(to_lat - from_lat)", "radians(to_lon - from_lon)"
+def _coverage_sql() -> str:
+    """Feature definitions spelled out, each with the rows that carry a value: a
+    spread needs two rows on the day, a skew three."""
+    days = {"holiday_name": "with_holiday"}
+    found = [(f"{p}__date", "sales", "date", p, "total") for p in ("day", "week", "month", "weekday")]
+    for c in ("year", "month", "day", "week", "weekday", "season", "is_holiday", "holiday_name", "is_weekend",
+              "is_free_day", "is_shops_closed"):
+        found.append((f"days__{c}", "days", c, "direct", days.get(c, "total")))
+    entities = {
+        "sales": (("price", "discount", "fulfilled"), ("product", "returnflag", "priority"), ()),
+        "orders": (("totalprice",), ("status", "priority"), ("urgent",)),
+    }
+    for entity, (numbers, categories, flags) in entities.items():
+        found.append((f"days__count__{entity}", entity, "", "count", "total"))
+        for c in numbers:
+            for primitive, rows in (("sum", 1), ("std", 2), ("max", 1), ("skew", 3), ("min", 1), ("mean", 1)):
+                found.append((f"days__{primitive}__{entity}__{c}", entity, c, primitive, f"{entity}_{rows}"))
+        for c in categories:
+            for primitive in ("num_unique", "mode"):
+                found.append((f"days__{primitive}__{entity}__{c}", entity, c, primitive, f"{entity}_1"))
+        for c in flags:
+            found.append((f"days__percent_true__{entity}__{c}", entity, c, "percent_true", f"{entity}_1"))
+    listed = " UNION ALL ".join(
+        f"SELECT '{n}' AS name, '{e}' AS entity, '{c}' AS \"column\", '{p}' AS primitive, {m} AS non_null FROM measured"
+        for n, e, c, p, m in found
+    )
+    counts = ", ".join(
+        f"count(CASE WHEN {n} >= {k} THEN 1 END) AS {e}_{k}" for e, n in (("sales", "n_sales"), ("orders", "n_orders"))
+        for k in (1, 2, 3)
+    )
+    return f"""WITH {BOUNDS}, {ORDER_ENTITY}, years AS (SELECT DISTINCT year(date) AS year FROM curated),
+        {_holiday_sql(['HE', 'RP'])},
+        o AS (SELECT date, count(*) AS n_orders FROM entity, bounds WHERE date BETWEEN start AND "end" GROUP BY date),
+        s AS (SELECT date, count(*) AS n_sales FROM curated GROUP BY date),
+        placed AS (SELECT *, {STORE_STATE} AS state FROM curated),
+        measured AS (SELECT count(*) AS total, count(holiday_name) AS with_holiday, {counts}
+          FROM placed LEFT JOIN holidays USING (state, date) LEFT JOIN o USING (date) LEFT JOIN s USING (date))
+        {listed}"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -386,6 +423,7 @@ def oracle_sql() -> dict[str, str]:
             FROM placed CROSS JOIN bounds LEFT JOIN holidays USING (state, date) LEFT JOIN o USING (date)
             LEFT JOIN s USING (date) LEFT JOIN top_trimmed_priority USING (date)
             LEFT JOIN top_curated_returnflag USING (date)""",
+        "feature_defs": _coverage_sql(),
         "text_features": r"""SELECT doc_id, CAST(len(regexp_extract_all(text, '[^\s\x0B]+')) AS BIGINT) AS num_words,
             length(text) AS num_characters FROM documents""",
         "haversine_miles": f"""WITH routes AS (

@@ -116,8 +116,7 @@ def holiday_calendar(spark, sf):
 @query
 def sales_with_calendar(spark, sf):
     history = Stages(spark, sf).curated().history.select("store", "product", "date", "sales")
-    calendar = settle(cal.date_dimension(cal.days_of(history), t.STATES), "calendar")
-    return cal.with_calendar(history, t.stores(spark, sf), calendar)
+    return cal.with_calendar(history, t.stores(spark, sf), cal.calendar_of(history, t.STATES))
 
 
 @query

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from demandkit.config import ForecastConfig
-from demandkit.operators.calendar import date_dimension, days_of
+from demandkit.operators.calendar import calendar_of
 from demandkit.operators.checks import assert_empty, duplicate_keys, entity_problems
 from demandkit.operators.features import FeatureDef, build_features
 from demandkit.operators.grain import TARGET, to_grain
@@ -67,9 +67,11 @@ def prepare_features(
     """Curated sales -> stored, labelled feature table for all sets."""
     curated = settle(sales, "curated-sales")
     bounds = fetch_bounds(curated, config.train_share)
-    calendar = settle(date_dimension(days_of(curated), states), "calendar")
+    calendar = calendar_of(curated, states)
     trimmed = {name: trim(entity, bounds) for name, entity in (entities or {}).items()}
-    features, definitions = build_features(curated, stores, calendar, trimmed)
+    features, definitions = build_features(
+        curated, stores, calendar, trimmed, days=(bounds.end - bounds.start).days + 1
+    )
     labelled = settle(assign_split(features, bounds), "features")
     if checked:
         assert_empty(split_violations(split_sizes(labelled), bounds), "split sizes and bounds")

@@ -13,12 +13,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 BROADCAST_CELLS = 4_000_000
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A session for tests and benches on one machine; clusters bring their own."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", broadcast_limit: str = "1MB"
+) -> SparkSession:
+    """A session for tests and benches on one machine; clusters bring their own.
+
+    The low broadcast limit lets joins with middle-sized tables shuffle, as they
+    do at scale, and so spreads a file that only one task can scan.
+    """
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("demandkit")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.autoBroadcastJoinThreshold", broadcast_limit)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
@@ -64,9 +71,12 @@ def settle(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Dat
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def small_side(table: DataFrame, max_cells: int = BROADCAST_CELLS) -> DataFrame:
-    """Mark a stored table for broadcast after counting it; leave a larger one
-    to the shuffle joins (with adaptive skew splitting)."""
-    if table.count() * len(table.columns) <= max_cells:
-        return F.broadcast(table)
-    return table
+def small_side(table: DataFrame, rows: int | None = None, max_cells: int = BROADCAST_CELLS) -> DataFrame:
+    """Mark a table for broadcast if it is small; leave a larger one to the shuffle
+    joins (with adaptive skew splitting).
+
+    ``rows`` is an upper bound known beforehand, such as the days of a calendar.
+    Without it the table is counted, which is cheap for a stored one.
+    """
+    bound = table.count() if rows is None else rows
+    return F.broadcast(table) if bound * len(table.columns) <= max_cells else table
