@@ -13,6 +13,7 @@ from demandkit.functions.geo import haversine
 from demandkit.functions.stats import percent_true, sample_skew, winner
 from demandkit.functions.text import num_characters, num_words
 from demandkit.operators.grain import KEYS, TARGET
+from demandkit.operators.lags import LAG_COLUMNS, sales_lags
 from demandkit.runtime import settle, small_side
 
 # Aggregate primitives by kind of column.
@@ -182,19 +183,22 @@ def build_features(
     entities: dict[str, DataFrame] | None = None,
     texts: Sequence[str] = (),
     include_target: bool = False,
+    with_lags: bool = False,
     days: int | None = None,
 ) -> tuple[DataFrame, list[FeatureDef]]:
     """Features of history and days to predict in one table, so that every split
     has the same definitions.
 
     Same-day aggregates of the target are known only in training and are left out
-    unless ``include_target`` is set. ``stores`` is the configured list and
-    ``calendar`` comes from :func:`demandkit.operators.calendar.calendar_of`.
+    unless ``include_target`` is set. ``with_lags`` adds day-based lags of the
+    target, which look back only. ``stores`` is the store dimension and ``calendar`` comes from :func:`demandkit.operators.calendar.calendar_of`.
     ``days`` is the number of days that all tables are trimmed to.
     """
-    features = transform_features(curated, texts=texts)
+    features = transform_features(sales_lags(curated) if with_lags else curated, texts=texts)
     definitions = transform_definitions(texts=texts) + direct_definitions(calendar)
-    placed = features.join(F.broadcast(stores.select("store", "state")), "store", "left")
+    if with_lags:
+        definitions += [FeatureDef(name, "sales", TARGET, "lag") for name in LAG_COLUMNS]
+    placed = features.join(small_side(stores.select("store", "state")), "store", "left")
     features = placed.join(direct_features(calendar), ["state", "date"], "left")
 
     dated = {"sales": curated, **(entities or {})}

@@ -12,6 +12,7 @@ from demandkit.operators.grain import PAIR
 WEEK = 7
 #: 52 weeks, so that the weekday stays the same.
 YEAR = 364
+LAG_COLUMNS = ("last_week", "last_year", "rolling7_sum", "rolling7_mean", "rolling7_days")
 
 
 def sales_lags(curated: DataFrame, keys: Sequence[str] = PAIR, value: str = "sales") -> DataFrame:

@@ -469,9 +469,10 @@ def oracle_sql() -> dict[str, str]:
               WHERE l_returnflag = 'R' AND l_quantity = 50)
             SELECT start_date, end_date, {WINDOW_FILE} AS file_name FROM windows
             WHERE NOT (end_date + 3 < today AND start_date IN (SELECT start_date FROM landed))""",
-        "weather_refresh": """WITH newest AS (
-              SELECT max(CAST(ts AS DATE)) AS day FROM events WHERE day(ts) % 20 = 1),
-            latest AS (SELECT max(CAST(ts AS DATE)) + 12 AS today FROM events),
+        "weather_refresh": """WITH latest AS (SELECT max(CAST(ts AS DATE)) + 12 AS today FROM events),
+            newest AS (
+              SELECT CAST(min(CAST(ts AS DATE)) + CAST(20 * ((max(CAST(ts AS DATE)) - min(CAST(ts AS DATE))) // 20) AS INTEGER) AS DATE) AS day
+              FROM events),
             planned AS (SELECT CAST(newest.day + CAST(20 * n AS INTEGER) AS DATE) AS start_date
               FROM newest, latest, range(0, 2) AS r(n) WHERE n = 0 OR today - newest.day >= 20)
             SELECT start_date, CAST(start_date + 20 AS DATE) AS end_date,

@@ -506,13 +506,13 @@ def stale_windows(spark, sf):
 
 @query
 def weather_refresh(spark, sf):
-    """Weather files to fetch, from the names of the files that have landed."""
-    days = t.table(spark, sf, "events").select(F.col("ts").cast("date").alias("day")).filter(
-        F.dayofmonth("day") % windows.WEATHER_DAYS == 1
-    )
-    names = days.select(F.concat(F.lit("weather_"), F.date_format("day", "yyyy-MM-dd"), F.lit("_21d.csv")).alias("file_name"))
-    today = t.table(spark, sf, "events").agg(F.date_add(F.max("ts").cast("date"), 12)).scalar()
-    return windows.weather_windows(names, today)
+    """Weather files to fetch, from the names of the files that have landed: one
+    for every twenty days of events."""
+    days = t.table(spark, sf, "events").select(F.col("ts").cast("date").alias("day"))
+    span = days.agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    start = windows.window_start(F.col("day"), span.select("first").scalar(), windows.WEATHER_DAYS - 1)
+    names = days.select(windows.weather_file(start).alias("file_name")).distinct()
+    return windows.weather_windows(names, span.select(F.date_add("last", 12)).scalar())
 
 
 # --- serving --------------------------------------------------------------------

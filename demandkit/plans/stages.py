@@ -8,18 +8,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from demandkit.config import ForecastConfig
+from demandkit.config import ForecastConfig, store_table
 from demandkit.operators.calendar import calendar_of
 from demandkit.operators.checks import assert_empty, duplicate_keys, entity_problems
 from demandkit.operators.features import FeatureDef, build_features
 from demandkit.operators.grain import TARGET, to_grain
-from demandkit.operators.model import Trained, recent_mean_forecast, score, train
+from demandkit.operators.model import Trained, recent_mean_forecast, regression_metrics, score, train
 from demandkit.operators.serve import order_table
 from demandkit.operators.splits import Bounds, assign_split, fetch_bounds, split_sizes, split_violations, trim
 from demandkit.operators.template import future_template, recent_profile, with_template
+from demandkit.operators.weather import weather_by_day
 from demandkit.runtime import settle
+from demandkit.sources import files
+from demandkit.sources.registry import load_sales
 
 
 @dataclass(frozen=True)
@@ -63,6 +66,7 @@ def prepare_features(
     entities: dict[str, DataFrame] | None = None,
     config: ForecastConfig = ForecastConfig(),
     checked: bool = False,
+    with_lags: bool = False,
 ) -> FeatureSet:
     """Curated sales -> stored, labelled feature table for all sets."""
     curated = settle(sales, "curated-sales")
@@ -70,7 +74,7 @@ def prepare_features(
     calendar = calendar_of(curated, states)
     trimmed = {name: trim(entity, bounds) for name, entity in (entities or {}).items()}
     features, definitions = build_features(
-        curated, stores, calendar, trimmed, days=(bounds.end - bounds.start).days + 1
+        curated, stores, calendar, trimmed, with_lags=with_lags, days=(bounds.end - bounds.start).days + 1
     )
     labelled = settle(assign_split(features, bounds), "features")
     if checked:
@@ -99,11 +103,42 @@ def run_forecast(
     states: list[str],
     entities: dict[str, DataFrame] | None = None,
     config: ForecastConfig = ForecastConfig(),
+    with_lags: bool = False,
     **options,
-) -> DataFrame:
+) -> tuple[DataFrame, Forecast]:
     """All stages in order; a failed check stops the job."""
     curated = curate_sales(lines, checked=True)
-    prepared = prepare_features(curated.sales, stores, states, entities, config, checked=True)
+    prepared = prepare_features(curated.sales, stores, states, entities, config, True, with_lags)
     forecast = train_and_score(prepared.features, **options)
     predictions = settle(forecast.predictions, "predictions")
-    return settle(order_table(predictions, config.band), "orders", partition_by=["store"])
+    return settle(order_table(predictions, config.band), "orders", partition_by=["store"]), forecast
+
+
+def run_landed(
+    spark: SparkSession, config: ForecastConfig, landing: str, out: str, with_lags: bool = False, **options
+) -> DataFrame:
+    """The whole job over a landing folder.
+
+    ``landing`` holds ``sales/`` (CSV files of sales lines, or what the configured
+    register source reads), ``weather/`` and ``weather_forecast/``. ``out`` gets the
+    order table by store, the evaluation and the production model. Returns the
+    stored order table.
+    """
+    if config.register == "csv":
+        lines = files.scan_csv_folder(spark, f"{landing}/sales")
+    else:
+        lines = load_sales(spark, config, f"{landing}/sales")
+    by_day = weather_by_day(
+        files.scan_weather_history(spark, f"{landing}/weather"),
+        files.scan_weather_forecast(spark, f"{landing}/weather_forecast"),
+        config.rain_threshold,
+    )
+    entities = {"weather": settle(by_day, "weather")}
+    states = sorted({s.state for s in config.stores})
+    stores = store_table(spark, config.stores)
+    orders, forecast = run_forecast(lines, stores, states, entities, config, with_lags, **options)
+    files.write_stage(orders, f"{out}/orders", ["store"])
+    files.write_stage(regression_metrics(forecast.evaluation), f"{out}/evaluation")
+    files.save_model(forecast.trained.evaluation, f"{out}/model_evaluation")
+    files.save_model(forecast.trained.production, f"{out}/model_production")
+    return spark.read.schema(orders.schema).parquet(f"{out}/orders").select(*orders.columns)

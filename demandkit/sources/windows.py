@@ -52,6 +52,11 @@ def windows_to_load(windows: DataFrame, landed: DataFrame, grace_days: int = GRA
     return windows.join(done.select("file_name"), "file_name", "left_anti")
 
 
+def weather_file(start: Column) -> Column:
+    prefix, suffix = WEATHER_FILE.split("{}")
+    return F.concat(F.lit(prefix), F.date_format(start, "yyyy-MM-dd"), F.lit(suffix))
+
+
 def weather_start(file_name: Column) -> Column:
     return F.to_date(F.nullif(F.regexp_extract(file_name, WEATHER_START, 1), F.lit("")))
 
@@ -63,10 +68,6 @@ def weather_windows(landed: DataFrame, today: Column, days: int = WEATHER_DAYS)
     requests = F.when(F.datediff(today, F.col("newest")) >= days, 2).otherwise(1)
     starts = newest.select(F.explode(F.sequence(F.lit(0), requests - 1)).alias("n"), "newest")
     planned = starts.select(F.date_add("newest", F.col("n") * days).alias("start_date"))
-    prefix, suffix = WEATHER_FILE.split("{}")
     return planned.withColumns(
-        {
-            "end_date": F.date_add("start_date", days),
-            "file_name": F.concat(F.lit(prefix), F.date_format("start_date", "yyyy-MM-dd"), F.lit(suffix)),
-        }
+        {"end_date": F.date_add("start_date", days), "file_name": weather_file(F.col("start_date"))}
     )

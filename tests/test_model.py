@@ -4,10 +4,10 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from demandkit.config import ForecastConfig
+from demandkit.config import ForecastConfig, Store
 from demandkit.operators import model
 from demandkit.operators.serve import ORDER_COLUMNS
-from demandkit.plans.stages import run_forecast, train_and_score
+from demandkit.plans.stages import run_forecast, run_landed, train_and_score
 from demandkit.runtime import settle
 from demandkit.sources.files import load_model, save_model
 
@@ -93,7 +93,37 @@ def test_whole_job(spark):
         F.when(n % 2 == 0, "card").otherwise("cash").alias("payment"),
     )
     stores = spark.createDataFrame([(0, "HE"), (1, "RP")], "store int, state string")
-    orders = run_forecast(lines, stores, ["HE", "RP"], config=ForecastConfig(), max_iter=3)
+    orders, _ = run_forecast(lines, stores, ["HE", "RP"], config=ForecastConfig(), max_iter=3)
     assert orders.columns == list(ORDER_COLUMNS)
     assert orders.count() == 6
     assert [r["id"] for r in orders.orderBy("store", "product").collect()] == [1, 2, 3, 1, 2, 3]
+
+
+def test_job_over_landed_files(spark, tmp_path):
+    first = dt.date(2024, 1, 1)
+    sales = ["index,store,product,date,sales,payment"]
+    weather = ["Date time,Minimum Temperature,Maximum Temperature,Temperature,Precipitation,Dew Point,Info,"
+               "Precipitation Cover,Visibility,Weather Type"]
+    for n in range(60):
+        day = first + dt.timedelta(days=n)
+        for store in (1, 2):
+            for product in ("a", "b"):
+                sales.append(f"{len(sales)},{store},{product},{day},{store * 2 + day.weekday()},card")
+        weather.append(f"{day:%m/%d/%Y} 00:00:00,1,9,{n % 9},0.1,,,,,")
+    forecast = ["Date time,Temperature,Precipitation,Chance Precipitation (%),Snow"]
+    forecast += [f"{first + dt.timedelta(days=n):%m/%d/%Y} 00:00:00,{n % 9},1.0,0.7,0" for n in range(59, 70)]
+    for folder, name, lines in (
+        ("sales", "sales_1.csv", sales), ("weather", "weather_2024-01-01_21d.csv", weather),
+        ("weather_forecast", "forecast.csv", forecast),
+    ):
+        (tmp_path / "landing" / folder).mkdir(parents=True)
+        (tmp_path / "landing" / folder / name).write_text("\n".join(lines) + "\n")
+    config = ForecastConfig(register="csv", stores=(Store(1, "HE", "A", "One"), Store(2, "RP", "B", "Two")))
+    orders = run_landed(spark, config, str(tmp_path / "landing"), str(tmp_path / "out"), with_lags=True, max_iter=3)
+    assert orders.columns == list(ORDER_COLUMNS)
+    assert sorted((r["store"], r["product"], r["id"]) for r in orders.collect()) == [
+        (1, "a", 1), (1, "b", 2), (2, "a", 1), (2, "b", 2),
+    ]
+    assert orders.filter("next7_order_qty <= 0").isEmpty()
+    assert spark.read.parquet(str(tmp_path / "out" / "evaluation")).first()["n_rows"] > 0
+    assert load_model(str(tmp_path / "out" / "model_production")).stages
