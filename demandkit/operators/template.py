@@ -70,13 +70,12 @@ def future_template(
 ) -> DataFrame:
     """Rows to predict: every pair on each of the days after the last sales date.
 
-    ``profile`` comes from :func:`recent_profile` and should be a stored table,
-    for it is read twice (once for the last date of all pairs). Pairs come from
-    the history. An ``assortment`` table (store, product) replaces them, so that
+    ``profile`` comes from :func:`recent_profile` and should be a stored table: the
+    last date of all pairs is fetched from it. Pairs come from the history. An ``assortment`` table (store, product) replaces them, so that
     a listing without history gets a row with NULL attributes. ``keep`` names
     further profile columns to carry.
     """
-    last_date = profile.agg(F.max("last_date")).scalar()
+    last_date = F.lit(profile.agg(F.max("last_date")).first()[0]).cast("date")
     carried = [c for c in profile.columns if c not in (*PAIR, "last_date") and not c.startswith("recent_")]
     known = profile
     if assortment is not None:

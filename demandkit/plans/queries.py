@@ -586,7 +586,7 @@ def part_search(spark, sf):
 
 @query
 def dup_keys(spark, sf):
-    return checks.duplicate_keys(t.sales_lines(spark, sf))
+    return checks.duplicate_keys(t.item_lines(spark, sf))
 
 
 @query

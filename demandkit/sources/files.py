@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -24,7 +25,7 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         lines = []
         for path in batch["path"]:
-            filesystem, inner = fs.FileSystem.from_uri(path)
+            filesystem, inner = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
             line = b""
             with filesystem.open_input_stream(inner) as stream:
                 while b"\n" not in line:

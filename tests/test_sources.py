@@ -114,11 +114,11 @@ def test_missing_whitelisted_field_is_an_error(spark):
 def test_panel(spark, tmp_path, rows):
     names = "store,brand,week,logmove,feat,price,AGE60,EDUC,ETHNIC,INCOME,HHLARGE,WORKWOM,HVAL150,SSTRDIST,SSTRVOL,CPDIST5,CPWVOL5"
     values = "0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9,1.0,1.1"
-    put(tmp_path / "p", "panel.csv", f"{names}\n2,tropicana,40,9.018695,0,3.87,{values}\n2,dominicks,39,8,1,2,{values}\n")
+    put(tmp_path / "p", "panel.csv", f"{names}\n2,brand b,40,9.018695,0,3.87,{values}\n2,brand a,39,8,1,2,{values}\n")
     df = load_sales(spark, ForecastConfig(register="panel"), str(tmp_path / "p"), to_date="2018-01-08")
     assert df.columns == list(registers.PANEL_FIELDS)
     assert rows(df, "store", "product", "sales", "date") == [
-        (2, "dominicks", 2980, dt.date(2018, 1, 1)), (2, "tropicana", 8255, dt.date(2018, 1, 8)),
+        (2, "brand a", 2980, dt.date(2018, 1, 1)), (2, "brand b", 8255, dt.date(2018, 1, 8)),
     ]
 
 
