@@ -60,11 +60,12 @@ def position_within(
 def with_day_number(predictions: DataFrame, days: int = SERVED_DAYS) -> DataFrame:
     """Rank of each row's date among the first dates to serve; later dates go.
 
-    The dates form one short array (at most one entry per calendar day).
+    The first dates are fetched (seven rows) and used as literals.
     """
-    dates = predictions.agg(F.slice(F.array_sort(F.collect_set("date")), 1, days)).scalar()
-    ranked = predictions.withColumn("day_no", F.array_position(dates, F.col("date")).cast("int"))
-    return ranked.filter(F.col("day_no") > 0)
+    first = [r["date"] for r in predictions.select("date").distinct().orderBy("date").limit(days).collect()]
+    dates = F.array(*[F.lit(d) for d in first]).cast("array<date>")
+    served = predictions.filter(F.col("date").isin(first))
+    return served.withColumn("day_no", F.array_position(dates, F.col("date")).cast("int"))
 
 
 def _with_bands(predictions: DataFrame, band: tuple[float, float]) -> DataFrame:
@@ -112,10 +113,10 @@ def order_table(predictions: DataFrame, band: tuple[float, float] = BAND) -> Dat
     return position_within(totals, ["store"], ["product"], "id").select(*ORDER_COLUMNS)
 
 
-def horizon_frame(predictions: DataFrame, label: str, band: tuple[float, float] = BAND) -> DataFrame:
+def horizon_frame(ranked: DataFrame, label: str, band: tuple[float, float] = BAND) -> DataFrame:
     """One horizon as a table of its own: 'tomorrow', 'day_after' or 'next7'."""
     wanted = {"tomorrow": F.col("day_no") == 1, "day_after": F.col("day_no") == 2, "next7": F.lit(True)}[label]
-    rows = _with_bands(with_day_number(predictions), band).filter(wanted)
+    rows = _with_bands(ranked, band).filter(wanted)
     totals = rows.groupBy(*PAIR).agg(*[F.sum(m).alias(m) for m in ("forecast", "order_from", "order_to")])
     return totals.select(
         *PAIR,
@@ -127,7 +128,8 @@ def horizon_frame(predictions: DataFrame, label: str, band: tuple[float, float]
 def join_horizons(predictions: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """The three horizon tables joined; :func:`horizon_totals` gives the same rows
     with a single shuffle."""
-    joined = horizon_frame(predictions, "tomorrow", band)
+    ranked = with_day_number(predictions)
+    joined = horizon_frame(ranked, "tomorrow", band)
     for label in ("day_after", "next7"):
-        joined = joined.join(horizon_frame(predictions, label, band), list(PAIR))
+        joined = joined.join(horizon_frame(ranked, label, band), list(PAIR))
     return joined

@@ -120,10 +120,11 @@ def drop_last_day(df: DataFrame, date: str = "date") -> DataFrame:
 def weather_by_day(history: DataFrame, forecast: DataFrame, rain_threshold: float = 0.5) -> DataFrame:
     """Curated weather from landed history and forecast.
 
-    The last day is found on the timestamps alone and dropped before anything is
-    shuffled; rows that compete for a timestamp share its day.
+    The last day is fetched from the timestamps alone and dropped before anything
+    is shuffled; rows that compete for a timestamp share its day.
     """
     past, ahead = prepare_history(history), prepare_forecast(forecast, rain_threshold)
-    last = with_day(past.select("date_time").union(ahead.select("date_time"))).agg(F.max("date")).scalar()
+    stamps = with_day(past.select("date_time").union(ahead.select("date_time")))
+    last = F.lit(stamps.agg(F.max("date")).first()[0]).cast("date")
     past, ahead = (with_day(side).filter(F.col("date") < last) for side in (past, ahead))
     return daily(history_wins(past, ahead))

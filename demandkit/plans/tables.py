@@ -7,6 +7,7 @@ are orders, hourly weather is the event stream.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from demandkit.functions.dates import WEATHER_TS_FORMAT
 from demandkit.plans.stages import Curated, FeatureSet, baseline_orders, curate_sales, prepare_features
@@ -20,8 +21,16 @@ FORECAST_DAYS = 6
 OVERLAP_DAYS = 1
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table. Its schema is taken from the files once, not by a job for
+    every read."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def store_of_supplier(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,7 +114,7 @@ def observations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _last_day(rows: DataFrame) -> Column:
-    return rows.agg(F.max("day")).scalar()
+    return F.lit(rows.agg(F.max("day")).first()[0])
 
 
 def weather_history(spark: SparkSession, sf: str) -> DataFrame:
