@@ -26,6 +26,12 @@ def attributes(df: DataFrame) -> list[T.StructField]:
     return [f for f in df.schema if f.name not in fixed]
 
 
+def plain_names(df: DataFrame) -> DataFrame:
+    """Dots of flattened nested names become underscores, as a dotted column name
+    would read as a nested field."""
+    return df.toDF(*[c.replace(".", "_") for c in df.columns])
+
+
 def aggregate_map(df: DataFrame, overrides: dict[str, str] | None = None) -> dict[str, str]:
     """Column -> 'sum' | 'mean' | 'most_frequent', by type unless overridden."""
     chosen = {TARGET: "sum"}
@@ -46,6 +52,7 @@ def to_grain(lines: DataFrame, keys: Sequence[str] = KEYS, overrides: dict[str,
     the measures ride along on the first slot, so the input is read once, every
     shuffle follows a map-side combine, and no task holds the values of a key.
     """
+    lines = plain_names(lines)
     chosen = aggregate_map(lines, overrides)
     types = {f.name: f.dataType for f in lines.schema}
     sums = [c for c, how in chosen.items() if how == "sum"]

@@ -4,6 +4,8 @@ import json
 import pytest
 
 from demandkit.config import ForecastConfig, load_config, store_table
+from demandkit.operators.grain import to_grain
+from demandkit.operators.template import future_template, recent_profile
 from demandkit.operators.weather import VENDOR_COLUMNS
 from demandkit.sources import files, registers, windows
 from demandkit.sources.registry import date_range, load_sales, register, registered
@@ -106,6 +108,18 @@ def test_invoices(spark, tmp_path, rows):
     assert rows(ranged, "index") == [(12,)]
 
 
+def test_invoices_reach_the_grain(spark, tmp_path, rows):
+    page = {"invoices": [invoice(1, items=[(11, 2.0, 1), (12, 3.0, 1)]), invoice(2, items=[(21, 4.0, 3)])]}
+    put(tmp_path / "inv", "page1.json", json.dumps(page))
+    grain = to_grain(load_sales(spark, ForecastConfig(register="invoices"), str(tmp_path / "inv")))
+    assert rows(grain, "date", "sales", "address_city", "customerCategory_id", "tableArea_id") == [
+        (dt.date(2024, 1, 1), 5.0, "Mainz", "cat_7", None), (dt.date(2024, 1, 3), 4.0, "Mainz", "cat_7", None),
+    ]
+    assert dict(grain.dtypes)["invoice_deleted_at"] == "timestamp"
+    profile = recent_profile(grain, measures_too=("sales",))
+    assert future_template(profile).count() == 7
+
+
 def test_missing_whitelisted_field_is_an_error(spark):
     with pytest.raises(Exception, match="invoice_total"):
         registers.sales_from_invoices(spark.createDataFrame([(1,)], "item_id long"))
