@@ -274,7 +274,7 @@ WINDOW_FILE = "'sales_' || strftime(start_date, '%Y-%m-%d') || '_' || strftime(e
 SHOWN_ORDER = "id, store, product, tomorrow_order_qty, tomorrow_order_range, day_after_order_qty, day_after_order_range, next7_order_qty, next7_order_range"
 
 
-def _cut(columns: str, digits: int = 8) -> str:
+def _cut(columns: str, digits: int = 6) -> str:
     return ", ".join(f"round({c.strip()}, {digits}) AS {c.strip()}" for c in columns.split(","))
 
 
@@ -370,9 +370,9 @@ def oracle_sql() -> dict[str, str]:
               'Store ' || CAST(r_regionkey AS VARCHAR) AS store_name FROM region),
             sold AS (SELECT store, sum(sales) AS units, count(*) AS n_lines FROM lines GROUP BY store)
             SELECT store, units, n_lines, state, city, store_name FROM sold LEFT JOIN stores USING (store)""",
-        "weather_daily": f"WITH {WEATHER} SELECT date, {_cut(WEATHER_COLUMNS)} FROM weather",
+        "weather_daily": f"WITH {WEATHER} SELECT date, {_cut(WEATHER_COLUMNS, 8)} FROM weather",
         "weather_history_wins": f"""WITH {WEATHER} SELECT date_time, event_id,
-            {_cut('temperature, minimum_temperature, maximum_temperature, precipitation')} FROM hourly""",
+            {_cut('temperature, minimum_temperature, maximum_temperature, precipitation', 8)} FROM hourly""",
         "weather_history_scan": f"""WITH {WEATHER},
             landed AS (
               SELECT day AS file_day, date_time, event_id, temperature FROM observed
@@ -381,7 +381,7 @@ def oracle_sql() -> dict[str, str]:
               WHERE minute(strptime(date_time, '%m/%d/%Y %H:%M:%S')) = 0),
             kept AS (SELECT *, row_number() OVER (PARTITION BY date_time ORDER BY file_day DESC, event_id DESC) AS place
               FROM landed)
-            SELECT date_time, event_id, {_cut('temperature')} FROM kept WHERE place = 1""",
+            SELECT date_time, event_id, {_cut('temperature', 8)} FROM kept WHERE place = 1""",
         "split_bounds": f"WITH {BOUNDS} SELECT start, \"end\", pred_cutoff, timespan, train_span, cutoff_date FROM bounds",
         "split_assign": f"WITH {BOUNDS} SELECT store, product, date, sales, {SPLIT} AS split FROM curated, bounds",
         "split_sizes": f"""WITH {BOUNDS} SELECT {SPLIT} AS split, count(*) AS n_rows, min(date) AS first_date,
@@ -396,7 +396,7 @@ def oracle_sql() -> dict[str, str]:
               max(totalprice) AS days__max__orders__totalprice,
               round({SKEW}, 4) AS days__skew__orders__totalprice,
               min(totalprice) AS days__min__orders__totalprice,
-              round(avg(totalprice), 8) AS days__mean__orders__totalprice,
+              round(avg(totalprice), 6) AS days__mean__orders__totalprice,
               count(DISTINCT status) AS days__num_unique__orders__status,
               count(DISTINCT priority) AS days__num_unique__orders__priority,
               round(avg(CASE WHEN urgent THEN 1.0::DOUBLE ELSE 0.0 END), 8) AS days__percent_true__orders__urgent,
@@ -410,7 +410,7 @@ def oracle_sql() -> dict[str, str]:
             {_day_mode('trimmed', 'priority')}, {_day_mode('curated', 'returnflag')},
             o AS (SELECT date, count(*) AS n, round(sum(totalprice), 2) AS total, max(totalprice) AS top,
                   count(DISTINCT status) AS kinds FROM trimmed GROUP BY date),
-            s AS (SELECT date, count(*) AS n_sales, round(avg(price), 8) AS mean_price FROM curated GROUP BY date),
+            s AS (SELECT date, count(*) AS n_sales, round(max(discount), 8) AS top_discount FROM curated GROUP BY date),
             placed AS (SELECT *, {STORE_STATE} AS state FROM curated)
             SELECT store, product, date, sales, {SPLIT} AS split, CAST(isodow(date) - 1 AS INTEGER) AS weekday__date,
               CASE WHEN month(date) IN (3, 4, 5) THEN 'spring' WHEN month(date) IN (6, 7, 8) THEN 'summer'
@@ -419,7 +419,7 @@ def oracle_sql() -> dict[str, str]:
               total AS days__sum__orders__totalprice, top AS days__max__orders__totalprice,
               top_trimmed_priority.priority AS days__mode__orders__priority, kinds AS days__num_unique__orders__status,
               n_sales AS days__count__sales, top_curated_returnflag.returnflag AS days__mode__sales__returnflag,
-              mean_price AS days__mean__sales__price
+              top_discount AS days__max__sales__discount
             FROM placed CROSS JOIN bounds LEFT JOIN holidays USING (state, date) LEFT JOIN o USING (date)
             LEFT JOIN s USING (date) LEFT JOIN top_trimmed_priority USING (date)
             LEFT JOIN top_curated_returnflag USING (date)""",
@@ -460,7 +460,7 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3""",
         "source_range": f"""WITH {GRAIN} SELECT store, product, date, sales FROM grain
             WHERE date BETWEEN DATE '1997-03-01' AND DATE '1998-02-28'""",
-        "csv_folder": f"WITH {LINES} SELECT store, product, date, sum(sales) AS sales, round(avg(price), 8) AS price FROM lines GROUP BY ALL",
+        "csv_folder": f"WITH {LINES} SELECT store, product, date, sum(sales) AS sales, round(avg(price), 6) AS price FROM lines GROUP BY ALL",
         "batch_windows": f"""WITH {SPAN},
             sold AS (SELECT {WINDOW_START} AS start_date, sum(l_quantity) AS units FROM lineitem, span GROUP BY 1)
             SELECT start_date, end_date, {WINDOW_FILE} AS file_name, units FROM windows LEFT JOIN sold USING (start_date)""",

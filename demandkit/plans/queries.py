@@ -31,8 +31,8 @@ def query(run: Query) -> Query:
     return run
 
 
-def rounded(df: DataFrame, digits: int = 8, columns: Sequence[str] | None = None) -> DataFrame:
-    """Doubles cut to comparable digits."""
+def rounded(df: DataFrame, digits: int = 6, columns: Sequence[str] | None = None) -> DataFrame:
+    """Doubles cut to digits that do not depend on the order of addition."""
     doubles = columns or [c for c, kind in df.dtypes if kind == "double"]
     return df.withColumns({c: F.round(c, digits) for c in doubles})
 
@@ -132,7 +132,7 @@ def store_context(spark, sf):
 
 @query
 def weather_daily(spark, sf):
-    return rounded(weather.weather_by_day(t.weather_history(spark, sf), t.weather_forecast(spark, sf)))
+    return rounded(weather.weather_by_day(t.weather_history(spark, sf), t.weather_forecast(spark, sf)), 8)
 
 
 @query
@@ -142,7 +142,8 @@ def weather_history_wins(spark, sf):
     return rounded(
         weather.history_wins(past, ahead).select(
             "date_time", "event_id", "temperature", "minimum_temperature", "maximum_temperature", "precipitation"
-        )
+        ),
+        8,
     )
 
 
@@ -160,7 +161,7 @@ def weather_history_scan(spark, sf):
     path = fresh_path(spark, "weather-files")
     landed.write.partitionBy("file_day").option("header", True).csv(path)
     scanned = files.scan_weather_history(spark, path)
-    return rounded(scanned.select("date_time", F.col("event_id").cast("long").alias("event_id"), "temperature"))
+    return rounded(scanned.select("date_time", F.col("event_id").cast("long").alias("event_id"), "temperature"), 8)
 
 
 # --- splits ---------------------------------------------------------------------
@@ -202,12 +203,9 @@ def _order_features(spark: SparkSession, sf: str):
 
 
 def _comparable(df: DataFrame) -> DataFrame:
-    """Totals and spreads of prices to cents, skewness to four digits, means to eight."""
-    digits = {
-        c: 4 if "__skew__" in c else 8 if "__mean__" in c or "__percent_true__" in c else 2
-        for c, kind in df.dtypes
-        if kind == "double"
-    }
+    """Totals and spreads of prices to cents, shapes and means to more digits."""
+    places = {"skew": 4, "mean": 6, "percent_true": 8, "min": 8, "max": 8}
+    digits = {c: places.get(c.split("__")[1], 2) for c, kind in df.dtypes if kind == "double" and "__" in c}
     return df.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
@@ -236,7 +234,7 @@ def features_attached(spark, sf):
         "days__num_unique__orders__status",
         "days__count__sales",
         "days__mode__sales__returnflag",
-        "days__mean__sales__price",
+        "days__max__sales__discount",
     )
     return _comparable(prepared.features.select(*wanted))
 
@@ -293,7 +291,7 @@ def haversine_miles(spark, sf):
 
 def _lagged(spark, sf, *columns: str) -> DataFrame:
     curated = Stages(spark, sf).curated().sales.select("store", "product", "date", "sales")
-    return rounded(lags.sales_lags(curated).select("store", "product", "date", *columns))
+    return rounded(lags.sales_lags(curated).select("store", "product", "date", *columns), 8)
 
 
 @query
@@ -648,7 +646,7 @@ def stream_weather_daily(spark, sf):
     )
     target = fresh_path(spark, "weather-days")
     jobs.ingest_weather(hourly, target, fresh_path(spark, "progress"))
-    return rounded(spark.read.parquet(target).select("date", "temperature", "minimum_temperature"))
+    return rounded(spark.read.parquet(target).select("date", "temperature", "minimum_temperature"), 8)
 
 
 @query
