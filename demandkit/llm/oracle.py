@@ -2,4 +2,16 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+o AS (SELECT payload_digest, max(page_id) AS original FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN original IS NULL OR page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM p LEFT JOIN o USING (payload_digest)
+"""
+
+ORACLE: dict[str, str] = {"op3_warc": WARC}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandkit.llm import packing
+from demandkit.llm import packing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -30,3 +30,10 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
 def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.pack(packing.pieces(table(spark, sf, "documents"), tokenizer_file()))
+
+
+@query
+def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page as an archive record, read back."""
+    found = warc.round_trip(table(spark, sf, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
