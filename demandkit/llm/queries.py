@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandkit.llm import packing, warc
+from demandkit.llm import near_dup, packing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -37,3 +37,9 @@ def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Every page as an archive record, read back."""
     found = warc.round_trip(table(spark, sf, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op10_superminhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Near duplicates of all documents on shingles of two words."""
+    return near_dup.near_duplicates(table(spark, sf, "documents"), shingle=2)
