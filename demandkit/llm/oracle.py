@@ -14,4 +14,47 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM p LEFT JOIN o USING (payload_digest)
 """
 
-ORACLE: dict[str, str] = {"op3_warc": WARC}
+#: White space between words, as in the contract of the words.
+_SPACE = r"\x20\x09-\x0D"
+
+LINE_QUALITY = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
+  FROM (SELECT r, regexp_extract_all(text, '[^{_SPACE}]+') AS ws FROM d)),
+g AS (
+  SELECT r, i, [word, lead(word) OVER x, lead(word, 2) OVER x, lead(word, 3) OVER x, lead(word, 4) OVER x] AS win,
+         lead(word, 4) OVER x IS NOT NULL AS whole
+  FROM w WINDOW x AS (PARTITION BY r ORDER BY i)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS c FROM g WHERE whole) WHERE c > 1),
+rep AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest([0, 1, 2, 3, 4]) AS k) GROUP BY r),
+stat AS (
+  SELECT r, count(*) AS n_words, sum(length(word)) AS word_chars,
+         sum(length(regexp_replace(word, '[^#*$%&|<>]', '', 'g'))) AS n_symbols
+  FROM w GROUP BY r),
+l AS (
+  SELECT r, source, text, line, len(regexp_extract_all(line, '[^{_SPACE}]+')) AS words,
+         regexp_replace(regexp_replace(lower(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))),
+                                       '[{_SPACE}]+', ' ', 'g'), '[0-9]', '0', 'g') AS norm
+  FROM (SELECT r, source, text, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^{_SPACE}]')),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM l GROUP BY r),
+often AS (SELECT source, norm FROM l GROUP BY source, norm HAVING count(DISTINCT text) > 20),
+gone AS (
+  SELECT r, sum(words) AS n FROM l JOIN often ON l.norm = often.norm AND l.source IS NOT DISTINCT FROM often.source
+  GROUP BY r),
+o AS (
+  SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+         coalesce(n_symbols, 0) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+         coalesce(rep.n, 0) AS n_repeat_words, coalesce(gone.n, 0) AS n_removed_words
+  FROM d LEFT JOIN stat USING (r) LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN gone USING (r))
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, n_removed_words::BIGINT AS n_removed_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+         AND NOT (n_removed_words > 0 AND (n_words - n_removed_words < 10 OR n_words - n_removed_words < 0.3::DOUBLE * n_words)) AS kept
+FROM o
+"""
+
+ORACLE: dict[str, str] = {"op3_warc": WARC, "op5_line_quality": LINE_QUALITY}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandkit.llm import near_dup, packing, warc
+from demandkit.llm import line_quality, near_dup, packing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -43,3 +43,9 @@ def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
 def op10_superminhash(spark: SparkSession, sf: str) -> DataFrame:
     """Near duplicates of all documents on shingles of two words."""
     return near_dup.near_duplicates(table(spark, sf, "documents"), shingle=2)
+
+
+@query
+def op5_line_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Base rules and the verdict on lines that recur across a source."""
+    return line_quality.judge(table(spark, sf, "documents")).drop("n_removed_lines")
