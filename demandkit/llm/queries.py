@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandkit.llm import line_quality, near_dup, packing, warc
+from demandkit.llm import language, line_quality, near_dup, packing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -49,3 +49,12 @@ def op10_superminhash(spark: SparkSession, sf: str) -> DataFrame:
 def op5_line_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Base rules and the verdict on lines that recur across a source."""
     return line_quality.judge(table(spark, sf, "documents")).drop("n_removed_lines")
+
+
+@query
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """The language of every document; two folds of three are learned from."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", language.held_out("doc_id", 3, 1).alias("held_out"))
+    model = language.learn(docs.filter("not held_out"))
+    found = language.identify(docs.select("doc_id", "text", "held_out"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "share", "n_spans", "spans")
