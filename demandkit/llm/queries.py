@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandkit.llm import language, line_quality, near_dup, packing, warc
+from demandkit.llm import language, line_quality, near_dup, packing, sanitise, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -58,3 +58,9 @@ def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     model = language.learn(docs.filter("not held_out"))
     found = language.identify(docs.select("doc_id", "text", "held_out"), model)
     return found.select("doc_id", "held_out", "lang_pred", "score", "share", "n_spans", "spans")
+
+
+@query
+def op9_sanitise(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data of every document, and terms that disclose it."""
+    return sanitise.sanitise(table(spark, sf, "documents"))
