@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandkit.llm import language, line_quality, near_dup, packing, sanitise, warc
+from demandkit.llm import language, line_quality, mixing, near_dup, packing, sanitise, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -64,3 +64,9 @@ def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
 def op9_sanitise(spark: SparkSession, sf: str) -> DataFrame:
     """Personal data of every document, and terms that disclose it."""
     return sanitise.sanitise(table(spark, sf, "documents"))
+
+
+@query
+def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its calibrated probability, and whether it is kept."""
+    return mixing.mix(table(spark, sf, "documents")).select("rest.doc_id", "source", "lang", "topic", "n_tokens", "probability", "weight", "kept")
