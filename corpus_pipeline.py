@@ -1,15 +1,63 @@
-"""A corpus from documents to training sequences, in stages that each read what the last one wrote."""
+"""A corpus from documents to training sequences, in stages that each read what the last one wrote.
+
+Defined results: the stages inherit those of their operators; rows with null or empty
+texts have no language and go in the first stage; an empty table stays empty; further
+columns of the documents are carried up to the last stage.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from demandkit.llm import packing
+from demandkit.llm import language, mixing, near_dup, packing, sanitise
 from demandkit.llm.queries import tokenizer_file
 from demandkit.runtime import settle
 
+#: Share of the tokens that the mix keeps; targets a little flatter than the corpus.
+MIX_RATE = 0.85
+MIX_POWERS = {"source": 0.9, "lang": 0.9, "topic": 0.95}
+
+
+def _whole(docs: DataFrame) -> Column:
+    """All columns as one, so that their names meet none of an operator."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("rest")
+
+
+def _back(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*(F.col(f"rest.`{c}`") for c in docs.columns))
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (no letters) go."""
+    model = language.learn(docs.filter(~language.held_out("doc_id", 3, 1)))
+    found = language.identify(docs.select(_whole(docs), "text"), model)
+    return _back(found.filter(F.col("lang_pred") != language.UNKNOWN), docs)
+
+
+def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five-word shingles, similarity 0.8.
+
+    Of rows with one id and equal texts, one stays as well.
+    """
+    groups = near_dup.near_duplicates(docs)
+    kept = settle(groups.filter("kept").select("doc_id").distinct(), "kept")
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return rows.dropDuplicates(["doc_id", "text"])
+
+
+def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it leave the texts; no document goes."""
+    out = sanitise.sanitise(docs, with_text=True)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are kept with the probabilities that meet the target weights."""
+    mixed = mixing.mix(docs, carry=docs.columns, rate=MIX_RATE, powers=MIX_POWERS)
+    return _back(mixed.filter("kept"), docs)
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 tokens."""
@@ -17,6 +65,10 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", identify_language),
+    ("near duplicates", remove_near_duplicates),
+    ("personal data", remove_personal_data),
+    ("mixing", mix_sources),
     ("packing", pack),
 ]
 
@@ -28,5 +80,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), name)
+        docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
