@@ -4,9 +4,9 @@ A document's set holds its distinct word shingles (lower-cased A-Z). Documents w
 equal sets form a class; only one of a class is searched for neighbours. Its signature
 is cut into bands; the classes that share a band are a bucket. In each bucket one leader
 is compared with all others, on whole sets. Where a bucket still holds several
-components, the next leader follows, until every pair of a bucket is either compared or
-in one component. So no bucket is capped, no list of pairs is made, and a bucket with n
-near copies costs n comparisons.
+components, further leaders follow, more in each round, until every pair of a bucket is
+either compared or in one component. So no bucket is capped, and a bucket with n near
+copies costs n comparisons.
 
 Only the signature can lose a link: with 40 bands of 5 values, two sets of similarity
 0.8 share no band with a probability of 1.3e-7.
@@ -32,6 +32,8 @@ from demandkit.llm.words import GOLDEN, coded, filled, hashed, mix, slices, spli
 from demandkit.runtime import settle
 
 ROWS, BANDS = 5, 40
+#: Leaders of a bucket in the second round; so many times more in each later one.
+LEADERS = 16
 #: Elements whose permutations a step of the signature holds at once.
 STEP_ELEMENTS = 60_000
 _UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -184,6 +186,30 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("u", "v", "a", "b").mapInArrow(compare, "u long, v long")
 
 
+def _still_open(open_: DataFrame, components_: DataFrame, leaders: int) -> DataFrame:
+    """Of each bucket that still holds several components, the members that were not leaders yet,
+    and which of them lead now: all of a small bucket, or about ``leaders`` by their hash."""
+    rest = (
+        open_.filter("not done").select("bucket", "node").join(components_, "node", "left")
+        .select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    )
+    several = (
+        rest.groupBy("bucket")
+        .agg(F.min("node").alias("first"), F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
+        .filter("low < high").select("bucket", "first", "n")
+    )
+    chosen = F.pmod(F.xxhash64("node", "bucket"), F.col("n")) < leaders
+    lead = (F.col("node") == F.col("first")) | chosen
+    return settle(rest.join(several, "bucket").select("bucket", "node", "component", lead.alias("done")), "members")
+
+
+def _leader_pairs(open_: DataFrame) -> DataFrame:
+    """Each leader with the bucket's members of other components."""
+    lead = open_.filter("done").select("bucket", F.col("node").alias("v"), F.col("component").alias("other"))
+    pairs = open_.join(lead, "bucket").filter("component <> other")
+    return pairs.select(F.greatest("node", "v").alias("u"), F.least("node", "v").alias("v")).distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (the smallest of its component) of every row."""
     found = settle(features(docs, shingle, rows, bands), "features")
@@ -196,30 +222,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
     shared = exploded.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last")
     members = settle(exploded.join(shared, "bucket").select("bucket", "node", "leader").distinct(), "members")
 
-    links = components_ = None
+    components_ = None
     if not members.isEmpty():
         wanted = members.select(F.col("node").alias("doc_id")).distinct()
         sets = settle(full_sets(docs.join(wanted, "doc_id", "left_semi"), shingle), "sets")
-        open_ = members
+        pairs = members.filter("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct()
+        links = settle(verified(pairs, sets, percent), "near")
+        open_, leaders = members.select("bucket", "node", (F.col("node") == F.col("leader")).alias("done")), LEADERS
         while True:
-            pairs = open_.filter("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct()
-            new = verified(pairs, sets, percent)
-            links = settle(new if links is None else links.unionByName(new), "near")
             components_ = settle(components(links), "components")
-            # Buckets that still hold several components go on with the next leader; the last one is done.
-            rest = (
-                open_.filter("node <> leader").select("bucket", "node")
-                .join(components_, "node", "left")
-                .select("bucket", "node", F.coalesce("component", "node").alias("component"))
-            )
-            several = (
-                rest.groupBy("bucket")
-                .agg(F.min("node").alias("leader"), F.min("component").alias("low"), F.max("component").alias("high"))
-                .filter("low < high").select("bucket", "leader")
-            )
-            open_ = settle(rest.join(several, "bucket").select("bucket", "node", "leader"), "members")
+            open_ = _still_open(open_, components_, leaders)
             if open_.isEmpty():
                 break
+            links = settle(links.unionByName(verified(_leader_pairs(open_), sets, percent)), "near")
+            leaders *= LEADERS
 
     of_class = classes if components_ is None else classes.join(components_, "node", "left")
     component = F.col("node") if components_ is None else F.coalesce("component", "node")

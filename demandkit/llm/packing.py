@@ -26,7 +26,7 @@ from demandkit.llm.words import filled, slices
 from demandkit.runtime import settle
 
 #: Remembered words of a task's tokenizer; the memory is emptied beyond it.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 #: Pieces that are packed together, on average.
 GROUP_PIECES = 2048
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandkit.llm import language, line_quality, mixing, near_dup, packing, sanitise, warc
+from demandkit.llm import fingerprints, language, line_quality, mixing, near_dup, packing, sanitise, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -70,3 +70,9 @@ def op9_sanitise(spark: SparkSession, sf: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with its calibrated probability, and whether it is kept."""
     return mixing.mix(table(spark, sf, "documents")).select("rest.doc_id", "source", "lang", "topic", "n_tokens", "probability", "weight", "kept")
+
+
+@query
+def op6_iblt(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of all documents, their edited texts and the documents that follow them."""
+    return fingerprints.fingerprints(table(spark, sf, "documents"))
