@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandkit.llm import fingerprints, language, line_quality, mixing, near_dup, packing, sanitise, warc
+from demandkit.llm import fingerprints, language, line_quality, lm, mixing, near_dup, packing, sanitise, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -76,3 +76,9 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
 def op6_iblt(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of all documents, their edited texts and the documents that follow them."""
     return fingerprints.fingerprints(table(spark, sf, "documents"))
+
+
+@query
+def op4_gru_lm(spark: SparkSession, sf: str) -> DataFrame:
+    """Log probabilities of all documents; six folds of seven are learned from."""
+    return lm.score(table(spark, sf, "documents"), language.held_out("doc_id", 7, 2))
