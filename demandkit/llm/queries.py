@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandkit.llm import fingerprints, language, line_quality, lm, mixing, near_dup, packing, sanitise, warc
+from demandkit.llm import fingerprints, language, line_quality, lm, mixing, near_dup, packing, sanitise, substrings, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -82,3 +82,9 @@ def op6_iblt(spark: SparkSession, sf: str) -> DataFrame:
 def op4_gru_lm(spark: SparkSession, sf: str) -> DataFrame:
     """Log probabilities of all documents; six folds of seven are learned from."""
     return lm.score(table(spark, sf, "documents"), language.held_out("doc_id", 7, 2))
+
+
+@query
+def op8_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the 200-byte strings that occur again."""
+    return substrings.remove_repeats(table(spark, sf, "documents"))
