@@ -6,6 +6,7 @@ import tomllib
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType
 
 STORE_SCHEMA = "store int, state string, city string, store_name string"
 
@@ -31,7 +32,15 @@ class ForecastConfig:
     rain_threshold: float = 0.5
     train_share: float = 0.75
     grace_days: int = 3
+    #: Trees at most; boosting stops before that once the test set gains nothing.
+    max_iter: int = 100
     stores: tuple[Store, ...] = field(default_factory=tuple)
+    #: Types of register attributes by column ("double", "boolean", "string"): numbers
+    #: are averaged over a day, others voted on.
+    attributes: tuple[tuple[str, str], ...] = ()
+
+    def attribute_types(self) -> dict[str, DataType]:
+        return {name: DataType.fromDDL(ddl) for name, ddl in self.attributes}
 
     def for_store(self, store: int) -> "ForecastConfig":
         if store not in {s.store for s in self.stores}:
@@ -62,6 +71,7 @@ def load_config(path: str) -> ForecastConfig:
         rows_per_page=int(base.get("rows_per_page", 10)),
         horizons=horizons or ("tomorrow",),
         stores=stores,
+        attributes=tuple((name, str(ddl)) for name, ddl in doc.get("attributes", {}).items()),
     )
 
 

@@ -125,7 +125,7 @@ def run_landed(
     stored order table.
     """
     if config.register == "csv":
-        lines = files.scan_csv_folder(spark, f"{landing}/sales")
+        lines = files.scan_csv_folder(spark, f"{landing}/sales", config.attribute_types())
     else:
         lines = load_sales(spark, config, f"{landing}/sales")
     by_day = weather_by_day(
@@ -137,8 +137,8 @@ def run_landed(
     states = sorted({s.state for s in config.stores})
     stores = store_table(spark, config.stores)
     orders, forecast = run_forecast(lines, stores, states, entities, config, with_lags, **options)
-    files.write_stage(orders, f"{out}/orders", ["store"])
+    files.replace_table(orders, f"{out}/orders", ["store"])
     files.write_stage(regression_metrics(forecast.evaluation), f"{out}/evaluation")
-    files.save_model(forecast.trained.evaluation, f"{out}/model_evaluation")
-    files.save_model(forecast.trained.production, f"{out}/model_production")
+    forecast.trained.evaluation.save(f"{out}/model_evaluation")
+    forecast.trained.production.save(f"{out}/model_production")
     return spark.read.schema(orders.schema).parquet(f"{out}/orders").select(*orders.columns)

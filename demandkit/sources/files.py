@@ -3,78 +3,123 @@
 from __future__ import annotations
 
 import csv
-import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from demandkit.operators.weather import canonical, latest_per_key
+from demandkit.runtime import small_side
 from demandkit.schemas import SALES_TYPES, WEATHER_TYPES
 
-#: Files up to this size hold no data (empty, or a single blank).
-EMPTY_FILE_BYTES = 1
+#: Different headers that a folder may have.
+MAX_HEADERS = 1000
+REJECTED = "__rejected"
 
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First line of each listed file; the rest of the file is not read."""
-    from pyarrow import fs
-
-    for batch in batches:
-        lines = []
-        for path in batch["path"]:
-            filesystem, inner = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
-            line = b""
-            with filesystem.open_input_stream(inner) as stream:
-                while b"\n" not in line:
-                    piece = stream.read(4096)
-                    if not piece:
-                        break
-                    line += piece
-            lines.append(line.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig"))
-        yield batch.assign(header=lines)
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of the CSV files under a folder, with its file and where its part begins."""
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .text(path)
+        .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("begin"))
+    )
+    return lines.withColumn("value", F.regexp_replace("value", "^\ufeff", ""))
 
 
 def csv_headers(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, header) of the non-empty files; tasks share out the list."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(path)
-        .select("path", "length")
-        .filter(F.col("length") > EMPTY_FILE_BYTES)
-    )
-    return files.mapInPandas(_first_lines, "path string, length bigint, header string")
+    """(path, header) of the files that are not empty. The first line of a file is the
+    one that comes first in its first part."""
+    first = _lines(spark, path).filter("begin = 0").withColumn("place", F.monotonically_increasing_id())
+    return first.groupBy("path").agg(F.min_by("value", "place").alias("header")).filter(F.trim("header") != "")
 
 
-def accepted_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """Column names and paths of the files that share the header of the first
-    non-empty file by name. File names are the scan's own metadata."""
-    headers = csv_headers(spark, path)
+def _columns(header: str) -> tuple[str, ...]:
+    return tuple(next(csv.reader([header])))
+
+
+def _groups(headers: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """Written headers by the columns they name; quoted and plain ones are the same."""
+    written = [r[0] for r in headers.select("header").distinct().orderBy("header").limit(MAX_HEADERS + 1).collect()]
+    if len(written) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different headers")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for header in written:
+        groups.setdefault(_columns(header), []).append(header)
+    return groups
+
+
+def _first_columns(headers: DataFrame) -> tuple[str, ...] | None:
     first = headers.agg(F.min_by("header", "path")).first()[0]
-    if first is None:
-        return [], []
-    paths = [r["path"] for r in headers.filter(F.col("header") == first).select("path").collect()]
-    return next(csv.reader([first])), sorted(paths)
+    return None if first is None else _columns(first)
+
+
+def skipped_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, header) of the files that :func:`scan_csv_folder` leaves out, for a report."""
+    headers = csv_headers(spark, path)
+    first = _first_columns(headers)
+    accepted = _groups(headers).get(first, []) if first else []
+    return headers.filter(~F.col("header").isin(accepted))
+
+
+def _parsed(
+    spark: SparkSession, path: str, headers: DataFrame, columns: Sequence[str], written: Sequence[str],
+    types: dict[str, T.DataType], rejected: bool,
+) -> DataFrame:
+    """The data lines of the files with one of the written headers, and their file."""
+    schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in columns])
+    options = {"mode": "FAILFAST"}
+    if rejected:
+        schema = schema.add(REJECTED, T.StringType())
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
+    own = small_side(headers.filter(F.col("header").isin(list(written))).select(F.col("path").alias("file"), "header"))
+    lines = _lines(spark, path).join(own, F.col("path") == F.col("file")).filter((F.trim("value") != "") & (F.col("value") != F.col("header")))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    # The text to parse depends on the join, so no pushed filter parses a header line.
+    data = F.when(F.col("value") != F.col("header"), F.col("value"))
+    return lines.select(F.from_csv(data, ddl, options).alias("row"), "path").select("row.*", F.col("path").alias("__file"))
 
 
 def scan_csv_folder(
     spark: SparkSession, path: str, types: dict[str, T.DataType] | None = None
 ) -> DataFrame:
-    """All files of a folder with equal columns as one table.
+    """All files of a folder with the columns of its first file as one table.
 
-    Empty files and files with other columns are skipped. Types come from
-    ``types``; other columns are strings. Nothing is inferred from the data.
+    Empty files and files with other columns are skipped (:func:`skipped_files` lists
+    them). Types come from ``types``; other columns are strings. A line that does not
+    fit its types stops the job; :func:`rejected_lines` lists those lines. A quoted
+    value cannot span lines.
     """
-    columns, paths = accepted_files(spark, path)
-    if not paths:
+    headers = csv_headers(spark, path)
+    columns = _first_columns(headers)
+    if columns is None:
         raise FileNotFoundError(f"no CSV file with data under {path}")
     known = {**SALES_TYPES, **(types or {})}
-    schema = T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in columns])
-    return spark.read.schema(schema).option("header", True).csv(paths)
+    return _parsed(spark, path, headers, columns, _groups(headers)[columns], known, False).drop("__file")
+
+
+def rejected_lines(spark: SparkSession, path: str, types: dict[str, T.DataType] | None = None) -> DataFrame:
+    """(path, line) of the lines of accepted files that do not fit their types."""
+    headers = csv_headers(spark, path)
+    columns = _first_columns(headers)
+    if columns is None:
+        raise FileNotFoundError(f"no CSV file with data under {path}")
+    known = {**SALES_TYPES, **(types or {})}
+    rows = _parsed(spark, path, headers, columns, _groups(headers)[columns], known, True)
+    return rows.filter(F.col(REJECTED).isNotNull()).select(F.col("__file").alias("path"), F.col(REJECTED).alias("line"))
+
+
+def _all_weather(spark: SparkSession, path: str) -> DataFrame:
+    """All weather files, whatever columns each has; columns a file lacks are NULL."""
+    headers = csv_headers(spark, path)
+    rows = None
+    for columns, written in _groups(headers).items():
+        part = _parsed(spark, path, headers, columns, written, WEATHER_TYPES, False)
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    if rows is None:
+        raise FileNotFoundError(f"no CSV file with data under {path}")
+    return rows
 
 
 def scan_weather_history(spark: SparkSession, path: str) -> DataFrame:
@@ -83,17 +128,11 @@ def scan_weather_history(spark: SparkSession, path: str) -> DataFrame:
     Of equal timestamps the row of the latest file stays, so the last row of the
     newest file is kept as well.
     """
-    columns, paths = accepted_files(spark, path)
-    schema = T.StructType([T.StructField(c, WEATHER_TYPES.get(c, T.StringType())) for c in columns])
-    rows = spark.read.schema(schema).option("header", True).csv(paths)
-    named = canonical(rows.withColumn("__file", F.col("_metadata.file_path")))
-    return latest_per_key(named, ["date_time"], ["__file"]).drop("__file")
+    return latest_per_key(canonical(_all_weather(spark, path)), ["date_time"], ["__file"]).drop("__file")
 
 
 def scan_weather_forecast(spark: SparkSession, path: str) -> DataFrame:
-    columns, paths = accepted_files(spark, path)
-    schema = T.StructType([T.StructField(c, WEATHER_TYPES.get(c, T.StringType())) for c in columns])
-    return canonical(spark.read.schema(schema).option("header", True).csv(paths))
+    return canonical(_all_weather(spark, path).drop("__file"))
 
 
 def discover_entities(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -117,13 +156,11 @@ def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_export(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
-
-
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Parquet in place of the whole table; nothing of an earlier run stays."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def write_export(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("header", True).csv(path)

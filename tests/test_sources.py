@@ -36,6 +36,36 @@ def test_folder_scan_skips_empty_and_differing_files(spark, tmp_path, rows):
     ]
 
 
+def test_quoted_headers_are_the_same_columns(spark, tmp_path, rows):
+    folder = tmp_path / "sales"
+    put(folder, "a.csv", HEADER + "1,1,x,2024-01-01,2.0,3.5\n")
+    put(folder, "b.csv", '"index","store","product","date","sales","price"\n2,1,"y, z",2024-01-02,1.0,4\n')
+    put(folder, "c.csv", "index,store\n3,1\n")
+    assert rows(files.scan_csv_folder(spark, str(folder)), "index", "product") == [(1, "x"), (2, "y, z")]
+    assert [(r.path.rsplit("/", 1)[-1], r.header) for r in files.skipped_files(spark, str(folder)).collect()] == [("c.csv", "index,store")]
+
+
+def test_bad_lines_stop_the_scan_and_are_listed(spark, tmp_path, rows):
+    folder = tmp_path / "sales"
+    put(folder, "a.csv", HEADER + "1,1,x,2024-01-01,2.0,3.5\n2,1,x,someday,2.0,3\n3,1,x,2024-01-03,much,3\n4,1,x,2024-01-04,2.0,4\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|malformed"):
+        files.scan_csv_folder(spark, str(folder)).collect()
+    assert rows(files.rejected_lines(spark, str(folder)), "line") == [("2,1,x,someday,2.0,3",), ("3,1,x,2024-01-03,much,3",)]
+
+
+def test_attributes_get_their_declared_types(spark, tmp_path):
+    put(tmp_path / "s", "a.csv", HEADER + "1,1,x,2024-01-01,2.0,1.0\n2,1,x,2024-01-01,2.0,1.0\n3,1,x,2024-01-01,2.0,4.0\n")
+    config = ForecastConfig(attributes=(("price", "double"),))
+    lines = files.scan_csv_folder(spark, str(tmp_path / "s"), config.attribute_types())
+    assert to_grain(lines).first()["price"] == 2.0
+
+
+def test_weather_files_with_more_columns_are_read(spark, tmp_path, rows):
+    put(tmp_path / "w", "a.csv", "Date time,Temperature\n01/01/2024 00:00:00,1\n")
+    put(tmp_path / "w", "b.csv", "Date time,Temperature,Wind Speed\n01/02/2024 00:00:00,2,7\n")
+    assert rows(files.scan_weather_history(spark, str(tmp_path / "w")), "temperature", "wind_speed") == [(1.0, None), (2.0, 7.0)]
+
+
 def test_folder_without_data(spark, tmp_path):
     put(tmp_path / "none", "a.csv", "")
     with pytest.raises(FileNotFoundError):
