@@ -30,4 +30,4 @@ def range_end(text: Column, which: int) -> Column:
 
 
 def truncated_exp(value: Column) -> Column:
-    return F.exp(value).cast("int")
+    return F.exp(value).cast("long")

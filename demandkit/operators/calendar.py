@@ -41,6 +41,7 @@ HOLIDAY_RULES = (
     ("Reformationstag", ("BE", "BW", "BY", "HE", "NW", "RP", "SL"), "fixed", 10, 31, 2017, 2017),
     ("Allerheiligen", ("BW", "BY", "NW", "RP", "SL"), "fixed", 11, 1, None, None),
     ("Buß- und Bettag", ("SN",), "wednesday_before", 11, 23, None, None),
+    ("Buß- und Bettag", tuple(s for s in ALL_STATES if s != "SN"), "wednesday_before", 11, 23, 1990, 1994),
     ("Erster Weihnachtstag", ALL_STATES, "fixed", 12, 25, None, None),
     ("Zweiter Weihnachtstag", ALL_STATES, "fixed", 12, 26, None, None),
 )

@@ -13,8 +13,6 @@ from demandkit.runtime import settle
 #: Factors for the two ends of an order range.
 BAND = (0.85, 1.15)
 SERVED_DAYS = 7
-#: Rows that one task may sort.
-SORT_ROWS = 2_000_000
 
 # Columns of the order table.
 ORDER_COLUMNS = (
@@ -30,31 +28,32 @@ ORDER_COLUMNS = (
 )
 
 
-def position_within(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, sort_rows: int = SORT_ROWS
-) -> DataFrame:
-    """1-based position inside each group.
+def position_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """1-based position inside each group, a NULL group included.
 
-    The rows are stored and counted. Up to ``sort_rows`` in the whole table, no
-    group can be too large to sort in a task. Beyond that a group may be, and the
-    rows are range-partitioned by (group, order) instead: the position inside a
-    partition, plus the group's rows in the partitions before it.
+    No task needs to hold a whole group: the rows are range-partitioned by (group,
+    order) and stored; the position is the one inside a partition plus the group's rows
+    in the partitions before it. One way for every size.
     """
-    stored = settle(df, "unnumbered")
-    if stored.count() <= sort_rows:
-        return stored.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(*order)))
-
-    numbered = stored.repartitionByRange(*group, *order).withColumn("__part", F.spark_partition_id())
-    ranged = settle(numbered, "ranged")
+    ranged = settle(
+        df.repartitionByRange(*group, *order).withColumn("__part", F.spark_partition_id()), "ranged"
+    )
     before = W.partitionBy(*group).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(*group, "__part")
         .agg(F.count(F.lit(1)).alias("__rows"))
-        .select(*group, "__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
+        .select(
+            *[F.col(c).alias(f"__{c}") for c in group],
+            F.col("__part").alias("__of"),
+            F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"),
+        )
     )
     local = F.row_number().over(W.partitionBy(*group, "__part").orderBy(*order))
-    placed = ranged.join(offsets, [*group, "__part"])
-    return placed.withColumn(name, (local + F.col("__offset")).cast("int")).drop("__part", "__offset")
+    same = F.col("__part") == F.col("__of")
+    for c in group:
+        same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+    numbered = ranged.withColumn("__local", local).join(offsets, same)
+    return numbered.select(*df.columns, (F.col("__local") + F.col("__offset")).cast("int").alias(name))
 
 
 def with_day_number(predictions: DataFrame, days: int = SERVED_DAYS) -> DataFrame:

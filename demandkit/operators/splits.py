@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 MIN_ROWS = 10
+SPLITS = ("train", "test", "predict")
 
 
 def split_bounds(curated: DataFrame, train_share: float = 0.75) -> DataFrame:
@@ -75,10 +76,13 @@ def split_sizes(labelled: DataFrame, date: str = "date") -> DataFrame:
 
 
 def split_violations(sizes: DataFrame, bounds: Bounds, min_rows: int = MIN_ROWS) -> DataFrame:
-    """Sets that are too small or reach across a cut."""
+    """Sets that are missing, too small or reach across a cut."""
+    expected = sizes.sparkSession.createDataFrame([(name,) for name in SPLITS], "split string")
+    sizes = expected.join(sizes, "split", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
     split, cutoff = F.col("split"), F.lit(bounds.cutoff_date)
     broken = (
-        F.when((split != "predict") & (F.col("n_rows") < min_rows), "too few rows")
+        F.when(F.col("n_rows") == 0, "no rows")
+        .when((split != "predict") & (F.col("n_rows") < min_rows), "too few rows")
         .when((split == "train") & (F.col("last_date") > cutoff), "train after cut")
         .when((split == "test") & (F.col("first_date") <= cutoff), "test before cut")
         .when((split == "test") & (F.col("last_date") >= F.lit(bounds.pred_cutoff)), "test in days to predict")

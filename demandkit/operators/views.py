@@ -77,10 +77,17 @@ def order_export(orders: DataFrame, horizon: str | None) -> DataFrame:
 def apply_overrides(orders: DataFrame, overrides: DataFrame, keys: Sequence[str] = ("store", "product")) -> DataFrame:
     """Quantities entered by the user replace the suggestions they match.
 
-    ``overrides`` has the keys, one row each, and any of the quantity columns.
+    ``overrides`` has the keys, one row each, and any of the quantity columns. Keys
+    that come twice stop the job: neither row is the right one.
     """
     changed = [c for c in overrides.columns if c not in keys]
-    entered = overrides.select(*keys, *[F.col(c).alias(f"__{c}") for c in changed])
+    repeated = F.raise_error(F.concat_ws(" ", F.lit("several overrides for"), *[F.col(k).cast("string") for k in keys]))
+    entered = (
+        overrides.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__rows"), *[F.first(c).alias(f"__{c}") for c in changed])
+        .withColumns({f"__{c}": F.when(F.col("__rows") > 1, repeated.cast(overrides.schema[c].dataType)).otherwise(F.col(f"__{c}")) for c in changed})
+        .drop("__rows")
+    )
     joined = orders.join(entered, list(keys), "left")
     return joined.withColumns({c: F.coalesce(f"__{c}", c) for c in changed}).select(*orders.columns)
 

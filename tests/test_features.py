@@ -166,6 +166,8 @@ def test_small_sets_are_violations(curated):
     bounds = splits.fetch_bounds(curated)
     sizes = splits.split_sizes(splits.assign_split(curated.filter(F.col("date") != F.lit(day(35))), bounds))
     assert [r["violation"] for r in splits.split_violations(sizes, bounds).collect()] == ["too few rows"]
+    missing = splits.split_sizes(splits.assign_split(curated, bounds)).filter("split <> 'test'")
+    assert [r["violation"] for r in splits.split_violations(missing, bounds).collect()] == ["no rows"]
 
 
 def test_without_rows_to_predict(curated):

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from demandkit.functions.numbers import half_even, range_end, range_text
 from demandkit.operators import serve, views
@@ -67,15 +67,15 @@ def test_joined_horizons_equal_the_single_aggregation(predictions, rows):
     assert rows(joined) == rows(totals)
 
 
-def test_positions_of_large_tables_equal_those_of_small_ones(spark, rows):
+def test_positions_equal_plain_numbering(spark, rows):
     df = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, 1).otherwise((F.col("id") % 7).cast("int")).alias("store"),
+        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 11 != 0, (F.col("id") % 7).cast("int")).alias("store"),
         F.format_string("p%05d", (F.col("id") * 7919) % 3000).alias("product"),
     )
-    small = serve.position_within(df, ["store"], ["product"], "id")
-    large = serve.position_within(df, ["store"], ["product"], "id", sort_rows=10)
-    assert dict(small.dtypes)["id"] == dict(large.dtypes)["id"] == "int"
-    assert rows(small, "store", "product", "id") == rows(large, "store", "product", "id")
+    numbered = serve.position_within(df, ["store"], ["product"], "id")
+    plain = df.withColumn("id", F.row_number().over(Window.partitionBy("store").orderBy("product")))
+    assert dict(numbered.dtypes)["id"] == "int" and df.filter("store IS NULL").count() > 0
+    assert rows(numbered, "store", "product", "id") == rows(plain, "store", "product", "id")
 
 
 def test_lookup(orders, rows):
@@ -107,6 +107,12 @@ def test_overrides_replace_only_what_was_entered(spark, orders, rows):
     ]
 
 
+def test_overrides_for_one_pair_twice_stop_the_job(spark, orders):
+    entered = spark.createDataFrame([(1, "a", 9), (1, "a", 8)], "store int, product string, tomorrow_order_qty long")
+    with pytest.raises(Exception, match="several overrides for 1 a"):
+        views.apply_overrides(orders, entered).collect()
+
+
 def test_dashboard(orders, rows):
     assert rows(views.dashboard_kpis(orders)) == [(1, 30, 2, 7), (2, 2, 1, 7)]
     assert rows(views.dashboard_bands(orders)) == [(1, 25, 10), (2, 1, 1)]
