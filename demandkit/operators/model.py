@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from demandkit.operators.grain import PAIR, TARGET
 from demandkit.operators.template import future_template
+from demandkit.runtime import settle, small_side
 
-#: Categories up to this many values become indexed tree categories; wider ones
-#: become their mean target.
-MAX_CATEGORIES = 256
-#: Tree bins beyond that number, as the count of values is approximate.
-BIN_MARGIN = 1.25
+#: Tree bins; an indexed category with more values is an error of the booster.
+MAX_BINS = 64
 #: Stands for a missing number: below every value, so trees can split it off.
 MISSING = -1.0e12
 #: Weight of the overall mean in the mean target of a category.
@@ -53,34 +52,44 @@ def clean(features: DataFrame, columns: Columns) -> DataFrame:
     )
 
 
-def wide_categories(features: DataFrame, columns: Columns, limit: int = MAX_CATEGORIES) -> list[str]:
-    if not columns.categorical:
-        return []
-    sizes = features.agg(*[F.approx_count_distinct(c).alias(c) for c in columns.categorical]).first()
-    return [c for c in columns.categorical if sizes[c] > limit]
+def chosen_means(features: DataFrame, columns: Columns, encodings: Mapping[str, str] | None = None) -> list[str]:
+    """The categories that become mean targets. The caller names ``"mean"`` or ``"index"``
+    by column; strings are means and flags are indexed otherwise, however many values
+    there are."""
+    named = encodings or {}
+    unknown = set(named.values()) - {"mean", "index"} or set(named) - set(columns.categorical)
+    if unknown:
+        raise ValueError(f"unknown encodings or columns: {sorted(unknown)}")
+    flags = {f.name for f in features.schema if isinstance(f.dataType, T.BooleanType)}
+    return [c for c in columns.categorical if named.get(c, "index" if c in flags else "mean") == "mean"]
 
 
-def target_means(training: DataFrame, column: str, weight: float = PRIOR_WEIGHT) -> DataFrame:
-    """Smoothed mean target by category, the overall mean being the prior."""
-    prior = training.agg(F.avg(TARGET)).scalar()
-    return training.groupBy(column).agg(
-        ((F.sum(TARGET) + F.lit(weight) * prior) / (F.count(TARGET) + weight)).alias(f"mean_target__{column}")
+def target_sums(training: DataFrame, column: str) -> DataFrame:
+    """Sum and number of known targets by category."""
+    known = training.filter(F.col(TARGET).isNotNull())
+    return known.groupBy(column).agg(
+        F.sum(TARGET).alias(f"__sum_{column}"), F.count(F.lit(1)).alias(f"__n_{column}")
     )
 
 
-def encode_wide(features: DataFrame, training: DataFrame, columns: Columns, wide: Sequence[str]) -> tuple[DataFrame, Columns]:
-    """Replace wide categories by mean targets of the training rows; values unseen
-    there get the overall mean. No list of categories passes through the driver."""
-    for column in wide:
-        prior = training.agg(F.avg(TARGET)).scalar()
-        name = f"mean_target__{column}"
-        features = features.join(target_means(training, column), column, "left").withColumn(
-            name, F.coalesce(name, prior)
-        )
-    return features, Columns(
-        [c for c in columns.categorical if c not in wide],
-        columns.numeric + [f"mean_target__{c}" for c in wide],
-    )
+def with_means(
+    rows: DataFrame, sums: Mapping[str, DataFrame], prior: float, counted: Column | None = None, weight: float = PRIOR_WEIGHT
+) -> DataFrame:
+    """Smoothed mean target of each category, the overall mean being the prior.
+
+    Rows that are ``counted`` in the sums take their own target out of them, so a
+    training row does not see its answer. No list of categories passes through the
+    driver; categories without training rows get the prior.
+    """
+    own = F.lit(False) if counted is None else counted & F.col(TARGET).isNotNull()
+    for column, table in sums.items():
+        total, n = F.coalesce(f"__sum_{column}", F.lit(0.0)), F.coalesce(f"__n_{column}", F.lit(0))
+        if counted is not None:
+            total, n = total - F.when(own, F.col(TARGET)).otherwise(0.0), n - F.when(own, 1).otherwise(0)
+        mean = (total + weight * prior) / (n + weight)
+        rows = rows.join(small_side(table), column, "left").withColumn(f"mean_target__{column}", mean)
+        rows = rows.drop(f"__sum_{column}", f"__n_{column}")
+    return rows
 
 
 def boosted_trees(
@@ -90,7 +99,7 @@ def boosted_trees(
     step: float = 0.1,
     validation: str | None = None,
     tolerance: float = 0.01,
-    max_categories: int = MAX_CATEGORIES,
+    max_bins: int = MAX_BINS,
     seed: int = 42,
 ) -> Pipeline:
     """Index categories, assemble, boost with squared loss.
@@ -112,7 +121,7 @@ def boosted_trees(
         maxIter=max_iter,
         maxDepth=max_depth,
         stepSize=step,
-        maxBins=int(max_categories * BIN_MARGIN) + 2,
+        maxBins=max_bins,
         validationTol=tolerance,
         seed=seed,
     )
@@ -126,36 +135,74 @@ def trees_in(model: PipelineModel) -> int:
 
 
 @dataclass(frozen=True)
-class Trained:
-    evaluation: PipelineModel
-    production: PipelineModel
+class Forecaster:
+    """Cleaning, mean targets and trees: raw feature rows in, forecasts out."""
+
     columns: Columns
+    sums: dict[str, DataFrame]
+    prior: float
+    pipeline: PipelineModel
+
+    def encode(self, features: DataFrame, counted: Column | None = None) -> DataFrame:
+        return with_means(clean(features, self.columns), self.sums, self.prior, counted)
+
+    def transform(self, features: DataFrame) -> DataFrame:
+        return self.pipeline.transform(self.encode(features))
+
+    def save(self, path: str) -> None:
+        """The trees, and beside them what turns raw rows into their input."""
+        spark = SparkSession.getActiveSession()
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        for number, column in enumerate(self.sums):
+            self.sums[column].write.mode("overwrite").parquet(f"{path}/sums_{number}")
+        settings = {
+            "categorical": self.columns.categorical, "numeric": self.columns.numeric, "means": list(self.sums), "prior": self.prior,
+        }
+        spark.createDataFrame([(json.dumps(settings),)], "settings string").write.mode("overwrite").parquet(f"{path}/settings")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Forecaster":
+        settings = json.loads(spark.read.parquet(f"{path}/settings").first()[0])
+        sums = {c: spark.read.parquet(f"{path}/sums_{n}") for n, c in enumerate(settings["means"])}
+        columns = Columns(settings["categorical"], settings["numeric"])
+        return cls(columns, sums, settings["prior"], PipelineModel.load(f"{path}/pipeline"))
+
+
+@dataclass(frozen=True)
+class Trained:
+    evaluation: Forecaster
+    production: Forecaster
     features: DataFrame
 
 
-def train(features: DataFrame, max_iter: int = 100, max_categories: int = MAX_CATEGORIES, **options) -> Trained:
+def _fitted(features: DataFrame, counted: Column, columns: Columns, means: Sequence[str], validation: str | None, **options) -> Forecaster:
+    training = clean(features, columns).filter(counted)
+    prior = training.agg(F.avg(TARGET)).first()[0] or 0.0
+    sums = {c: settle(target_sums(training, c), "target-sums") for c in means}
+    known = features.filter(F.col("split") != "predict").withColumn("__held_out", F.col("split") == "test")
+    encoded = with_means(clean(known, columns), sums, prior, counted)
+    inputs = Columns([c for c in columns.categorical if c not in means], columns.numeric + [f"mean_target__{c}" for c in means])
+    return Forecaster(columns, sums, prior, boosted_trees(inputs, validation=validation, **options).fit(encoded))
+
+
+def train(features: DataFrame, max_iter: int = 100, encodings: Mapping[str, str] | None = None, **options) -> Trained:
     """Train on the train set with early stopping on the test set, then again on
     all history with the number of trees that was found.
 
-    ``features`` carries the ``split`` label and should be a stored table, for
-    boosting reads it many times.
+    The production model's mean targets come from all history as well. ``features``
+    carries the ``split`` label and should be a stored table, for boosting reads it
+    many times.
     """
     columns = model_columns(features)
-    cleaned = clean(features, columns)
-    wide = wide_categories(cleaned, columns, max_categories)
-    training = cleaned.filter(F.col("split") == "train")
-    encoded, columns = encode_wide(cleaned, training, columns, wide)
-    known = encoded.filter(F.col("split") != "predict").withColumn("__held_out", F.col("split") == "test")
-    evaluation = boosted_trees(
-        columns, max_iter, validation="__held_out", max_categories=max_categories, **options
-    ).fit(known)
-    production = boosted_trees(
-        columns, trees_in(evaluation), max_categories=max_categories, **options
-    ).fit(known)
-    return Trained(evaluation, production, columns, encoded)
-
-
-def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    means = chosen_means(features, columns, encodings)
+    split = F.col("split")
+    evaluation = _fitted(features, split == "train", columns, means, "__held_out", max_iter=max_iter, **options)
+    trees = trees_in(evaluation.pipeline)
+    production = _fitted(features, split != "predict", columns, means, None, max_iter=trees, **options)
+    return Trained(evaluation, production, features)
+
+
+def score(model: Forecaster, rows: DataFrame) -> DataFrame:
     return model.transform(rows).select(*PAIR, "date", "split", TARGET, "forecast")
 
 

@@ -15,6 +15,7 @@ from demandkit.operators import checks, features as feat, lags, model, serve, sp
 from demandkit.operators.grain import PAIR, TARGET, to_grain
 from demandkit.operators.template import future_template, missing_pairs, recent_profile
 from demandkit.plans import tables as t
+from demandkit.config import ForecastConfig
 from demandkit.plans.stages import baseline_orders, train_and_score
 from demandkit.plans.tables import Stages
 from demandkit.runtime import fresh_path, settle
@@ -614,7 +615,7 @@ def baseline_metrics(spark, sf):
 @query
 def gbt_forecast(spark, sf):
     """Boosted trees: trained, evaluated, trained again, and served."""
-    forecast = train_and_score(Stages(spark, sf).features().features, max_iter=20)
+    forecast = train_and_score(Stages(spark, sf).features().features, max_iter=ForecastConfig().max_iter)
     return serve.order_table(settle(forecast.predictions, "predictions"))
 
 
@@ -631,7 +632,7 @@ def stream_ingest(spark, sf):
     )
     target = fresh_path(spark, "lines")
     jobs.ingest_lines(lines, target, fresh_path(spark, "progress"))
-    stored = spark.read.parquet(target)
+    stored = jobs.ingested_lines(spark, target)
     return stored.groupBy("product", F.col("ts").cast("date").alias("date")).agg(
         F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("sales"), 2).alias("sales")
     )

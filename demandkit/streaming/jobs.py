@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from demandkit.operators.weather import daily
 from demandkit.runtime import settle, small_side
 
+#: How far hourly weather may lag behind the newest hour; a parameter of the job.
 LATENESS = "3 days"
 
 
@@ -26,27 +27,50 @@ def landed_stream(spark: SparkSession, schema, path: str, glob: str = "*", fmt:
     return reader.option("recursiveFileLookup", True).load(path)
 
 
-def fresh_lines(stream: DataFrame, timestamp: str = "ts", row_id: str = "index") -> DataFrame:
-    """Lines once each: late ones up to three days, repeats by row id dropped.
+def ingest_lines(stream: DataFrame, target: str, checkpoint: str, timestamp: str = "ts", row_id: str = "index") -> None:
+    """Append new lines to a table by day and batch, each row id once, however late.
 
-    State per id is kept for the lateness only.
+    A line is compared with the stored lines of its own days, so a backfilled file
+    of any age is kept and no state grows with the stream. A batch that runs again
+    replaces its own partitions. Lines without a timestamp have a partition of their own.
     """
-    timed = stream.withColumn(timestamp, F.col(timestamp).cast("timestamp"))
-    return timed.withWatermark(timestamp, LATENESS).dropDuplicatesWithinWatermark([row_id])
 
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        dated = batch.withColumn("date", F.col(timestamp).cast("date")).dropDuplicates([row_id])
+        fresh = settle(dated, "landed-lines")
+        if has_rows(spark, target):
+            known = spark.read.parquet(target).filter(F.col("batch_id") != batch_id)
+            days = small_side(fresh.select(F.col("date").alias("__date")).distinct())
+            known = known.join(days, F.col("date").eqNullSafe(F.col("__date")), "left_semi").select(row_id)
+            fresh = fresh.join(known, row_id, "left_anti")
+        (
+            fresh.withColumn("batch_id", F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date", "batch_id")
+            .parquet(target)
+        )
 
-def ingest_lines(stream: DataFrame, target: str, checkpoint: str, timestamp: str = "ts", row_id: str = "index") -> None:
-    """Append new lines to a Parquet table, exactly once."""
     _finish(
-        fresh_lines(stream, timestamp, row_id)
-        .writeStream.format("parquet")
-        .outputMode("append")
+        stream.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(target)
+        .start()
     )
 
 
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there before."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return found.exists(hadoop) and any(s.isDirectory() for s in found.listStatus(hadoop))
+
+
+def ingested_lines(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(target).drop("date", "batch_id")
+
+
 def replace_days(batch: DataFrame, target: str) -> None:
     """Replace exactly the days a batch carries."""
     (
@@ -57,15 +81,17 @@ def replace_days(batch: DataFrame, target: str) -> None:
     )
 
 
-def daily_weather_stream(hourly: DataFrame, timestamp: str = "ts") -> DataFrame:
+def daily_weather_stream(hourly: DataFrame, timestamp: str = "ts", lateness: str = LATENESS) -> DataFrame:
     """Daily aggregate as a one-day tumbling window under a watermark."""
-    timed = hourly.withColumn(timestamp, F.col(timestamp).cast("timestamp")).withWatermark(timestamp, LATENESS)
+    timed = hourly.withColumn(timestamp, F.col(timestamp).cast("timestamp")).withWatermark(timestamp, lateness)
     windowed = timed.withColumn("day", F.window(timestamp, "1 day"))
     per_day = daily(windowed, ["day"])
     return per_day.withColumn("date", F.col("day.start").cast("date")).drop("day")
 
 
-def ingest_weather(hourly: DataFrame, target: str, checkpoint: str, timestamp: str = "ts") -> None:
+def ingest_weather(
+    hourly: DataFrame, target: str, checkpoint: str, timestamp: str = "ts", lateness: str = LATENESS
+) -> None:
     """Keep a daily weather table current. Update mode emits every day that
     changed, the open ones included, and the sink replaces those days."""
 
@@ -73,7 +99,7 @@ def ingest_weather(hourly: DataFrame, target: str, checkpoint: str, timestamp: s
         replace_days(batch, target)
 
     _finish(
-        daily_weather_stream(hourly, timestamp)
+        daily_weather_stream(hourly, timestamp, lateness)
         .writeStream.outputMode("update")
         .foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)

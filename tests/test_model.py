@@ -9,7 +9,6 @@ from demandkit.operators import model
 from demandkit.operators.serve import ORDER_COLUMNS
 from demandkit.plans.stages import run_forecast, run_landed, train_and_score
 from demandkit.runtime import settle
-from demandkit.sources.files import load_model, save_model
 
 
 @pytest.fixture(scope="module")
@@ -47,32 +46,42 @@ def test_training_scoring_saving(spark, features, tmp_path):
     forecast = train_and_score(features, max_iter=15)
     metrics = model.regression_metrics(forecast.evaluation).first()
     assert metrics["r2"] > 0.8
-    assert 1 <= model.trees_in(forecast.trained.production) <= 15
+    assert 1 <= model.trees_in(forecast.trained.production.pipeline) <= 15
     assert forecast.predictions.count() == features.filter("split = 'predict'").count()
     assert forecast.predictions.filter("forecast is null").isEmpty()
-    save_model(forecast.trained.production, str(tmp_path / "model"))
-    again = load_model(str(tmp_path / "model"))
-    rows = forecast.trained.features.filter("split = 'predict'")
+    forecast.trained.production.save(str(tmp_path / "model"))
+    again = model.Forecaster.load(spark, str(tmp_path / "model"))
+    rows = features.filter("split = 'predict'")
     first = [r["forecast"] for r in model.score(again, rows).orderBy("date", "product").collect()]
     second = [r["forecast"] for r in forecast.predictions.orderBy("date", "product").collect()]
     assert first == second
+    raw = rows.withColumns({"gappy": F.lit(None).cast("double"), "product": F.lit("never seen"), "promo": F.lit(None).cast("boolean")})
+    assert model.score(again, raw).filter("forecast is null").isEmpty()
 
 
-def test_wide_categories_become_mean_targets(features):
+def test_categories_become_mean_targets_without_their_own_row(features):
     columns = model.model_columns(features)
     cleaned = model.clean(features, columns)
-    assert model.wide_categories(cleaned, columns, limit=6) == ["product"]
+    assert model.chosen_means(features, columns) == ["product"]
+    assert model.chosen_means(features, columns, {"product": "index", "promo": "mean"}) == ["promo"]
+    with pytest.raises(ValueError):
+        model.chosen_means(features, columns, {"product": "hash"})
     training = cleaned.filter("split = 'train'")
-    encoded, changed = model.encode_wide(cleaned, training, columns, ["product"])
-    assert changed.categorical == ["promo"] and "mean_target__product" in changed.numeric
-    assert encoded.count() == features.count()
     prior, n, total = training.agg(F.avg("sales")).first()[0], *training.filter("product = 'p3'").agg(F.count("sales"), F.sum("sales")).first()
-    found = encoded.filter("product = 'p3'").select("mean_target__product").distinct().collect()
-    assert [r[0] for r in found] == [pytest.approx((total + 10 * prior) / (n + 10))]
-    unseen, _ = model.encode_wide(cleaned, training.filter("product <> 'p3'"), columns, ["product"])
-    assert unseen.filter("product = 'p3' and mean_target__product is null").isEmpty()
-    forecast = train_and_score(features, max_iter=5, max_categories=6)
-    assert forecast.predictions.filter("forecast is null").isEmpty()
+    sums = {"product": settle(model.target_sums(training, "product"), "sums")}
+    encoded = model.with_means(cleaned, sums, prior, F.col("split") == "train")
+    assert encoded.count() == features.count()
+    for r in encoded.filter("product = 'p3'").select("split", "sales", "mean_target__product").collect():
+        mine = (1, r["sales"]) if r["split"] == "train" else (0, 0.0)
+        assert r["mean_target__product"] == pytest.approx((total - mine[1] + 10 * prior) / (n - mine[0] + 10))
+    unseen = model.with_means(cleaned, {"product": model.target_sums(training.filter("product <> 'p3'"), "product")}, prior)
+    assert {r[0] for r in unseen.filter("product = 'p3'").select("mean_target__product").distinct().collect()} == {prior}
+
+
+def test_the_number_of_categories_changes_nothing(spark, features):
+    columns = model.model_columns(features)
+    many = features.withColumn("product", F.concat("product", F.lit("-"), F.monotonically_increasing_id() % 257))
+    assert model.chosen_means(many, columns) == model.chosen_means(features, columns)
 
 
 def test_metrics(spark):
@@ -126,4 +135,4 @@ def test_job_over_landed_files(spark, tmp_path):
     ]
     assert orders.filter("next7_order_qty <= 0").isEmpty()
     assert spark.read.parquet(str(tmp_path / "out" / "evaluation")).first()["n_rows"] > 0
-    assert load_model(str(tmp_path / "out" / "model_production")).stages
+    assert model.Forecaster.load(spark, str(tmp_path / "out" / "model_production")).pipeline.stages

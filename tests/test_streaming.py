@@ -31,12 +31,12 @@ def test_repeats_are_dropped_within_and_across_runs(spark, folders, rows):
 
     land(spark, landing, LINES, (1, at(1), "x", 1.0), (1, at(1), "x", 1.0), (2, at(2), "y", 2.0))
     run()
-    land(spark, landing, LINES, (2, at(2), "y", 2.0), (3, at(1), "late but within", 3.0), (4, at(9), "z", 4.0))
+    land(spark, landing, LINES, (2, at(2), "y", 2.0), (3, at(1), "late", 3.0), (4, at(9), "z", 4.0))
     run()
-    land(spark, landing, LINES, (5, at(1), "too late", 5.0), (4, at(9), "z", 4.0), (6, at(10), "w", 6.0))
+    land(spark, landing, LINES, (5, at(1), "backfilled", 5.0), (4, at(9), "z", 4.0), (6, at(10), "w", 6.0))
     run()
     run()
-    assert rows(spark.read.parquet(target), "index") == [(1,), (2,), (3,), (4,), (6,)]
+    assert rows(spark.read.parquet(target), "index") == [(1,), (2,), (3,), (4,), (5,), (6,)]
 
 
 def test_weather_days_are_replaced_when_they_change(spark, folders, rows):
