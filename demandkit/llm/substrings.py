@@ -120,6 +120,13 @@ def _lists(batch: pa.RecordBatch, name: str) -> Iterator[list[np.ndarray]]:
         yield [f.to_numpy(zero_copy_only=False) for f in value.values.flatten()]
 
 
+def _blocks(data: np.ndarray, low: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, int, Strings]]:
+    """Which of the ``low`` starts lie in a block, where it begins, and the hashes of its bytes, block by block."""
+    of = low // BLOCK
+    for b in np.unique(of).tolist():
+        yield np.flatnonzero(of == b), b * BLOCK, Strings(data[b * BLOCK : (b + 1) * BLOCK + length + CELL])
+
+
 def _cells(texts: DataFrame, length: int) -> DataFrame:
     """The cells of the wanted intervals: the core that all their starts share, and all their bytes."""
 
@@ -132,11 +139,12 @@ def _cells(texts: DataFrame, length: int) -> DataFrame:
                     real = lo <= hi
                     low.append(lo[real]), high.append(hi[real]), at.append(np.stack([place[real], np.full(real.sum(), j)]))
                 lo, hi, (p, j) = np.concatenate(low), np.concatenate(high), np.concatenate(at, axis=1)
-                s = Strings(np.frombuffer(text.as_buffer(), np.uint8))
-                core = s.hash(p - CELL * j, p - CELL * j - CELL + 1 + length) ^ mix(j.astype(np.uint64) + GOLDEN)
-                one, two = _pair(s, lo, hi + length, p)
-                arrays = [np.full(len(lo), row.as_py()), lo, hi, p, core.view(np.int64), one, two]
-                yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)) for a in arrays], ["row", "low", "high", "place", "core", "one", "two"])
+                for own, begin, s in _blocks(np.frombuffer(text.as_buffer(), np.uint8), lo, length):
+                    l, h, q, i = lo[own] - begin, hi[own] - begin, p[own] - begin, j[own]
+                    core = s.hash(q - CELL * i, q - CELL * i - CELL + 1 + length) ^ mix(i.astype(np.uint64) + GOLDEN)
+                    one, two = _pair(s, l, h + length, q)
+                    arrays = [np.full(len(l), row.as_py()), lo[own], hi[own], p[own], core.view(np.int64), one, two]
+                    yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)) for a in arrays], ["row", "low", "high", "place", "core", "one", "two"])
 
     return texts.mapInArrow(make, "row long, low long, high long, place long, core long, one long, two long")
 
@@ -147,11 +155,11 @@ def _starts(texts: DataFrame, length: int) -> DataFrame:
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, text, (low, high) in zip(batch.column("row"), batch.column("text"), _lists(batch, "wanted"), strict=True):
-                n = high - low + 1
-                at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                s = Strings(np.frombuffer(text.as_buffer(), np.uint8))
-                arrays = [np.full(len(at), row.as_py()), at, *(s.hash(at, at + length, k).view(np.int64) for k in (0, 1))]
-                yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)) for a in arrays], ["row", "at", "one", "two"])
+                for own, begin, s in _blocks(np.frombuffer(text.as_buffer(), np.uint8), low, length):
+                    n = high[own] - low[own] + 1
+                    at = np.repeat(low[own] - begin - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                    arrays = [np.full(len(at), row.as_py()), at + begin, *(s.hash(at, at + length, k).view(np.int64) for k in (0, 1))]
+                    yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)) for a in arrays], ["row", "at", "one", "two"])
 
     return texts.mapInArrow(make, "row long, at long, one long, two long")
 
@@ -163,10 +171,10 @@ def _removed(texts: DataFrame, with_text: bool) -> DataFrame:
         for batch in batches:
             for row, text, (begin, end) in zip(batch.column("row"), batch.column("text"), _lists(batch, "ranges"), strict=True):
                 data = np.frombuffer(text.as_buffer(), np.uint8)
-                change = np.zeros(len(data) + 1, np.int64)
+                change = np.zeros(len(data) + 1, np.int32)
                 np.add.at(change, begin, 1)
                 np.add.at(change, end, -1)
-                gone = np.cumsum(change[:-1]) > 0
+                gone = np.cumsum(change[:-1], dtype=np.int32) > 0
                 left = data[~gone].tobytes()
                 spans = int(gone[:1].sum() + (np.diff(gone.astype(np.int8)) == 1).sum())
                 arrays = [[row.as_py()], [int(gone.sum())], [spans], [hashlib.sha256(left).hexdigest()], [left if with_text else None]]

@@ -54,6 +54,7 @@ def test_all_substrings(spark, seed, monkeypatch):
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, ranks string")
     # 24 bytes with a sample of 10, so cells and single starts matter.
     monkeypatch.setattr(substrings, "CELL", 4)
+    monkeypatch.setattr(substrings, "BLOCK", 150)
     assert got(substrings.remove_repeats(docs, length=24, gram=10)) == brute(rows, 24)
 
 
