@@ -152,10 +152,10 @@ def calendar_of(facts: DataFrame, states: Sequence[str], extra: DataFrame | None
 
 def with_store_context(facts: DataFrame, stores: DataFrame) -> DataFrame:
     """State, city and name of the store of each row."""
-    return facts.join(stores, "store", "left")
+    return facts.join(small_side(stores), "store", "left")
 
 
 def with_calendar(facts: DataFrame, stores: DataFrame, calendar: DataFrame) -> DataFrame:
     """Calendar columns of each row's day in the state of its store."""
-    placed = facts.join(stores.select("store", "state"), "store", "left")
+    placed = facts.join(small_side(stores.select("store", "state")), "store", "left")
     return placed.join(calendar, ["state", "date"], "left")

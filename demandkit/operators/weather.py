@@ -117,14 +117,25 @@ def drop_last_day(df: DataFrame, date: str = "date") -> DataFrame:
     return df.filter(F.col(date) < df.agg(F.max(date)).scalar())
 
 
-def weather_by_day(history: DataFrame, forecast: DataFrame, rain_threshold: float = 0.5) -> DataFrame:
+def unreadable_timestamps(hourly: DataFrame) -> DataFrame:
+    """Rows whose timestamp text cannot be read; they have no day."""
+    return with_day(hourly).filter(F.col("date").isNull())
+
+
+def weather_by_day(
+    history: DataFrame, forecast: DataFrame, rain_threshold: float = 0.5, unreadable: int = 0
+) -> DataFrame:
     """Curated weather from landed history and forecast.
 
     The last day is fetched from the timestamps alone and dropped before anything
-    is shuffled; rows that compete for a timestamp share its day.
+    is shuffled; rows that compete for a timestamp share its day. More than
+    ``unreadable`` rows without a readable timestamp stop the job.
     """
     past, ahead = prepare_history(history), prepare_forecast(forecast, rain_threshold)
     stamps = with_day(past.select("date_time").union(ahead.select("date_time")))
-    last = F.lit(stamps.agg(F.max("date")).first()[0]).cast("date")
+    found = stamps.agg(F.max("date").alias("last"), F.count_if(F.col("date").isNull()).alias("lost")).first()
+    if found["lost"] > unreadable:
+        raise ValueError(f"{found['lost']} weather rows have no readable timestamp")
+    last = F.lit(found["last"]).cast("date")
     past, ahead = (with_day(side).filter(F.col("date") < last) for side in (past, ahead))
     return daily(history_wins(past, ahead))

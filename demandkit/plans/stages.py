@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from demandkit.config import ForecastConfig, store_table
 from demandkit.operators.calendar import calendar_of
-from demandkit.operators.checks import assert_empty, duplicate_keys, entity_problems
+from demandkit.operators.checks import assert_empty, duplicate_ids, entity_problems
 from demandkit.operators.features import FeatureDef, build_features
 from demandkit.operators.grain import TARGET, to_grain
 from demandkit.operators.model import Trained, recent_mean_forecast, regression_metrics, score, train
@@ -37,7 +37,6 @@ class Curated:
 def curate_sales(lines: DataFrame, checked: bool = False) -> Curated:
     history = settle(to_grain(lines), "sales-history")
     if checked:
-        assert_empty(duplicate_keys(history), "one row per store, product and date")
         assert_empty(entity_problems("sales", history, target=True), "entity columns")
     profile = settle(recent_profile(history, measures_too=(TARGET,)), "recent-profile")
     return Curated(history, profile, with_template(history, future_template(profile)))
@@ -107,6 +106,8 @@ def run_forecast(
     **options,
 ) -> tuple[DataFrame, Forecast]:
     """All stages in order; a failed check stops the job."""
+    if "index" in lines.columns:
+        assert_empty(duplicate_ids(lines), "one line per row id")
     curated = curate_sales(lines, checked=True)
     prepared = prepare_features(curated.sales, stores, states, entities, config, True, with_lags)
     forecast = train_and_score(prepared.features, **options)

@@ -60,3 +60,13 @@ def test_unreadable_timestamps_become_null(spark):
 def test_drop_last_day(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, n),) for n in (1, 2, 5, 5)], "date date")
     assert weather.drop_last_day(df).count() == 2
+
+
+def test_unreadable_timestamps_stop_the_job(spark):
+    columns = "date_time string, temperature double, precipitation double"
+    past = spark.createDataFrame([("01/01/2024 00:00:00", 1.0, 0.0), ("soon", 1.0, 0.0), ("01/02/2024 00:00:00", 1.0, 0.0)], columns)
+    assert [r["date_time"] for r in weather.unreadable_timestamps(past).collect()] == ["soon"]
+    ahead = spark.createDataFrame([], columns + ", chance_precipitation double, snow double")
+    with pytest.raises(ValueError, match="1 weather rows"):
+        weather.weather_by_day(past, ahead)
+    assert weather.weather_by_day(past, ahead, unreadable=1).count() == 1
