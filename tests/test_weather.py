@@ -64,7 +64,8 @@ def test_drop_last_day(spark):
 
 def test_unreadable_timestamps_stop_the_job(spark):
     columns = "date_time string, temperature double, precipitation double"
-    past = spark.createDataFrame([("01/01/2024 00:00:00", 1.0, 0.0), ("soon", 1.0, 0.0), ("01/02/2024 00:00:00", 1.0, 0.0)], columns)
+    both = ", minimum_temperature double, maximum_temperature double"
+    past = spark.createDataFrame([(at, 1.0, 0.0, 0.0, 2.0) for at in ("01/01/2024 00:00:00", "soon", "01/02/2024 00:00:00")], columns + both)
     assert [r["date_time"] for r in weather.unreadable_timestamps(past).collect()] == ["soon"]
     ahead = spark.createDataFrame([], columns + ", chance_precipitation double, snow double")
     with pytest.raises(ValueError, match="1 weather rows"):
