@@ -137,10 +137,12 @@ def judge(
     found = settle(profiles(docs, host, with_text).withColumn("row", F.monotonically_increasing_id()), "profiles")
     lines = found.select("row", "host", "digest", F.explode("lines").alias("l")).select("row", "host", "digest", "l.line", "l.words")
     # A frequent line is counted text by text before its texts meet.
+    # They are written, so that the join can split the rows of a very common line.
     frequent = (
         lines.groupBy("host", "line").agg(F.count_distinct("digest").alias("texts")).filter(F.col("texts") > limit)
         .select(F.col("host").alias("h"), F.col("line").alias("l"))
     )
+    frequent = settle(frequent, "frequent-lines")
     hit = lines.join(frequent, F.col("host").eqNullSafe(F.col("h")) & (F.col("line") == F.col("l")))
     removed = hit.groupBy("row").agg(
         F.sum("words").alias("n_removed_words"), F.count(F.lit(1)).alias("n_removed_lines"),

@@ -206,7 +206,7 @@ def _repeated_ranges(texts: DataFrame, length: int, wholes: DataFrame) -> DataFr
     mixed = parts.groupBy("core").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("core")
     wanted = parts.join(mixed, "core", "left_semi").select("own.*").groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("wanted"))
     starts = settle(_starts(texts.join(wanted, "row").select("row", "text", "wanted"), length), "starts")
-    found = starts.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("one", "two")
+    found = settle(starts.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("one", "two"), "found")
     single = starts.join(found, ["one", "two"]).select("row", F.col("at").alias("begin"), (F.col("at") + length).alias("end"))
     return twice.unionByName(again).unionByName(single)
 
@@ -221,7 +221,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with
     # One row stands for the copies of a text.
     stands = settle(found.groupBy("digest").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("copies")), "stands")
     places = found.select("row", "ranks").join(stands.select("row", "copies"), "row").select("row", "copies", F.posexplode("ranks").alias("k", "rank"))
-    repeated = places.groupBy("rank").agg(F.sum("copies").alias("n")).filter("n > 1").select("rank")
+    # Written, so that the join can split the places of a very common rank.
+    repeated = settle(places.groupBy("rank").agg(F.sum("copies").alias("n")).filter("n > 1").select("rank"), "repeated")
     flagged = places.join(repeated, "rank").groupBy("row").agg(F.collect_list(F.col("k")).alias("ks"))
     candidates = stands.join(flagged, "row")
     whole = source.groupBy(F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest")).agg(F.first("text").alias("text"))

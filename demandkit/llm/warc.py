@@ -19,7 +19,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from demandkit.runtime import fresh_path
+from demandkit.runtime import fresh_path, settle
 
 CRLF = "\r\n"
 RECORD_END = CRLF + CRLF
@@ -57,12 +57,15 @@ def resolve(pages: DataFrame, payload: str = "html", key: str = "page_id", min_b
         F.octet_length(body).cast("long").alias("payload_bytes"),
         F.sha1(body.cast("binary")).alias("payload_digest"),
     )
-    originals = (
+    # Written, so that the join has a shuffle of its own on both sides and a digest that
+    # many pages have can be split.
+    originals = settle(
         rows.filter(F.col("payload_bytes") >= min_bytes)
         .groupBy("payload_digest")
         .agg(F.max("page_id").alias("original"), F.count(F.lit(1)).alias("copies"))
         .filter("copies > 1")
-        .drop("copies")
+        .drop("copies"),
+        "originals",
     )
     return rows.join(originals, "payload_digest", "left")
 
