@@ -3,13 +3,13 @@
 A document's set holds its distinct word shingles (lower-cased A-Z). Documents with
 equal sets form a class; only one of a class is searched for neighbours. Its signature
 is cut into bands; the classes that share a band are a bucket. In each bucket one leader
-is compared with all others, on whole sets. Where a bucket still holds several
-components, further leaders follow, more in each round, until every pair of a bucket is
-either compared or in one component. So no bucket is capped, and a bucket with n near
-copies costs n comparisons.
+is compared with all others, on whole sets, so a bucket of n near copies costs n
+comparisons. Where a bucket still holds several components, its members are compared
+block against block, until every pair is either compared or in one component. So no
+bucket is capped, no task holds a whole bucket, and no list of all pairs is made.
 
 Only the signature can lose a link: with 40 bands of 5 values, two sets of similarity
-0.8 share no band with a probability of 1.3e-7.
+0.8 share no band with a probability of 1.3e-7, and fewer than two with 2.6e-6.
 
 Defined results: null and empty texts, and texts without words, have the empty set and
 no links; fewer words than a shingle count as one shingle; rows with one ``doc_id`` are
@@ -32,8 +32,8 @@ from demandkit.llm.words import GOLDEN, coded, filled, hashed, mix, slices, spli
 from demandkit.runtime import settle
 
 ROWS, BANDS = 5, 40
-#: Leaders of a bucket in the second round; so many times more in each later one.
-LEADERS = 16
+#: Members of a block of a bucket; bands that a pair shares at least to be compared there.
+BLOCK_MEMBERS, LEAST_BANDS = 512, 2
 #: Elements whose permutations a step of the signature holds at once.
 STEP_ELEMENTS = 60_000
 _UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -163,22 +163,22 @@ def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(make, "doc_id long, shingles binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets have ``100 * intersection >= percent * union``.
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    common = len(a) + len(b) - len(np.union1d(a, b))
+    return 100 * common >= percent * (len(a) + len(b) - common)
 
-    A pair whose sizes alone rule that out is dropped before its sets are compared.
-    """
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sets have ``100 * intersection >= percent * union``."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
                 a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-                    keep.append(False)
-                    continue
-                common = len(a) + len(b) - len(np.union1d(a, b))
-                keep.append(100 * common >= percent * (len(a) + len(b) - common))
+                keep.append(_similar(a, b, percent))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     own = pairs.join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a")), "u")
@@ -186,28 +186,57 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("u", "v", "a", "b").mapInArrow(compare, "u long, v long")
 
 
-def _still_open(open_: DataFrame, components_: DataFrame, leaders: int) -> DataFrame:
-    """Of each bucket that still holds several components, the members that were not leaders yet,
-    and which of them lead now: all of a small bucket, or about ``leaders`` by their hash."""
+def _still_open(members: DataFrame, components_: DataFrame) -> DataFrame:
+    """The members, but their leader, of the buckets that hold several components, and their number."""
     rest = (
-        open_.filter("not done").select("bucket", "node").join(components_, "node", "left")
+        members.filter("node <> leader").select("bucket", "node").join(components_, "node", "left")
         .select("bucket", "node", F.coalesce("component", "node").alias("component"))
     )
     several = (
         rest.groupBy("bucket")
-        .agg(F.min("node").alias("first"), F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
-        .filter("low < high").select("bucket", "first", "n")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
+        .filter("low < high").select("bucket", "n")
     )
-    chosen = F.pmod(F.xxhash64("node", "bucket"), F.col("n")) < leaders
-    lead = (F.col("node") == F.col("first")) | chosen
-    return settle(rest.join(several, "bucket").select("bucket", "node", "component", lead.alias("done")), "members")
+    return settle(rest.join(several, "bucket"), "open")
 
 
-def _leader_pairs(open_: DataFrame) -> DataFrame:
-    """Each leader with the bucket's members of other components."""
-    lead = open_.filter("done").select("bucket", F.col("node").alias("v"), F.col("component").alias("other"))
-    pairs = open_.join(lead, "bucket").filter("component <> other")
-    return pairs.select(F.greatest("node", "v").alias("u"), F.least("node", "v").alias("v")).distinct()
+def _blockwise_links(open_: DataFrame, bands: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of a bucket, compared block against block.
+
+    A task holds two blocks of a bucket and their whole sets. Each pair is looked at in
+    the first band that it shares, and only if it shares LEAST_BANDS. A task reports no
+    more links than join its components.
+    """
+
+    def compare(table: pa.Table) -> pa.Table:
+        bucket, i, j = (table.column(c)[0].as_py() for c in ("bucket", "i", "j"))
+        node, block, root = (table.column(c).to_numpy() for c in ("node", "block", "component"))
+        root = root.copy()
+        own = np.stack([b.values.to_numpy() for b in table.column("bands")])
+        whole = [np.frombuffer(b.as_buffer(), np.uint64) for b in table.column("shingles")]
+        sizes = np.asarray([len(w) for w in whole])
+        u, v = [], []
+        right = np.flatnonzero(block == j)
+        for a in np.flatnonzero(block == i).tolist():
+            other = right[right > a] if i == j else right
+            other = other[(root[other] != root[a]) & (100 * np.minimum(sizes[other], sizes[a]) >= percent * np.maximum(sizes[other], sizes[a]))]
+            if not len(other):
+                continue
+            same = own[other] == own[a]
+            first = own[a][same.argmax(axis=1)] == bucket
+            for b in other[first & (same.sum(axis=1) >= LEAST_BANDS)].tolist():
+                if root[a] != root[b] and _similar(whole[a], whole[b], percent):
+                    root[root == root[b]] = root[a]
+                    u.append(node[a])
+                    v.append(node[b])
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK_MEMBERS)).cast("int")
+    placed = open_.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component")
+    full = dealt.join(bands.withColumnRenamed("doc_id", "node"), "node").join(sets.withColumnRenamed("doc_id", "node"), "node")
+    return full.groupBy("bucket", "i", "j").applyInArrow(compare, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
@@ -224,18 +253,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
 
     components_ = None
     if not members.isEmpty():
-        wanted = members.select(F.col("node").alias("doc_id")).distinct()
+        wanted = settle(members.select(F.col("node").alias("doc_id")).distinct(), "wanted")
         sets = settle(full_sets(docs.join(wanted, "doc_id", "left_semi"), shingle), "sets")
         pairs = members.filter("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct()
         links = settle(verified(pairs, sets, percent), "near")
-        open_, leaders = members.select("bucket", "node", (F.col("node") == F.col("leader")).alias("done")), LEADERS
-        while True:
+        components_ = settle(components(links), "components")
+        open_ = _still_open(members, components_)
+        if not open_.isEmpty():
+            own = settle(stands.join(open_.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"), "bands")
+            links = settle(links.unionByName(_blockwise_links(open_, own, sets, percent)), "near")
             components_ = settle(components(links), "components")
-            open_ = _still_open(open_, components_, leaders)
-            if open_.isEmpty():
-                break
-            links = settle(links.unionByName(verified(_leader_pairs(open_), sets, percent)), "near")
-            leaders *= LEADERS
 
     of_class = classes if components_ is None else classes.join(components_, "node", "left")
     component = F.col("node") if components_ is None else F.coalesce("component", "node")

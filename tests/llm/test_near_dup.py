@@ -43,7 +43,8 @@ def brute(ids, texts, k, percent=80):
 
 
 @pytest.mark.parametrize("k", [2, 5])
-def test_random_copies(spark, k):
+def test_random_copies(spark, k, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK_MEMBERS", 3)
     pick = random.Random(k)
     words = ["w%d" % i for i in range(400)]
     texts = []
