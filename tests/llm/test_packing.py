@@ -1,6 +1,7 @@
 """Packing: ids equal to whole-text encoding, cuts, groups, edge rows."""
 
 import zlib
+from functools import cache
 
 import numpy as np
 import pytest
@@ -10,13 +11,18 @@ from demandkit.llm import packing
 from demandkit.llm.queries import tokenizer_file
 
 
-@pytest.fixture(scope="module")
-def plain():
+@cache
+def whole_tokenizer():
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(tokenizer_file())
 
 
+@pytest.fixture(scope="module")
+def plain():
+    return whole_tokenizer()
+
+
 def brute(plain, text):
     return np.asarray([*plain.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4")
 
@@ -24,10 +30,7 @@ def brute(plain, text):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(st.sampled_from("ab é'\n\t.1  \x1c\x85漢<|>endoftxs"), max_size=30), max_size=4))
 def test_cached_ids_equal_whole_text(texts):
-    from tokenizers import Tokenizer
-
-    path = tokenizer_file()
-    tok, whole = packing.tokenizer(path), Tokenizer.from_file(path)
+    tok, whole = packing.tokenizer(tokenizer_file()), whole_tokenizer()
     texts = [*texts, "a b<|endoftext|> c"]
     expected = [np.asarray(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert tok.encode(texts) == expected
