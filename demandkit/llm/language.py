@@ -30,6 +30,8 @@ from pyspark.sql.types import StructType
 from demandkit.llm.words import GOLDEN, coded, filled, mix, slices, split_words
 
 UNKNOWN = "und"
+#: Bytes of text at a time; scores of its words by language take many times as much.
+SLICE = 2 << 20
 #: Buckets of each count table.
 BUCKETS = 1 << 17
 #: Weight of the uniform guess over so many characters.
@@ -134,7 +136,7 @@ def learn(docs: DataFrame, text: str = "text", label: str = "lang") -> Model:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, list[np.ndarray]] = {}
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             texts, labels = filled(part.column("text")), part.column("label").to_pylist()
             words, at = split_words(texts)
             codes, distinct = coded(words)
@@ -256,7 +258,7 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame
 
     def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             texts = filled(part.column("text"))
             n = len(texts)
             words, at = split_words(texts)

@@ -115,7 +115,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = 2048, end_id: i
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, end = tokenizer(tokenizer_path), np.asarray([end_id], dtype="<u4").tobytes()
-        for part in slices(batches):
+        for part in slices(batches, kept=tok):
             rows, keys, all_ids = [], [], []
             for k, ids in zip(part.column("doc_id").to_pylist(), tok.encode(filled(part.column("text")).to_pylist()), strict=True):
                 ids += end

@@ -5,6 +5,8 @@ A word is a maximal run of characters outside ``[\\x20\\x09-\\x0D]``.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,8 +24,42 @@ def filled(texts: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(texts.cast(pa.large_string()), "")
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of the batches in pieces of about ``limit`` bytes of text, whatever the batch size."""
+#: What a worker remembers between the tasks of one operator; at most one thing.
+_KEPT: list = []
+
+
+def keep(thing: object | None) -> None:
+    """Remember ``thing`` (or nothing) between tasks; what another operator left is given up."""
+    if _KEPT and _KEPT[0] is not thing:
+        _KEPT.pop().forget()
+    if thing is not None and not _KEPT:
+        _KEPT.append(thing)
+
+
+def give_back() -> None:
+    """Hand memory that is no longer used back to the machine: workers live on between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def slices(
+    batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, kept: object | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in pieces of about ``limit`` bytes of text, whatever the batch size.
+
+    ``kept`` is what the operator remembers between tasks, if anything.
+    """
+    keep(kept)
+    try:
+        yield from _slices(batches, column, limit)
+    finally:
+        give_back()
+
+
+def _slices(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         part = np.concatenate([[0], np.cumsum(sizes)[:-1]]) // limit if len(sizes) else np.zeros(0, np.int64)
