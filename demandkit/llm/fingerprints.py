@@ -22,9 +22,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from demandkit.runtime import settle
 
-#: Cells of a subtable; three subtables make a table.
-WIDTH = 8
-CELLS = 3 * WIDTH
+#: Cells of a subtable (at most 16), three of which make a table; smaller below the first level.
+WIDTH, SMALL_WIDTH = 8, 4
 #: Rounds of peeling; a table that needs more counts as stuck.
 ROUNDS = 12
 #: Tables that a stuck one is dealt over.
@@ -37,7 +36,10 @@ _NO_DIGESTS = "cast(array() AS array<struct<k: bigint, n: int>>)"
 
 def paragraphs(text: str) -> str:
     """SQL: the distinct digests of a text's sentences and lines."""
-    parts = rf"filter(split({text}, '\\n|(?<=[.!?]) '), p -> p != '')"
+    # Plain replacements, as a pattern with look-behind costs several times as much.
+    for mark in ".!?":
+        text = f"replace({text}, '{mark} ', '{mark}\\n')"
+    parts = rf"filter(split({text}, '\\n'), p -> p != '')"
     return f"array_distinct(transform({parts}, p -> xxhash64(p)))"
 
 
@@ -46,36 +48,55 @@ def _let(value: str, name: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _in_cell(digest: str, level: int, cell: str) -> str:
-    return f"(shiftright(xxhash64({digest}, {level}L), cast(3 * ({cell} div {WIDTH}) AS int)) & {WIDTH - 1}) = {cell} % {WIDTH}"
+def _elements(digests: str, level: int, width: int, sign: int = 1) -> str:
+    """SQL: digests with their sign, check sum, cells (one of each subtable) and part at a level."""
+    cells = ", ".join(
+        f"'{name}', cast({at * width} + (shiftright(g, {4 * at}) & {width - 1}) AS int)" for at, name in enumerate("xyz")
+    )
+    part = f"'part', cast(shiftrightunsigned(g, {64 - FANOUT_BITS}) AS int)"
+    made = f"named_struct('k', k, 'n', {sign}, 'c', xxhash64(k, -1L), {cells}, {part})"
+    return f"transform({digests}, k -> {_let(f'xxhash64(k, {level}L)', 'g', made)})"
 
 
-def table(digests: str, level: int = 0) -> str:
-    """SQL: the cells of an array of digests."""
-    cell = f"(shiftright(d.g, cast(3 * (i div {WIDTH}) AS int)) & {WIDTH - 1}) = i % {WIDTH}"
+def _cells(elements: str, width: int) -> str:
+    """SQL: the cells of an array of elements."""
     sums = (
-        "named_struct('n', size(f), 'k', aggregate(f, 0L, (s, d) -> s ^ d.k), 'c', aggregate(f, 0L, (s, d) -> s ^ d.c))"
+        "named_struct('n', aggregate(f, 0, (s, d) -> s + d.n), 'k', aggregate(f, 0L, (s, d) -> s ^ d.k), "
+        "'c', aggregate(f, 0L, (s, d) -> s ^ d.c))"
     )
-    cells = f"transform(sequence(0, {CELLS - 1}), i -> {_let(f'filter(e, d -> {cell})', 'f', sums)})"
-    hashed = f"transform({digests}, k -> named_struct('k', k, 'c', xxhash64(k, -1L), 'g', xxhash64(k, {level}L)))"
-    return _let(hashed, "e", cells)
+    parts = [
+        f"transform(sequence({at * width}, {(at + 1) * width - 1}), i -> {_let(f'filter(e, d -> d.{name} = i)', 'f', sums)})"
+        for at, name in enumerate("xyz")
+    ]
+    return _let(elements, "e", f"concat({', '.join(parts)})")
+
+
+def table(digests: str, level: int = 0, width: int = WIDTH) -> str:
+    """SQL: the cells of an array of digests."""
+    return _cells(_elements(digests, level, width), width)
 
 
 def subtract(left: str, right: str) -> str:
     return f"zip_with({left}, {right}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'c', x.c ^ y.c))"
 
 
-def peel(cells: str, level: int = 0) -> str:
+def peel(cells: str, level: int = 0, width: int = WIDTH) -> str:
     """SQL: ``ok``, and ``got``: the differing digests with 1 (left only) or -1 (right only)."""
     pure = "array_distinct(transform(filter(s.t, x -> abs(x.n) = 1 AND x.c = xxhash64(x.k, -1L)), x -> named_struct('k', x.k, 'n', x.n)))"
+    cells_of = ", ".join(
+        f"'{name}', cast({at * width} + (shiftright(g, {4 * at}) & {width - 1}) AS int)" for at, name in enumerate("xyz")
+    )
+    placed = _let(f"xxhash64(q.k, {level}L)", "g", f"named_struct('k', q.k, 'n', q.n, 'c', xxhash64(q.k, -1L), {cells_of})")
     less = (
         "named_struct('n', x.n - aggregate(f, 0, (a, q) -> a + q.n), 'k', x.k ^ aggregate(f, 0L, (a, q) -> a ^ q.k), "
-        "'c', x.c ^ aggregate(f, 0L, (a, q) -> a ^ xxhash64(q.k, -1L)))"
+        "'c', x.c ^ aggregate(f, 0L, (a, q) -> a ^ q.c))"
     )
-    removed = f"transform(s.t, (x, i) -> {_let(f'filter(p, q -> {_in_cell("q.k", level, "i")})', 'f', less)})"
+    mine = "filter(w, q -> q.x = i OR q.y = i OR q.z = i)"
+    removed = f"transform(s.t, (x, i) -> {_let(mine, 'f', f'if(size(f) = 0, x, {less})')})"
     step = (
         "if(size(p) = 0, named_struct('t', s.t, 'got', s.got, 'done', true), "
-        f"named_struct('t', {removed}, 'got', concat(s.got, p), 'done', false))"
+        + _let(f"transform(p, q -> {placed})", "w", f"named_struct('t', {removed}, 'got', concat(s.got, p), 'done', false)")
+        + ")"
     )
     return (
         f"aggregate(sequence(1, {ROUNDS}), named_struct('t', {cells}, 'got', {_NO_DIGESTS}, 'done', false), "
@@ -90,13 +111,18 @@ def written(cells: str) -> Column:
 
 
 def _dealt(level: int) -> str:
-    """SQL: the tables of one level below a stuck one (columns a and b), peeled; stuck ones keep their digests."""
-    own = lambda side: f"filter({side}, k -> shiftrightunsigned(xxhash64(k, {level}L), {64 - FANOUT_BITS}) = z)"
-    peeled = peel(subtract(table("y.a", level), table("y.b", level)), level)
-    kept = "named_struct('ok', v.ok, 'got', v.got, 'a', if(v.ok, array(), y.a), 'b', if(v.ok, array(), y.b))"
-    none = f"named_struct('ok', true, 'got', {_NO_DIGESTS}, 'a', cast(array() AS array<bigint>), 'b', cast(array() AS array<bigint>))"
-    one = f"if(size(y.a) + size(y.b) = 0, {none}, {_let(peeled, 'v', kept)})"
-    return f"transform(sequence(0L, {(1 << FANOUT_BITS) - 1}L), z -> {_let(f"named_struct('a', {own('a')}, 'b', {own('b')})", 'y', one)})"
+    """SQL: the tables of one level below a stuck one (columns a and b), peeled; stuck ones keep their digests.
+
+    Adding the left digests with 1 and the right ones with -1 is the difference of two tables.
+    """
+    both = f"concat({_elements('a', level, SMALL_WIDTH)}, {_elements('b', level, SMALL_WIDTH, -1)})"
+    peeled = peel(_cells("y", SMALL_WIDTH), level, SMALL_WIDTH)
+    side = lambda sign: f"transform(filter(y, d -> d.n = {sign}), d -> d.k)"
+    none = "cast(array() AS array<bigint>)"
+    kept = f"named_struct('ok', v.ok, 'got', v.got, 'a', if(v.ok, {none}, {side(1)}), 'b', if(v.ok, {none}, {side(-1)}))"
+    empty = f"named_struct('ok', true, 'got', {_NO_DIGESTS}, 'a', {none}, 'b', {none})"
+    one = f"if(size(y) = 0, {empty}, {_let(peeled, 'v', kept)})"
+    return _let(both, "l", f"transform(sequence(0, {(1 << FANOUT_BITS) - 1}), m -> {_let('filter(l, d -> d.part = m)', 'y', one)})")
 
 
 def larger(stuck: DataFrame, level: int = 1) -> DataFrame | None:
