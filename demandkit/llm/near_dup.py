@@ -33,7 +33,7 @@ from demandkit.runtime import settle
 
 ROWS, BANDS = 5, 40
 #: Members of a block of a bucket; bands that a pair shares at least to be compared there.
-BLOCK_MEMBERS, LEAST_BANDS = 512, 2
+BLOCK_MEMBERS, LEAST_BANDS = 1024, 2
 #: Elements whose permutations a step of the signature holds at once.
 STEP_ELEMENTS = 60_000
 _UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
