@@ -71,8 +71,9 @@ def _slices(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Itera
 
 def split_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """All words of ``filled`` texts in order, and where each text's words begin and end (n + 1)."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
-    flat, offsets = lists.values, lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    lists = pc.ascii_split_whitespace(texts)
+    # The new array of words is lowered: ascii_lower damages texts that were cast from a slice.
+    flat, offsets = pc.ascii_lower(lists.values) if lower else lists.values, lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
     real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
     if not real.all():
         flat = flat.filter(pa.array(real))

@@ -49,3 +49,10 @@ def test_what_one_operator_keeps_another_gives_up():
     list(words.slices([]))
     list(words.slices([]))
     assert kept.forgotten == 1
+
+
+def test_lower_words_of_a_slice():
+    texts = pa.array([f"Word{i} AND and" for i in range(40)], pa.string())
+    whole, _ = words.split_words(words.filled(texts), lower=True)
+    part, at = words.split_words(words.filled(texts.slice(30)), lower=True)
+    assert part.to_pylist() == whole.to_pylist()[90:] and at.tolist() == list(range(0, 31, 3))
