@@ -9,10 +9,11 @@ The model predicts symbols: the most frequent words, the end, and buckets of rar
 by their ending. The softmax is factored into classes of symbols. A rare word's
 probability is its bucket's times (count + 1) / (bucket's tokens + words + 1).
 
-Training is truncated backpropagation in numpy. A share of the training documents, which
-grows with them, is dealt into shards; each shard trains from the same weights, and the
-weights are averaged by tokens in two levels, once a round. The hidden state is carried
-from window to window, in training and in scoring.
+Training is truncated backpropagation in numpy over all training documents, one way at
+every size. They are dealt into rounds and shards, whose number grows with the tokens;
+each shard of a round trains from the same weights, and the weights are averaged by tokens
+in two levels, once a round. The hidden state is carried from window to window, in
+training and in scoring.
 
 Defined results: a null or empty text is the end alone; a null ``doc_id`` is not held
 out; repeated rows are scored alike and each counts in training; with nothing to learn
@@ -42,9 +43,9 @@ HIDDEN = 24
 #: Steps of backpropagation, parallel streams of a shard, steps of scoring at a time.
 UNROLL, LANES, SCORE_STEPS = 32, 64, 64
 LEARNING_RATE, CLIP = 0.01, 1.0
-#: At least this share of the training tokens is trained on, and all of them up to SAMPLE_TOKENS.
-TRAIN_SHARE, SAMPLE_TOKENS = 0.1, 1_000_000
-#: Sampled tokens of a shard; rounds of averaging, each on sampled documents of its own.
+#: Rows of the softmax that are scored at a time.
+SCORE_ROWS = 16_384
+#: Tokens of a shard; rounds of averaging, each on documents of its own.
 SHARD_TOKENS, ROUNDS = 1_000_000, 2
 #: Bytes of text of a chunk.
 CHUNK_BYTES = 6 << 20
@@ -83,7 +84,7 @@ def encode(docs: DataFrame) -> DataFrame:
             row = {
                 "doc_ids": part.column("doc_id").to_pylist(), "held": held, "at": at.astype(np.int32),
                 "words": hashed(distinct).view(np.int64), "buckets": _buckets(distinct), "counts": counts.astype(np.int64),
-                "codes": codes.astype("<u4").tobytes(),
+                "codes": codes.astype("<u2" if len(distinct) <= 1 << 16 else "<u4").tobytes(),
             }
             kinds = {"doc_ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "at": pa.list_(pa.int32()), "words": pa.list_(pa.int64()), "buckets": pa.list_(pa.int32()), "counts": pa.list_(pa.int64()), "codes": pa.binary()}
             yield pa.RecordBatch.from_arrays([pa.array([row[c]], k) for c, k in kinds.items()], list(kinds))
@@ -156,24 +157,29 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([self.w[k].reshape(-1) for k in self.NAMES])
 
-    def filled(self, flat: np.ndarray) -> Network:
+    def _views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
         out, at = {}, 0
         for k in self.NAMES:
-            out[k] = flat[at : at + self.w[k].size].reshape(self.w[k].shape).astype(np.float32)
+            out[k] = flat[at : at + self.w[k].size].reshape(self.w[k].shape)
             at += self.w[k].size
-        return Network(out)
+        return out
+
+    def filled(self, flat: np.ndarray) -> Network:
+        return Network({k: v.astype(np.float32) for k, v in self._views(flat).items()})
 
     def run(self, symbols: np.ndarray, state: np.ndarray, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Hidden states (steps, lanes, HIDDEN) after the input symbols (steps, lanes). The end starts afresh."""
         u, h = self.w["recurrent"], state
         out = np.empty((*symbols.shape, HIDDEN), np.float32)
+        going = (symbols != 0)[:, :, None]
         for t, x in enumerate(symbols):
-            before = h * (x != 0)[:, None]
+            before = h * going[t]
             given, past = self.w["inputs"][x], before @ u
-            gates = 1 / (1 + np.exp(-np.clip(given[:, : 2 * HIDDEN] + past[:, : 2 * HIDDEN], -30, 30)))
+            # The logistic function, by one that cannot overflow.
+            gates = np.tanh(0.5 * (given[:, : 2 * HIDDEN] + past[:, : 2 * HIDDEN])) * 0.5 + 0.5
             z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
             new = np.tanh(given[:, 2 * HIDDEN :] + r * past[:, 2 * HIDDEN :])
-            h = out[t] = (1 - z) * new + z * before
+            h = out[t] = new + z * (before - new)
             if trace is not None:
                 trace.append((x, before, z, r, new, past[:, 2 * HIDDEN :]))
         return out, h
@@ -183,7 +189,7 @@ class Network:
         n = len(targets)
         cls, member = targets // MEMBERS, targets % MEMBERS
         rows = np.arange(n)
-        p, lse = _softmax(hidden @ self.w["class_w"] + self.w["class_b"])
+        p = _softmax(hidden @ self.w["class_w"] + self.w["class_b"])
         out = np.log(np.maximum(p[rows, cls], 1e-30))
         back = None
         if gradients is not None:
@@ -192,66 +198,86 @@ class Network:
             gradients["class_w"] += hidden.T @ p
             gradients["class_b"] += p.sum(axis=0)
             back = p @ self.w["class_w"].T
+        # Rows by class: products class by class, everything else at once.
         order = np.argsort(cls, kind="stable")
         cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            own = order[cuts[c] : cuts[c + 1]]
-            if not len(own):
-                continue
-            h, m = hidden[own], member[own]
-            q, _ = _softmax(h @ self.w["word_w"][c] + self.w["word_b"][c])
-            at = np.arange(len(own))
-            out[own] += np.log(np.maximum(q[at, m], 1e-30))
-            if gradients is not None:
-                q[at, m] -= 1
-                q /= n
-                gradients["word_w"][c] += h.T @ q
-                gradients["word_b"][c] += q.sum(axis=0)
-                back[own] += q @ self.w["word_w"][c].T
+        present = [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
+        h, m = hidden[order], member[order]
+        q = np.empty((n, MEMBERS), np.result_type(h, self.w["word_w"]))
+        for c, own in present:
+            np.matmul(h[own], self.w["word_w"][c], out=q[own])
+            q[own] += self.w["word_b"][c]
+        q = _softmax(q)
+        out[order] += np.log(np.maximum(q[rows, m], 1e-30))
+        if gradients is not None:
+            q[rows, m] -= 1
+            q /= n
+            by_word = np.empty((n, HIDDEN), q.dtype)
+            for c, own in present:
+                gradients["word_w"][c] += h[own].T @ q[own]
+                gradients["word_b"][c] += q[own].sum(axis=0)
+                np.matmul(q[own], self.w["word_w"][c].T, out=by_word[own])
+            back[order] += by_word
         return out, back
 
     def learn(self, streams: np.ndarray) -> float:
         """One pass over streams (lanes, steps) of symbols; returns the mean loss of the pass."""
-        momentum = {k: np.zeros_like(v) for k, v in self.w.items()}
-        second = {k: np.zeros_like(v) for k, v in self.w.items()}
+        flat = self.flat()
+        self.w = self._views(flat)
+        slope, momentum, second, spare = (np.zeros_like(flat) for _ in range(4))
+        g = self._views(slope)
         state, losses = np.zeros((len(streams), HIDDEN), np.float32), []
         for step, begin in enumerate(range(0, streams.shape[1] - 1, UNROLL), 1):
             window = streams[:, begin : begin + UNROLL + 1].T
             trace: list = []
             hidden, state = self.run(window[:-1], state, trace)
-            g = {k: np.zeros_like(v) for k, v in self.w.items()}
+            slope.fill(0)
             logs, back = self.log_probabilities(hidden.reshape(-1, HIDDEN), window[1:].reshape(-1), g)
             losses.append(-logs.mean())
             self._backward(trace, back.reshape(hidden.shape), g)
-            norm = math.sqrt(sum(float((v * v).sum()) for v in g.values()))
-            scale = min(1.0, CLIP / max(norm, 1e-12))
+            slope *= min(1.0, CLIP / max(math.sqrt(float(slope @ slope)), 1e-12))
             rate = LEARNING_RATE * math.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-            for k, v in g.items():
-                v *= scale
-                momentum[k] += 0.1 * (v - momentum[k])
-                second[k] += 0.001 * (v * v - second[k])
-                self.w[k] -= rate * momentum[k] / (np.sqrt(second[k]) + 1e-8)
+            # In place: m += 0.1 (g - m), v += 0.001 (g g - v), w -= rate m / (sqrt(v) + 1e-8).
+            momentum *= 0.9
+            momentum += np.multiply(slope, 0.1, out=spare)
+            second *= 0.999
+            slope *= slope
+            second += np.multiply(slope, 0.001, out=spare)
+            np.sqrt(second, out=spare)
+            spare += 1e-8
+            np.divide(momentum, spare, out=spare)
+            spare *= rate
+            flat -= spare
         return float(np.mean(losses)) if losses else 0.0
 
     def _backward(self, trace: list, back: np.ndarray, g: dict[str, np.ndarray]) -> None:
         u, carry = self.w["recurrent"], np.zeros_like(back[0])
+        given = np.empty((len(trace), len(back[0]), 3 * HIDDEN), back.dtype)
+        past_ = np.empty_like(given)
         for t in range(len(trace) - 1, -1, -1):
             x, before, z, r, new, past = trace[t]
             d = back[t] + carry
             d_new = d * (1 - z) * (1 - new * new)
-            d_z = d * (before - new) * z * (1 - z)
-            d_r = d_new * past * r * (1 - r)
-            np.add.at(g["inputs"], x, np.concatenate([d_z, d_r, d_new], axis=1))
-            d_past = np.concatenate([d_z, d_r, d_new * r], axis=1)
-            g["recurrent"] += before.T @ d_past
-            carry = (d * z + d_past @ u.T) * (x != 0)[:, None]
-
-
-def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    top = logits.max(axis=1, keepdims=True)
-    e = np.exp(logits - top)
-    total = e.sum(axis=1, keepdims=True)
-    return e / total, top + np.log(total)
+            given[t, :, :HIDDEN] = d * (before - new) * z * (1 - z)
+            given[t, :, HIDDEN : 2 * HIDDEN] = d_new * past * r * (1 - r)
+            given[t, :, 2 * HIDDEN :] = d_new
+            past_[t, :, : 2 * HIDDEN] = given[t, :, : 2 * HIDDEN]
+            np.multiply(d_new, r, out=past_[t, :, 2 * HIDDEN :])
+            carry = (d * z + past_[t] @ u.T) * (x != 0)[:, None]
+        g["recurrent"] += np.concatenate([step[1] for step in trace]).T @ past_.reshape(-1, 3 * HIDDEN)
+        # The rows of a symbol are added up before they meet its gradient.
+        symbols = np.concatenate([step[0] for step in trace])
+        order = np.argsort(symbols, kind="stable")
+        first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
+        g["inputs"][symbols[order[first]]] += np.add.reduceat(given.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """In place."""
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
 
 
 def streams_of(sequences: list[np.ndarray]) -> np.ndarray:
@@ -263,7 +289,7 @@ def streams_of(sequences: list[np.ndarray]) -> np.ndarray:
 
 
 def _codes(row: dict) -> np.ndarray:
-    return np.frombuffer(row["codes"], "<u4").astype(np.int64)
+    return np.frombuffer(row["codes"], "<u2" if len(row["words"]) <= 1 << 16 else "<u4").astype(np.int64)
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -279,8 +305,8 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield row
 
 
-def samples(chunks: DataFrame, vocabulary_: Vocabulary, share: float, shards: int) -> DataFrame:
-    """round, shard and the symbols of the sampled training documents of each chunk."""
+def samples(chunks: DataFrame, vocabulary_: Vocabulary, shards: int) -> DataFrame:
+    """round, shard and the symbols of all training documents of each chunk."""
     shared = chunks.sparkSession.sparkContext.broadcast(vocabulary_)
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,9 +315,8 @@ def samples(chunks: DataFrame, vocabulary_: Vocabulary, share: float, shards: in
                 symbols = shared.value.symbols_of(row["words"], row["buckets"])[_codes(row)]
                 at, n = row["at"], len(row["held"])
                 place = mix(np.arange(n, dtype=np.uint64) + np.uint64(row["chunk"] % 2**63) * np.uint64(1 << 20))
-                chosen = ~row["held"].astype(bool) & (place.astype(np.float64) / 2.0**64 < share)
                 found: dict[tuple[int, int], list[np.ndarray]] = {}
-                for i in np.flatnonzero(chosen).tolist():
+                for i in np.flatnonzero(~row["held"].astype(bool)).tolist():
                     where = (int(place[i] >> np.uint64(3)) % ROUNDS, int(mix(place[i : i + 1])[0]) % shards)
                     found.setdefault(where, []).append(np.concatenate([symbols[at[i] : at[i + 1]], [0]]))
                 for (turn, shard), parts in found.items():
@@ -356,7 +381,8 @@ def document_scores(network: Network, symbols: np.ndarray, at: np.ndarray) -> np
         targets = np.where(place < lengths[lanes] - 1, symbols[np.minimum(at[lanes] + place, len(symbols) - 1)], 0) if len(symbols) else np.zeros(valid.shape, np.int64)
         inputs = np.where(place > 0, symbols[np.clip(at[lanes] + place - 1, 0, len(symbols) - 1)], 0) if len(symbols) else targets
         hidden, state = network.run(inputs, state[:active])
-        logs, _ = network.log_probabilities(hidden[valid], targets[valid])
+        rows, wanted = hidden[valid], targets[valid]
+        logs = np.concatenate([network.log_probabilities(rows[i : i + SCORE_ROWS], wanted[i : i + SCORE_ROWS])[0] for i in range(0, len(wanted), SCORE_ROWS)])
         out += np.bincount(np.broadcast_to(lanes, valid.shape)[valid], logs, minlength=n)
         begin += steps
         active = int(np.searchsorted(-lengths[order], -begin, "left"))
@@ -372,9 +398,8 @@ def score(docs: DataFrame, held: Column) -> DataFrame:
     ends = chunks.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     vocabulary_ = vocabulary(counts, int(ends))
 
-    share = min(1.0, max(TRAIN_SHARE, SAMPLE_TOKENS / max(1, vocabulary_.tokens)))
-    shards = max(1, round(share * vocabulary_.tokens / ROUNDS / SHARD_TOKENS))
-    sampled = settle(samples(chunks, vocabulary_, share, shards), "samples")
+    shards = max(1, round(vocabulary_.tokens / ROUNDS / SHARD_TOKENS))
+    sampled = settle(samples(chunks, vocabulary_, shards), "samples")
     network = train(sampled, Network.start(vocabulary_.frequency), shards)
 
     # The counts come back to the chunks: word by word, then chunk by chunk.

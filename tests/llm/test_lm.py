@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from demandkit.llm import lm
 from demandkit.llm.language import held_out
@@ -109,3 +110,14 @@ def test_learns_a_pattern():
     streams = lm.streams_of([np.array([100, 101, 102] * 8 + [0])] * 800)
     first = net.learn(streams)
     assert net.learn(streams) < 0.5 * first
+
+
+def test_every_training_document_is_trained_on(spark):
+    # Over ten million words, in batches of several chunks: the share of the documents that train must not fall with the size.
+    n, length = 1400, 9000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("w"), F.col("id"), F.lit(" ")), length).alias("text"), (F.col("id") % 7 == 2).alias("held"))
+    chunks = lm.encode(docs).withColumn("chunk", F.monotonically_increasing_id())
+    held = n // 7
+    empty = lm.Vocabulary(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(lm.SYMBOLS), (n - held) * (length + 1), n, n - held, np.zeros(lm.BUCKETS), np.zeros(lm.BUCKETS))
+    got = lm.samples(chunks, empty, 5).agg(F.sum(F.length("symbols"))).first()[0]
+    assert got == 2 * (n - held) * (length + 1)
