@@ -1,15 +1,15 @@
 """Personal data, and the terms that give it away.
 
-Patterns find the protected entities (email, ip, card, phone). Over the corpus, terms
-that stand near an entity are counted with it. A term discloses the share
+Patterns find the protected entities (email, ip, card, phone). Over the corpus, the terms
+of a document are counted with its entities, wherever they stand in it. A term discloses the share
 ``1 - log P(entity | term) / log P(entity)`` of the entity's information: 1 if the term
 occurs with that entity only, 0 if it says nothing. In texts that hold the entity, terms
 from ``threshold`` on are generalised, and from ``remove_from`` on removed. Probabilities
 are shares of documents; a pair must occur in ``min_texts`` different texts, so that the
 copies of one text prove nothing.
 
-Counts are added up before they are shuffled; only pairs that reach ``min_texts`` meet
-the document counts of their terms.
+A term of too many documents cannot disclose an entity of few, whatever they share. Such
+pairs are left out where terms meet entities, before pairs are counted.
 
 Defined results: a null or empty text has no spans; repeated rows are treated alike; a
 null ``doc_id`` is kept; an empty table gives an empty result; further columns of the
@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,9 +32,8 @@ from demandkit.runtime import settle
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-#: Words on each side of an entity that count as its context.
-CONTEXT = 10
 THRESHOLD, REMOVE_FROM, MIN_TEXTS = 0.85, 0.97, 3
+#: Shorter words count as well if they have capitals or no case.
 MIN_LETTERS = 3
 
 #: Fixed values of the patterns; the quantifiers are possessive where that finds the same.
@@ -46,6 +44,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_TERM = re.compile(r"[^\W_]+(?:[-'\u2019\u2010\u2011][^\W_]+)*")
 _PUNCTUATION = ".,;:!?()[]{}\"'<>«»„“”"
 
 
@@ -91,9 +90,11 @@ def written(spans: Iterable[tuple[str, int, int]]) -> str:
 
 
 def term_of(word: str) -> str | None:
-    """The word as a term: lower case, without punctuation around it."""
-    term = word.strip(_PUNCTUATION).lower()
-    return term if len(term) >= MIN_LETTERS and term.isalpha() else None
+    """The word as a term: lower case, without punctuation around it; hyphens, apostrophes and digits may stand inside."""
+    bare = word.strip(_PUNCTUATION)
+    if not _TERM.fullmatch(bare) or len(bare) < MIN_LETTERS and (len(bare) < 2 or bare.islower() or bare.isdigit()):
+        return None
+    return bare.lower()
 
 
 def _entity(kind: str, text: str) -> int:
@@ -101,51 +102,44 @@ def _entity(kind: str, text: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _contexts(text: str, spans: list[tuple[str, int, int]]) -> dict[int, set[str]]:
-    """The terms within CONTEXT words of each entity."""
-    words = [m.span() for m in _WORD.finditer(text)]
-    starts = [a for a, _ in words]
-    inside = set()
-    ranges = []
-    for kind, a, b in spans:
-        first, last = max(0, bisect_right(starts, a) - 1), bisect_right(starts, b - 1) - 1
-        inside.update(range(first, last + 1))
-        ranges.append((_entity(kind, text[a:b]), first, last))
-    out: dict[int, set[str]] = {}
-    for entity, first, last in ranges:
-        terms = out.setdefault(entity, set())
-        for i in range(max(0, first - CONTEXT), min(len(words), last + 1 + CONTEXT)):
-            if i not in inside and (term := term_of(text[slice(*words[i])])):
-                terms.add(term)
+def _terms(text: str, spans: list[tuple[str, int, int]]) -> set[str]:
+    """The terms of the text outside its entities."""
+    ends = sorted((a, b) for _, a, b in spans)
+    out, at, inside = set(), 0, 0
+    for m in _WORD.finditer(text):
+        while at < len(ends) and ends[at][0] < m.end():
+            inside, at = max(inside, ends[at][1]), at + 1
+        if m.start() >= inside and (term := term_of(m[0])):
+            out.add(term)
     return out
 
 
-_CONTEXT_TYPE = pa.list_(pa.struct([("entity", pa.int64()), ("terms", pa.list_(pa.string()))]))
 FOUND = (
     "base array<struct<kind: string, start: int, end: int>>, base_sha256 string, digest binary, "
-    "contexts array<struct<entity: bigint, terms: array<string>>>, text string"
+    "entities array<bigint>, terms array<string>, text string"
 )
 
 
 def find(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """Base spans and contexts beside the other columns; the text only where a span was found, or always."""
+    """Base spans, entities, terms and a row id beside the other columns; the text only where a span was found, or always."""
     base_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            base, sums, digests, contexts, kept = [], [], [], [], []
+            base, sums, digests, entities, terms, kept = [], [], [], [], [], []
             for raw in part.column("text").to_pylist():
                 text = raw or ""
                 spans = base_spans(text)
                 base.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
                 sums.append(hashlib.sha256(written(spans).encode()).hexdigest())
                 digests.append(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest() if spans else None)
-                contexts.append([{"entity": e, "terms": sorted(t)} for e, t in _contexts(text, spans).items()] if spans else [])
+                entities.append(sorted({_entity(k, text[a:b]) for k, a, b in spans}))
+                terms.append(sorted(_terms(text, spans)) if spans else [])
                 kept.append(raw if spans or with_text else None)
             part = part.drop_columns(["text"])
             for name, values, kind in (
                 ("base", base, base_type), ("base_sha256", sums, pa.string()), ("digest", digests, pa.binary()),
-                ("contexts", contexts, _CONTEXT_TYPE), ("text", kept, pa.string()),
+                ("entities", entities, pa.list_(pa.int64())), ("terms", terms, pa.list_(pa.string())), ("text", kept, pa.string()),
             ):
                 part = part.append_column(name, pa.array(values, kind))
             yield part
@@ -154,7 +148,7 @@ def find(docs: DataFrame, with_text: bool = False) -> DataFrame:
     schema = StructType(list(docs.drop("text").schema.fields))
     for field in StructType.fromDDL(FOUND).fields:
         schema = schema.add(field)
-    return source.mapInArrow(make, schema)
+    return source.mapInArrow(make, schema).withColumn("row", F.monotonically_increasing_id())
 
 
 def term_documents(docs: DataFrame) -> DataFrame:
@@ -177,24 +171,34 @@ def term_documents(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
+def met(found: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """row, digest, entity and term, with their documents, of all pairs that can reach ``threshold``."""
+    total = found.count()
+    entities = found.select("row", F.explode("entities").alias("entity"))
+    # They are written, so that the joins can split the rows of a common term or entity.
+    n_entity = settle(entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "entity-counts")
+    n_term = settle(term_documents(docs), "term-counts")
+    terms = found.select("row", "digest", F.explode("terms").alias("term")).join(n_term, "term")
+    share = F.col("n_entity") / F.lit(total)
+    # An estimate is at most (n_entity + 1) / n_term, and has to be share ** (1 - threshold).
+    bound = F.col("n_term") <= (F.col("n_entity") + 1) * F.pow(share, F.lit(threshold - 1)) * (1 + 1e-9)
+    entities = entities.join(n_entity, "entity").filter(F.col("n_entity") < total).withColumn("share", share).withColumnRenamed("row", "r")
+    return terms.join(entities, (F.col("row") == F.col("r")) & bound).drop("r")
+
+
 def disclosing_terms(found: DataFrame, docs: DataFrame, min_texts: int = MIN_TEXTS, threshold: float = THRESHOLD) -> DataFrame:
     """entity, term and the share of the entity's information that the term discloses."""
-    total = found.count()
-    seen = found.select("digest", F.explode("contexts").alias("c")).select("digest", "c.entity", "c.terms")
-    entities = seen.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    pairs = (
-        seen.select("digest", "entity", F.explode("terms").alias("term"))
-        .groupBy("entity", "term", "digest").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"))
-        .filter(F.col("texts") >= min_texts)
-    )
-    share = 1 - F.log(F.col("n_both") / F.col("n_term")) / F.log(F.col("n_entity") / F.lit(total))
-    return (
-        pairs.join(entities, "entity").join(term_documents(docs), "term")
-        .filter(F.col("n_entity") < total)
-        .select("entity", "term", share.alias("disclosure"))
-        .filter(F.col("disclosure") >= threshold)
+    return _disclosing(met(found, docs, threshold), min_texts, threshold)
+
+
+def _disclosing(pairs: DataFrame, min_texts: int, threshold: float) -> DataFrame:
+    key = ["entity", "term"]
+    counted = (
+        pairs.groupBy(*key, "digest").agg(F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in ("n_term", "share")))
+        .groupBy(*key).agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"), *(F.first(c).alias(c) for c in ("n_term", "share")))
     )
+    disclosure = 1 - F.log(F.col("n_both") / F.col("n_term")) / F.log("share")
+    return counted.filter(F.col("texts") >= min_texts).select(*key, disclosure.alias("disclosure")).filter(F.col("disclosure") >= threshold)
 
 
 def _term_spans(text: str, base: list[tuple[str, int, int]], terms: dict[str, float]) -> list[tuple[str, int, int, float]]:
@@ -231,10 +235,11 @@ def sanitise(
     # The other columns travel as one, so their names meet no others.
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if with_text else F.struct(F.col("doc_id").cast("long").alias("doc_id"))
     kept = docs.select(row.alias("rest"), F.col("text").cast("string").alias("text"))
-    found = settle(find(kept, with_text).withColumn("row", F.monotonically_increasing_id()), "entities")
-    revealing = disclosing_terms(found, docs, min_texts, threshold)
+    found = settle(find(kept, with_text), "entities")
+    pairs = settle(met(found, docs, threshold), "pairs")
+    revealing = settle(_disclosing(pairs, min_texts, threshold), "revealing")
     per_row = (
-        found.select("row", F.explode("contexts.entity").alias("entity")).join(revealing, "entity")
+        pairs.select("row", "entity", "term").join(revealing, ["entity", "term"])
         .groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
         .groupBy("row").agg(F.collect_list(F.struct("term", "disclosure")).alias("revealed"))
     )

@@ -103,3 +103,16 @@ def test_query_equals_plain_patterns(spark, sf):
     for r in out:
         base = brute(docs[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(sanitise.written(base).encode()).hexdigest()
+
+
+def test_terms_anywhere_in_the_document(spark):
+    names = ["O'Brien", "Jean-Luc", "Li", "AB1234"]
+    far = " and so on" * 20
+    rows = [(i, f"Dear {' '.join(names)},{far} {'z' * (i + 3)} write to me@home.example") for i in range(5)]
+    rows += [(i, f"Dear all, li{far} {'y' * (i % 9 + 3)}") for i in range(5, 200)]
+    out = {r.doc_id: r.spans for r in sanitise.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows[:5]:
+        starts = {(text.index(n), text.index(n) + len(n)) for n in names}
+        spans = {tuple(map(int, x.split(":")[1:])) for x in out[i].split(",") if x.startswith("term:")}
+        assert starts <= spans and (0, 4) not in spans
+    assert not any(out[i] for i in range(5, 200))
