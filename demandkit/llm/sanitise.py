@@ -5,8 +5,12 @@ of a document are counted with its entities, wherever they stand in it. A term d
 ``1 - log P(entity | term) / log P(entity)`` of the entity's information: 1 if the term
 occurs with that entity only, 0 if it says nothing. In texts that hold the entity, terms
 from ``threshold`` on are generalised, and from ``remove_from`` on removed. Probabilities
-are shares of documents; a pair must occur in ``min_texts`` different texts, so that the
-copies of one text prove nothing.
+are shares of documents.
+
+Entities seen once take part: P(entity | term) is smoothed with one text of the corpus's
+share, and copies of one text count once in it. Classes of entities (kind, mail domain,
+parts of the name before it, prefixes of numbers) are protected like entities. For an exact
+entity met in ``min_texts`` different texts or more, the plain shares count as well.
 
 A term of too many documents cannot disclose an entity of few, whatever they share. Such
 pairs are left out where terms meet entities, before pairs are counted.
@@ -97,9 +101,25 @@ def term_of(word: str) -> str | None:
     return bare.lower()
 
 
+def _code(name: str) -> int:
+    return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "little", signed=True)
+
+
 def _entity(kind: str, text: str) -> int:
     value = text.lower() if kind == "email" else "".join(_DIGIT.findall(text)) if kind in ("card", "phone") else text
-    return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "little", signed=True)
+    return _code(f"{kind}:{value}")
+
+
+def _classes(kind: str, text: str) -> set[int]:
+    """The kind, and by it: mail domain and parts of the name, first three numbers of an ip, issuer of a card, first digits of a phone."""
+    if kind == "email":
+        local, _, domain = text.lower().partition("@")
+        names = {f"domain:{domain}", *(f"name:{part}" for part in re.split(r"[._%+-]+", local) if len(part) > 1)}
+    elif kind == "ip":
+        names = {f"net:{text.rpartition('.')[0]}"}
+    else:
+        names = {f"prefix:{''.join(_DIGIT.findall(text))[:6 if kind == 'card' else 5]}"}
+    return {_code(f"{kind}/{name}") for name in ("kind", *names)}
 
 
 def _terms(text: str, spans: list[tuple[str, int, int]]) -> set[str]:
@@ -116,17 +136,17 @@ def _terms(text: str, spans: list[tuple[str, int, int]]) -> set[str]:
 
 FOUND = (
     "base array<struct<kind: string, start: int, end: int>>, base_sha256 string, digest binary, "
-    "entities array<bigint>, terms array<string>, text string"
+    "entities array<bigint>, classes array<bigint>, terms array<string>, text string"
 )
 
 
 def find(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """Base spans, entities, terms and a row id beside the other columns; the text only where a span was found, or always."""
+    """Base spans, entities, their classes, terms and a row id beside the other columns; the text only where a span was found, or always."""
     base_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            base, sums, digests, entities, terms, kept = [], [], [], [], [], []
+            base, sums, digests, entities, classes, terms, kept = [], [], [], [], [], [], []
             for raw in part.column("text").to_pylist():
                 text = raw or ""
                 spans = base_spans(text)
@@ -134,12 +154,13 @@ def find(docs: DataFrame, with_text: bool = False) -> DataFrame:
                 sums.append(hashlib.sha256(written(spans).encode()).hexdigest())
                 digests.append(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest() if spans else None)
                 entities.append(sorted({_entity(k, text[a:b]) for k, a, b in spans}))
+                classes.append(sorted(set().union(*(_classes(k, text[a:b]) for k, a, b in spans))))
                 terms.append(sorted(_terms(text, spans)) if spans else [])
                 kept.append(raw if spans or with_text else None)
             part = part.drop_columns(["text"])
             for name, values, kind in (
                 ("base", base, base_type), ("base_sha256", sums, pa.string()), ("digest", digests, pa.binary()),
-                ("entities", entities, pa.list_(pa.int64())), ("terms", terms, pa.list_(pa.string())), ("text", kept, pa.string()),
+                ("entities", entities, pa.list_(pa.int64())), ("classes", classes, pa.list_(pa.int64())), ("terms", terms, pa.list_(pa.string())), ("text", kept, pa.string()),
             ):
                 part = part.append_column(name, pa.array(values, kind))
             yield part
@@ -172,33 +193,37 @@ def term_documents(docs: DataFrame) -> DataFrame:
 
 
 def met(found: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """row, digest, entity and term, with their documents, of all pairs that can reach ``threshold``."""
+    """row, digest, entity (or class) and term, with their documents, of all pairs that can reach ``threshold``."""
     total = found.count()
-    entities = found.select("row", F.explode("entities").alias("entity"))
+    entities = found.select("row", F.explode(F.concat("entities", "classes")).alias("entity"), F.col("entities").alias("own")).select("row", "entity", F.array_contains("own", F.col("entity")).alias("exact"))
     # They are written, so that the joins can split the rows of a common term or entity.
     n_entity = settle(entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "entity-counts")
     n_term = settle(term_documents(docs), "term-counts")
     terms = found.select("row", "digest", F.explode("terms").alias("term")).join(n_term, "term")
     share = F.col("n_entity") / F.lit(total)
-    # An estimate is at most (n_entity + 1) / n_term, and has to be share ** (1 - threshold).
+    # An estimate is at most (n_entity + 1) / n_term, as n_both is at most n_entity and adding copies to
+    # both sides of a share below 1 raises it; and it has to be share ** (1 - threshold).
     bound = F.col("n_term") <= (F.col("n_entity") + 1) * F.pow(share, F.lit(threshold - 1)) * (1 + 1e-9)
     entities = entities.join(n_entity, "entity").filter(F.col("n_entity") < total).withColumn("share", share).withColumnRenamed("row", "r")
     return terms.join(entities, (F.col("row") == F.col("r")) & bound).drop("r")
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, min_texts: int = MIN_TEXTS, threshold: float = THRESHOLD) -> DataFrame:
-    """entity, term and the share of the entity's information that the term discloses."""
-    return _disclosing(met(found, docs, threshold), min_texts, threshold)
+    """entity, term and the share of the entity's information that the term discloses, by plain shares."""
+    return _disclosing(met(found.withColumn("classes", F.array().cast("array<bigint>")), docs, threshold), min_texts, threshold)
 
 
-def _disclosing(pairs: DataFrame, min_texts: int, threshold: float) -> DataFrame:
+def _disclosing(pairs: DataFrame, min_texts: int, threshold: float, smooth: bool = False) -> DataFrame:
     key = ["entity", "term"]
     counted = (
-        pairs.groupBy(*key, "digest").agg(F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in ("n_term", "share")))
-        .groupBy(*key).agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"), *(F.first(c).alias(c) for c in ("n_term", "share")))
+        pairs.groupBy(*key, "digest").agg(F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in ("n_term", "share", "exact")))
+        .groupBy(*key).agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"), *(F.first(c).alias(c) for c in ("n_term", "share", "exact")))
     )
-    disclosure = 1 - F.log(F.col("n_both") / F.col("n_term")) / F.log("share")
-    return counted.filter(F.col("texts") >= min_texts).select(*key, disclosure.alias("disclosure")).filter(F.col("disclosure") >= threshold)
+    exact = F.when(F.col("texts") >= min_texts, F.col("n_both") / F.col("n_term"))
+    # Copies of the texts that hold both count once below as well.
+    smoothed = (F.col("texts") + F.col("share")) / (F.col("texts") + F.col("n_term") - F.col("n_both") + 1)
+    given = F.greatest(F.when(F.col("exact"), exact), smoothed) if smooth else exact
+    return counted.select(*key, (1 - F.log(given) / F.log("share")).alias("disclosure")).filter(F.col("disclosure") >= threshold)
 
 
 def _term_spans(text: str, base: list[tuple[str, int, int]], terms: dict[str, float]) -> list[tuple[str, int, int, float]]:
@@ -237,7 +262,7 @@ def sanitise(
     kept = docs.select(row.alias("rest"), F.col("text").cast("string").alias("text"))
     found = settle(find(kept, with_text), "entities")
     pairs = settle(met(found, docs, threshold), "pairs")
-    revealing = settle(_disclosing(pairs, min_texts, threshold), "revealing")
+    revealing = settle(_disclosing(pairs, min_texts, threshold, smooth=True), "revealing")
     per_row = (
         pairs.select("row", "entity", "term").join(revealing, ["entity", "term"])
         .groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))

@@ -116,3 +116,18 @@ def test_terms_anywhere_in_the_document(spark):
         spans = {tuple(map(int, x.split(":")[1:])) for x in out[i].split(",") if x.startswith("term:")}
         assert starts <= spans and (0, 4) not in spans
     assert not any(out[i] for i in range(5, 200))
+
+
+def test_query_protects_entities_seen_once(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    n = docs.count()
+    once = [(10**6, "Yevgenia lives here. please write to yevgenia@solo.example now")]
+    twice = [(10**6 + 1 + i, f"{w} Ozymandias answers at o.{w}@pair.example today") for i, w in enumerate(["first", "second"])]
+    rows = [(i, "en", "web", t) for i, t in once + twice]
+    planted = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    docs.unionByName(planted, allowMissingColumns=True).write.parquet(str(tmp_path / "documents.parquet"))
+    out = {r.doc_id: r for r in QUERIES["op9_sanitise"](spark, str(tmp_path)).collect()}
+    assert len(out) == n + 3
+    for i, text, name in [(*once[0], "Yevgenia"), *((*r, "Ozymandias") for r in twice)]:
+        at = text.index(name)
+        assert f"term:{at}:{at + len(name)}" in out[i].spans.split(",")
