@@ -30,19 +30,25 @@ def landed_stream(spark: SparkSession, schema, path: str, glob: str = "*", fmt:
 def ingest_lines(stream: DataFrame, target: str, checkpoint: str, timestamp: str = "ts", row_id: str = "index") -> None:
     """Append new lines to a table by day and batch, each row id once, however late.
 
-    A line is compared with the stored lines of its own days, so a backfilled file
-    of any age is kept and no state grows with the stream. A batch that runs again
+    A line is compared with the stored ids between the least and the greatest of its
+    batch, whatever their day, so a backfilled file of any age is kept, an id that lands
+    again on another day is not, and no state grows with the stream. Of lines with one id
+    in a batch the earliest stays; lines without an id all stay. A batch that runs again
     replaces its own partitions. Lines without a timestamp have a partition of their own.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        dated = batch.withColumn("date", F.col(timestamp).cast("date")).dropDuplicates([row_id])
-        fresh = settle(dated, "landed-lines")
+        dated = batch.withColumn("date", F.col(timestamp).cast("date"))
+        named = dated.filter(F.col(row_id).isNotNull()).groupBy(row_id).agg(
+            F.min_by(F.struct(*dated.columns), F.struct(timestamp)).alias("__line")
+        )
+        fresh = named.select("__line.*").unionByName(dated.filter(F.col(row_id).isNull()))
+        fresh = settle(fresh, "landed-lines")
         if has_rows(spark, target):
             known = spark.read.parquet(target).filter(F.col("batch_id") != batch_id)
-            days = small_side(fresh.select(F.col("date").alias("__date")).distinct())
-            known = known.join(days, F.col("date").eqNullSafe(F.col("__date")), "left_semi").select(row_id)
+            least, greatest = fresh.agg(F.min(row_id), F.max(row_id)).first()
+            known = known.filter(F.col(row_id).between(F.lit(least), F.lit(greatest))).select(row_id)
             fresh = fresh.join(known, row_id, "left_anti")
         (
             fresh.withColumn("batch_id", F.lit(batch_id))

@@ -39,6 +39,21 @@ def test_repeats_are_dropped_within_and_across_runs(spark, folders, rows):
     assert rows(spark.read.parquet(target), "index") == [(1,), (2,), (3,), (4,), (5,), (6,)]
 
 
+def test_row_ids_once_across_days_and_lines_without_id(spark, folders):
+    landing, target, progress = folders
+    schema = spark.createDataFrame([], LINES).schema
+
+    def run():
+        jobs.ingest_lines(jobs.landed_stream(spark, schema, landing, "*.parquet"), target, progress)
+
+    land(spark, landing, LINES, (1, at(1), "x", 1.0), (None, at(1), "a", 1.0), (None, at(1), "b", 2.0))
+    run()
+    land(spark, landing, LINES, (1, at(5), "shifted", 1.0), (2, at(6), "y", 2.0), (2, at(4), "y", 2.0), (None, at(1), "c", 3.0))
+    run()
+    stored = sorted((tuple(r) for r in spark.read.parquet(target).select("index", F.dayofmonth("date")).collect()), key=repr)
+    assert stored == [(1, 1), (2, 4), (None, 1), (None, 1), (None, 1)]
+
+
 def test_weather_days_are_replaced_when_they_change(spark, folders, rows):
     landing, target, progress = folders
     schema = spark.createDataFrame([], WEATHER).schema
