@@ -57,4 +57,44 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM o
 """
 
-ORACLE: dict[str, str] = {"op3_warc": WARC, "op5_line_quality": LINE_QUALITY}
+#: The checksum byte by byte: its table of 256 remainders is made by rule.
+SPELLING = r"""
+WITH RECURSIVE
+shifted AS (
+  SELECT i, 0 AS k, i::UBIGINT AS c FROM range(256) AS r(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM shifted WHERE k < 8),
+remainders AS (SELECT list(c ORDER BY i) AS t FROM shifted WHERE k = 8),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS d,
+         translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+seen AS (SELECT d, run, count(*) AS times FROM runs GROUP BY ALL),
+summed AS (
+  SELECT run, times, xor(list_reduce(
+           list_prepend(4294967295::UBIGINT, list_transform(range(1, len(h) // 2 + 1), lambda i: ('0x' || h[2 * i - 1:2 * i])::UBIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) % 256)::INT + 1])), 4294967295::UBIGINT) AS crc
+  FROM (SELECT run, times, hex(encode(d || ':' || run)) AS h FROM seen), remainders),
+spoilt AS (
+  SELECT CASE WHEN crc % 31 = 0 THEN run[1:(crc % length(run))::INT] || run[(crc % length(run))::INT + 2:] ELSE run END AS word, times
+  FROM summed),
+words AS (SELECT word, sum(times)::BIGINT AS n FROM spoilt WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+less AS (SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS rest FROM words, range(1, length(word) + 1) AS r(i)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS m FROM less AS a JOIN less AS b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less AS a JOIN words AS b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less AS a JOIN words AS b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-m, encode(other))) AS other, max(m) AS m FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 10 * n THEN other END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+  FROM words AS w LEFT JOIN best AS b ON w.word = b.word),
+steps AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL
+  SELECT s.word, f.form FROM steps AS s JOIN formed AS f ON s.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, s.at AS root, f.n, f.n_near, f.form_n
+FROM formed AS f JOIN steps AS s ON f.word = s.word JOIN formed AS e ON s.at = e.word AND e.form IS NULL
+"""
+
+ORACLE: dict[str, str] = {"op3_warc": WARC, "op5_line_quality": LINE_QUALITY, "op12_spelling": SPELLING}

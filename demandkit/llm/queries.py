@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandkit.llm import fingerprints, language, line_quality, lm, mixing, near_dup, packing, sanitise, substrings, warc
+from demandkit.llm import cover_tree, fingerprints, language, line_quality, lm, mixing, near_dup, packing, sanitise, spelling, substrings, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -88,3 +88,22 @@ def op4_gru_lm(spark: SparkSession, sf: str) -> DataFrame:
 def op8_repeats(spark: SparkSession, sf: str) -> DataFrame:
     """Every document without the 200-byte strings that occur again."""
     return substrings.remove_repeats(table(spark, sf, "documents"))
+
+
+@query
+def op11_cover_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.95."""
+    return cover_tree.link_embeddings(table(spark, sf, "embeddings"))
+
+
+@query
+def op12_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    """Near words, form and root of every word of the documents."""
+    found = spelling.variants(spelling.count_words(table(spark, sf, "documents")))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Every embedding projected on the four leading components, whitened."""
+    return whitening.whiten(table(spark, sf, "embeddings"))
