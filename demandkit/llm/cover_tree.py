@@ -37,12 +37,14 @@ from demandkit.runtime import settle, small_side
 LEAST_COSINE = 0.95
 #: Vectors of the sample whose net is the top of the tree; bytes of the vectors of a block.
 SAMPLE, BLOCK_BYTES = 512, 4 << 20
-#: Radius of the top net, and of the first level below it.
-TOP, FIRST = 0.5, 1.0
+#: Radius of the net at the top; the levels below it start with it too.
+TOP = 0.5
 #: Room for rounding in all bounds: chords of nearly equal vectors are exact to 1e-8.
 SLACK = 1e-7
 #: Elements of the distance tables that a step of a task holds.
 TILE = 1 << 20
+#: Tasks that the pairs of blocks are dealt to at most; more pairs than that share tasks.
+MOST_TASKS = 20_000
 PRUNED, LINKED, OPEN = 0, 1, 2
 
 
@@ -97,7 +99,7 @@ def nearest(unit: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def radii(threshold: float) -> list[float]:
     """The radii of the levels below the leaves; beyond them, vectors are compared."""
-    out = [FIRST]
+    out = [TOP]
     while out[-1] > threshold / 8:
         out.append(out[-1] / 2)
     return out
@@ -252,7 +254,7 @@ class Links:
         n, m = a.last[level][i] - a.first[level][i], b.last[level][j] - b.first[level][j]
         large = n * m > TILE // 64
         for x, y in zip(i[large].tolist(), j[large].tolist(), strict=True):
-            self._meet_tables(level, x, y)
+            self._meet_tables(level + 1, np.arange(a.first[level][x], a.last[level][x]), np.arange(b.first[level][y], b.last[level][y]))
         i, j, n, m = i[~large], j[~large], n[~large], m[~large]
         cut = np.searchsorted(np.cumsum(n * m), np.arange(1, 1 + (n * m).sum() // (TILE // 8)) * (TILE // 8))
         for part in np.split(np.arange(len(i)), np.unique(cut)):
@@ -269,30 +271,44 @@ class Links:
             cosines = np.einsum("ij,ij->i", a.center[level + 1][x], b.center[level + 1][y])
             self._decide(level + 1, x, y, cosines)
 
-    def _meet_tables(self, level: int, i: int, j: int) -> None:
+    def _meet_tables(self, level: int, x: np.ndarray, y: np.ndarray, state: np.ndarray | None = None) -> None:
+        """The nodes x and y of a level meet, all with all; ``state`` tells which leaves are open."""
         a, b = self.a, self.b
-        y = np.arange(b.first[level][j], b.last[level][j])
-        begin, end = a.first[level][i], a.last[level][i]
         step = max(1, TILE // len(y))
-        widest = b.radius[level + 1][y]
-        for at in range(begin, end, step):
-            x = np.arange(at, min(end, at + step))
-            cosines = a.center[level + 1][x] @ b.center[level + 1][y].T
-            far = self.threshold + SLACK + a.radius[level + 1][x][:, None] + widest[None, :]
-            near = cosines >= 1 - far**2 / 2
+        wide = b.radius[level][y]
+        # A pair stays if cosine >= 1 - (threshold + both radii) ** 2 / 2. With the radii as three more
+        # entries this is one product in single precision, whose error the margin covers.
+        right = np.column_stack([b.center[level][y], wide, wide**2 / 2, np.ones(len(y))]).astype(np.float32).T
+        margin = -np.float32(16 * len(right) * np.finfo(np.float32).eps)
+        for at in range(0, len(x), step):
+            own = x[at : at + step]
+            reach = self.threshold + SLACK + a.radius[level][own]
+            left = np.column_stack([a.center[level][own], reach, np.ones(len(own)), reach**2 / 2 - 1]).astype(np.float32)
+            p, q = np.divmod(np.flatnonzero((left @ right).reshape(-1) >= margin), len(y))
+            p, q = own[p], y[q]
             if self.same:
-                near &= x[:, None] <= y[None, :]
-            p, q = np.nonzero(near)
-            if len(p):
-                self._decide(level + 1, x[p], y[q], cosines[p, q])
+                p, q = p[p <= q], q[p <= q]
+            if state is not None:
+                met = state[a.leaf[a.start[level][p]], b.leaf[b.start[level][q]]] == OPEN
+                p, q = p[met], q[met]
+            for part in np.array_split(np.arange(len(p)), max(1, len(p) * 8 // TILE)):
+                if len(part):
+                    i, j = p[part], q[part]
+                    self._decide(level, i, j, np.einsum("ij,ij->i", a.center[level][i], b.center[level][j]))
 
     def run(self, state: np.ndarray) -> None:
-        """All pairs of leaves that ``state`` (leaves, leaves) leaves open."""
-        i, j = np.nonzero(state[np.ix_(self.a.leaf[self.a.start[0]], self.b.leaf[self.b.start[0]])] == OPEN)
-        if self.same:
-            i, j = i[i <= j], j[i <= j]
-        if len(i):
-            self.open(0, i, j)
+        """All pairs of leaves that ``state`` (leaves, leaves) leaves open; leaves that are next to each other go together."""
+        a, b = self.a, self.b
+        met = state[np.ix_(a.leaf[a.start[0]], b.leaf[b.start[0]])] == OPEN
+        size = b.last[0] - b.first[0]
+        for part in np.array_split(np.arange(len(met)), max(1, len(a.start[1]) // 512)):
+            if not len(part):
+                continue
+            partners = np.flatnonzero(met[part].any(axis=0))
+            if len(partners):
+                n = size[partners]
+                y = np.repeat(b.first[0][partners] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                self._meet_tables(1, np.arange(a.first[0][part[0]], a.last[0][part[-1]]), y, state)
 
 
 def leaf_states(leaves: np.ndarray, radius: np.ndarray, threshold: float) -> np.ndarray:
@@ -325,7 +341,7 @@ def _placed(classes: DataFrame, leaves: np.ndarray, levels: list[float], block_b
     weight = np.asarray([sizes[i].n if i in sizes else 0 for i in range(len(leaves))])
     # Small leaves share a block with those near them; large ones are spread over several.
     most = max(64, block_bytes // (8 * leaves.shape[1]))
-    coarse, _ = nearest(leaves, leaves[net(leaves, FIRST)])
+    coarse, _ = nearest(leaves, leaves[net(leaves, 2 * TOP)])
     first, parts, block, filled = [0] * len(leaves), [1] * len(leaves), -1, most
     for i in sorted(sizes, key=lambda i: (coarse[i], i)):
         n = sizes[i].vectors
@@ -386,7 +402,8 @@ def _pair_links(placed: DataFrame, blocks: DataFrame, state: np.ndarray, leaves:
         told = (links.count > 0) | (links.root != np.arange(len(nodes)))
         return pa.table({"node": nodes[told], "links": links.count[told], "other": nodes[links.root[told]]})
 
-    dealt = placed.join(small_side(sides), "block")
+    # A task for each pair: their work is in proportion to products of sizes, not to bytes.
+    dealt = placed.join(small_side(sides), "block").repartition(max(1, min(pairs.count(), MOST_TASKS)), "i", "j")
     return settle(dealt.groupBy("i", "j").applyInArrow(meet, "node long, links long, other long"), "block-links")
 
 
