@@ -32,8 +32,10 @@ class ForecastConfig:
     rain_threshold: float = 0.5
     train_share: float = 0.75
     grace_days: int = 3
-    #: Trees at most; boosting stops before that once the test set gains nothing.
+    #: Trees at most; boosting stops before that once the test set has gained nothing for
+    #: ``patience`` rounds.
     max_iter: int = 100
+    patience: int = 20
     stores: tuple[Store, ...] = field(default_factory=tuple)
     #: Types of register attributes by column ("double", "boolean", "string"): numbers
     #: are averaged over a day, others voted on.

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from demandkit.operators.grain import PAIR, TARGET
 from demandkit.operators.template import future_template
-from demandkit.runtime import settle, small_side
+from demandkit.runtime import scratch, settle, small_side
 
 #: Tree bins; an indexed category with more values is an error of the booster.
 MAX_BINS = 64
@@ -22,6 +23,10 @@ MAX_BINS = 64
 MISSING = -1.0e12
 #: Weight of the overall mean in the mean target of a category.
 PRIOR_WEIGHT = 10.0
+#: Days of a block of the running sums of a category.
+BLOCK_DAYS = 64
+#: Rounds without a lower error on the test set that end boosting; trees between two writes.
+PATIENCE, BLOCK_TREES = 20, 10
 NOT_FEATURES = (TARGET, "date", "index", "split")
 
 
@@ -64,55 +69,63 @@ def chosen_means(features: DataFrame, columns: Columns, encodings: Mapping[str,
     return [c for c in columns.categorical if named.get(c, "index" if c in flags else "mean") == "mean"]
 
 
-def target_sums(training: DataFrame, column: str) -> DataFrame:
-    """Sum and number of known targets by category."""
+def target_days(training: DataFrame, column: str) -> DataFrame:
+    """Sum and number of known targets by category and day."""
     known = training.filter(F.col(TARGET).isNotNull())
-    return known.groupBy(column).agg(
-        F.sum(TARGET).alias(f"__sum_{column}"), F.count(F.lit(1)).alias(f"__n_{column}")
-    )
+    return known.groupBy(column, "date").agg(F.sum(TARGET).alias("__sum"), F.count(F.lit(1)).alias("__n"))
 
 
-def with_means(
-    rows: DataFrame, sums: Mapping[str, DataFrame], prior: float, counted: Column | None = None, weight: float = PRIOR_WEIGHT
-) -> DataFrame:
-    """Smoothed mean target of each category, the overall mean being the prior.
+def earlier_days(days: DataFrame, column: str, block_days: int = BLOCK_DAYS) -> DataFrame:
+    """Sum and number of targets on all earlier days, for each category and day of ``days``.
 
-    Rows that are ``counted`` in the sums take their own target out of them, so a
-    training row does not see its answer. No list of categories passes through the
-    driver; categories without training rows get the prior.
+    A prefix in two levels: over the blocks of days of a category, and over the days of a
+    block. So the days of one category are spread over tasks, and no window holds more than
+    a block of them, or one row a block.
+    """
+    block = F.floor(F.datediff("date", F.lit("1970-01-01").cast("date")) / block_days)
+    placed = days.withColumn("__block", block)
+    before = Window.partitionBy(column).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = placed.groupBy(column, "__block").agg(*(F.sum(c).alias(c) for c in ("__sum", "__n")))
+    blocks = blocks.select(column, "__block", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_blocks") for c in ("__sum", "__n")))
+    inside = Window.partitionBy(column, "__block").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    within = placed.select(column, "__block", "date", *(F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(c) for c in ("__sum", "__n")))
+    both = within.join(blocks, [column, "__block"])
+    return both.select(column, "date", *((F.col(c) + F.col(f"{c}_blocks")).alias(c) for c in ("__sum", "__n")))
+
+
+def with_means(rows: DataFrame, history: Mapping[str, DataFrame], prior: float, weight: float = PRIOR_WEIGHT) -> DataFrame:
+    """Smoothed mean target of each row's category on earlier days, the overall mean being the prior.
+
+    ``history`` holds the known targets by category and day (:func:`target_days`). A row sees
+    neither its own target nor any of its day or later, so nothing of the answer is in the
+    feature; days to predict see all of the history. No list of categories passes through
+    the driver; categories without earlier days get the prior.
     """
-    own = F.lit(False) if counted is None else counted & F.col(TARGET).isNotNull()
-    for column, table in sums.items():
-        total, n = F.coalesce(f"__sum_{column}", F.lit(0.0)), F.coalesce(f"__n_{column}", F.lit(0))
-        if counted is not None:
-            total, n = total - F.when(own, F.col(TARGET)).otherwise(0.0), n - F.when(own, 1).otherwise(0)
-        mean = (total + weight * prior) / (n + weight)
-        rows = rows.join(small_side(table), column, "left").withColumn(f"mean_target__{column}", mean)
-        rows = rows.drop(f"__sum_{column}", f"__n_{column}")
+    for column, table in history.items():
+        own = rows.select(column, "date").distinct().withColumns({"__sum": F.lit(0.0), "__n": F.lit(0).cast("long")})
+        days = own.unionByName(table.select(column, "date", "__sum", "__n"))
+        days = days.groupBy(column, "date").agg(F.sum("__sum").alias("__sum"), F.sum("__n").alias("__n"))
+        seen = small_side(settle(earlier_days(days, column), "earlier-days"))
+        mean = (F.coalesce("__sum", F.lit(0.0)) + weight * prior) / (F.coalesce("__n", F.lit(0)) + weight)
+        rows = rows.join(seen, [column, "date"], "left").withColumn(f"mean_target__{column}", mean).drop("__sum", "__n")
     return rows
 
 
-def boosted_trees(
-    columns: Columns,
-    max_iter: int = 100,
-    max_depth: int = 5,
-    step: float = 0.1,
-    validation: str | None = None,
-    tolerance: float = 0.01,
-    max_bins: int = MAX_BINS,
-    seed: int = 42,
-) -> Pipeline:
-    """Index categories, assemble, boost with squared loss.
-
-    With a ``validation`` flag column, boosting stops early on those rows.
-    """
+def _preparation(columns: Columns) -> list:
+    """Stages that index categories and assemble the features."""
     indexed = [f"__ix_{c}" for c in columns.categorical]
     stages = []
     if columns.categorical:
         stages.append(
             StringIndexer(inputCols=columns.categorical, outputCols=indexed, handleInvalid="keep")
         )
-    stages.append(VectorAssembler(inputCols=[*columns.numeric, *indexed], outputCol="__features"))
+    return [*stages, VectorAssembler(inputCols=[*columns.numeric, *indexed], outputCol="__features")]
+
+
+def boosted_trees(
+    columns: Columns, max_iter: int = 100, max_depth: int = 5, step: float = 0.1, max_bins: int = MAX_BINS, seed: int = 42
+) -> Pipeline:
+    """Index categories, assemble, boost with squared loss: ``max_iter`` trees in one go."""
     booster = GBTRegressor(
         featuresCol="__features",
         labelCol=TARGET,
@@ -122,16 +135,85 @@ def boosted_trees(
         maxDepth=max_depth,
         stepSize=step,
         maxBins=max_bins,
-        validationTol=tolerance,
         seed=seed,
     )
-    if validation:
-        booster = booster.setValidationIndicatorCol(validation)
-    return Pipeline(stages=[*stages, booster])
+    return Pipeline(stages=[*_preparation(columns), booster])
+
+
+@dataclass(frozen=True)
+class Boosted:
+    """Trees up to the best round, and the error on the held-out rows after each round."""
+
+    pipeline: PipelineModel
+    rounds: int
+    errors: list[float]
+
+
+def boost_with_patience(
+    encoded: DataFrame,
+    columns: Columns,
+    held_out: str,
+    max_iter: int = 100,
+    patience: int = PATIENCE,
+    block: int = BLOCK_TREES,
+    max_depth: int = 5,
+    step: float = 0.1,
+    max_bins: int = MAX_BINS,
+    seed: int = 42,
+) -> Boosted:
+    """Boost tree by tree until ``patience`` rounds have not lowered the error on the held-out rows.
+
+    Each tree is fitted to the gradient of the squared error that the trees before it leave,
+    as :func:`boosted_trees` does in one go, and gives the same trees. After each block of
+    trees the forecasts so far are written, and the next block starts from them: a lost
+    executor costs at most that block, and plans do not grow with the rounds. One pass over
+    the held-out rows measures all rounds of a block. Which round is the best does not
+    depend on the size of the blocks. Without held-out rows all ``max_iter`` trees stay.
+    """
+    spark = encoded.sparkSession
+    known = encoded.filter(F.col(TARGET).isNotNull())
+    prepared = Pipeline(stages=_preparation(columns)).fit(known.filter(~F.col(held_out)))
+    trees: list = []
+    errors: list[float] = []
+    best = stopped = 0
+    with scratch(spark, "boosting"):
+        rows = prepared.transform(known).select("__features", F.col(TARGET).alias("__y"), F.col(held_out).alias("__out"), F.lit(0.0).alias("__f"))
+        rows = settle(rows, "rounds")
+        testing = not rows.filter("__out").isEmpty()
+        while len(trees) < max_iter and not stopped:
+            now, added = rows, []
+            for number in range(len(trees), min(max_iter, len(trees) + block)):
+                # The first tree takes the target itself at full weight.
+                label = F.col("__y") if number == 0 else 2 * (F.col("__y") - F.col("__f"))
+                tree = DecisionTreeRegressor(
+                    featuresCol="__features", labelCol="__label", predictionCol=f"__t{number}", maxDepth=max_depth, maxBins=max_bins, seed=seed
+                )
+                model = tree.fit(now.filter(~F.col("__out")).withColumn("__label", label))
+                trees.append(model)
+                added.append(f"__f{number}")
+                weight = 1.0 if number == 0 else step
+                now = model.transform(now).withColumn("__f", F.col("__f") + weight * F.col(f"__t{number}")).withColumn(added[-1], F.col("__f"))
+            off = [F.avg((F.col("__y") - F.col(c)) ** 2) for c in added]
+            now = settle(now.select(*rows.columns, *added), "rounds")
+            if testing:
+                for error in now.filter("__out").agg(*off).first():
+                    errors.append(math.sqrt(error))
+                    if len(errors) == 1 or errors[-1] < errors[best - 1]:
+                        best = len(errors)
+                    if len(errors) - best >= patience:
+                        stopped = len(errors)
+                        break
+            rows = now.select(*rows.columns)
+    rounds = best if testing else len(trees)
+    errors = errors[: stopped or len(errors)]
+    terms = " + ".join(f"{1.0 if n == 0 else step!r} * `__t{n}`" for n in range(rounds))
+    total = SQLTransformer(statement=f"SELECT *, {terms} AS forecast FROM __THIS__")
+    return Boosted(PipelineModel([*prepared.stages, *trees[:rounds], total]), rounds, errors)
 
 
 def trees_in(model: PipelineModel) -> int:
-    return max(1, model.stages[-1].getNumTrees)
+    last = model.stages[-1]
+    return last.getNumTrees if hasattr(last, "getNumTrees") else sum(isinstance(s, DecisionTreeRegressionModel) for s in model.stages)
 
 
 @dataclass(frozen=True)
@@ -139,12 +221,12 @@ class Forecaster:
     """Cleaning, mean targets and trees: raw feature rows in, forecasts out."""
 
     columns: Columns
-    sums: dict[str, DataFrame]
+    history: dict[str, DataFrame]
     prior: float
     pipeline: PipelineModel
 
-    def encode(self, features: DataFrame, counted: Column | None = None) -> DataFrame:
-        return with_means(clean(features, self.columns), self.sums, self.prior, counted)
+    def encode(self, features: DataFrame) -> DataFrame:
+        return with_means(clean(features, self.columns), self.history, self.prior)
 
     def transform(self, features: DataFrame) -> DataFrame:
         return self.pipeline.transform(self.encode(features))
@@ -153,19 +235,19 @@ class Forecaster:
         """The trees, and beside them what turns raw rows into their input."""
         spark = SparkSession.getActiveSession()
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        for number, column in enumerate(self.sums):
-            self.sums[column].write.mode("overwrite").parquet(f"{path}/sums_{number}")
+        for number, column in enumerate(self.history):
+            self.history[column].write.mode("overwrite").parquet(f"{path}/target_days_{number}")
         settings = {
-            "categorical": self.columns.categorical, "numeric": self.columns.numeric, "means": list(self.sums), "prior": self.prior,
+            "categorical": self.columns.categorical, "numeric": self.columns.numeric, "means": list(self.history), "prior": self.prior,
         }
         spark.createDataFrame([(json.dumps(settings),)], "settings string").write.mode("overwrite").parquet(f"{path}/settings")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Forecaster":
         settings = json.loads(spark.read.parquet(f"{path}/settings").first()[0])
-        sums = {c: spark.read.parquet(f"{path}/sums_{n}") for n, c in enumerate(settings["means"])}
+        history = {c: spark.read.parquet(f"{path}/target_days_{n}") for n, c in enumerate(settings["means"])}
         columns = Columns(settings["categorical"], settings["numeric"])
-        return cls(columns, sums, settings["prior"], PipelineModel.load(f"{path}/pipeline"))
+        return cls(columns, history, settings["prior"], PipelineModel.load(f"{path}/pipeline"))
 
 
 @dataclass(frozen=True)
@@ -173,21 +255,37 @@ class Trained:
     evaluation: Forecaster
     production: Forecaster
     features: DataFrame
+    #: Error on the test set after each round of the evaluation.
+    errors: list[float]
+
+
+@dataclass(frozen=True)
+class Encoded:
+    """Known rows with mean targets from the counted ones, and what they were made of."""
+
+    rows: DataFrame
+    inputs: Columns
+    history: dict[str, DataFrame]
+    prior: float
 
 
-def _fitted(features: DataFrame, counted: Column, columns: Columns, means: Sequence[str], validation: str | None, **options) -> Forecaster:
+def encode_targets(features: DataFrame, counted: Column, columns: Columns, means: Sequence[str]) -> Encoded:
+    """Clean the rows that are not to be predicted; mean targets come from the ``counted`` ones."""
     training = clean(features, columns).filter(counted)
     prior = training.agg(F.avg(TARGET)).first()[0] or 0.0
-    sums = {c: settle(target_sums(training, c), "target-sums") for c in means}
+    history = {c: settle(target_days(training, c), "target-days") for c in means}
     known = features.filter(F.col("split") != "predict").withColumn("__held_out", F.col("split") == "test")
-    encoded = with_means(clean(known, columns), sums, prior, counted)
+    rows = with_means(clean(known, columns), history, prior)
     inputs = Columns([c for c in columns.categorical if c not in means], columns.numeric + [f"mean_target__{c}" for c in means])
-    return Forecaster(columns, sums, prior, boosted_trees(inputs, validation=validation, **options).fit(encoded))
+    return Encoded(rows, inputs, history, prior)
 
 
-def train(features: DataFrame, max_iter: int = 100, encodings: Mapping[str, str] | None = None, **options) -> Trained:
-    """Train on the train set with early stopping on the test set, then again on
-    all history with the number of trees that was found.
+def train(
+    features: DataFrame, max_iter: int = 100, encodings: Mapping[str, str] | None = None, patience: int = PATIENCE, block: int = BLOCK_TREES,
+    **options,
+) -> Trained:
+    """Train on the train set until the test set has not gained for ``patience`` rounds, then
+    again on all history with the number of trees that was best.
 
     The production model's mean targets come from all history as well. ``features``
     carries the ``split`` label and should be a stored table, for boosting reads it
@@ -196,14 +294,18 @@ def train(features: DataFrame, max_iter: int = 100, encodings: Mapping[str, str]
     columns = model_columns(features)
     means = chosen_means(features, columns, encodings)
     split = F.col("split")
-    evaluation = _fitted(features, split == "train", columns, means, "__held_out", max_iter=max_iter, **options)
-    trees = trees_in(evaluation.pipeline)
-    production = _fitted(features, split != "predict", columns, means, None, max_iter=trees, **options)
-    return Trained(evaluation, production, features)
+    seen = encode_targets(features, split == "train", columns, means)
+    best = boost_with_patience(seen.rows, seen.inputs, "__held_out", max_iter, patience, block, **options)
+    evaluation = Forecaster(columns, seen.history, seen.prior, best.pipeline)
+    whole = encode_targets(features, split != "predict", columns, means)
+    trees = boosted_trees(whole.inputs, max_iter=max(1, best.rounds), **options).fit(whole.rows)
+    return Trained(evaluation, Forecaster(columns, whole.history, whole.prior, trees), features, best.errors)
 
 
 def score(model: Forecaster, rows: DataFrame) -> DataFrame:
-    return model.transform(rows).select(*PAIR, "date", "split", TARGET, "forecast")
+    """Keys, date, split and target as they were, with the forecast."""
+    kept = rows.withColumn("__row", F.struct(*PAIR, "date", "split", TARGET))
+    return model.transform(kept).select("__row.*", "forecast")
 
 
 def recent_mean_forecast(profile: DataFrame) -> DataFrame:

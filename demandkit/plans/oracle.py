@@ -232,6 +232,10 @@ weather AS (
   FROM hourly WHERE day < last_day GROUP BY day
 )"""
 
+#: The curated columns by their type.
+MODEL_CATEGORIES = ("product", "returnflag", "priority")
+MODEL_NUMBERS = ("store", "price", "discount", "fulfilled")
+
 ORDER_ENTITY = """
 entity AS (
   SELECT CAST(o_orderdate AS DATE) AS date, o_totalprice AS totalprice, o_orderstatus AS status,
@@ -274,8 +278,13 @@ WINDOW_FILE = "'sales_' || strftime(start_date, '%Y-%m-%d') || '_' || strftime(e
 SHOWN_ORDER = "id, store, product, tomorrow_order_qty, tomorrow_order_range, day_after_order_qty, day_after_order_range, next7_order_qty, next7_order_range"
 
 
+def _r(value: str, digits: int) -> str:
+    """A little more than half goes up, so that the noise of additions cannot decide a tie."""
+    return f"round({value} + 1e-{digits + 3}, {digits})"
+
+
 def _cut(columns: str, digits: int = 6) -> str:
-    return ", ".join(f"round({c.strip()}, {digits}) AS {c.strip()}" for c in columns.split(","))
+    return ", ".join(f"{_r(c.strip(), digits)} AS {c.strip()}" for c in columns.split(","))
 
 
 WEATHER_COLUMNS = (
@@ -391,15 +400,15 @@ def oracle_sql() -> dict[str, str]:
             WHERE date BETWEEN start AND "end" GROUP BY 1""",
         "features_day_aggs": f"""WITH {ORDER_ENTITY}, {_day_mode('entity', 'status')}, {_day_mode('entity', 'priority')},
             plain AS (SELECT date, count(*) AS days__count__orders,
-              round(sum(totalprice), 2) AS days__sum__orders__totalprice,
-              round(stddev_samp(totalprice), 2) AS days__std__orders__totalprice,
+              round(sum(totalprice) + 1e-5, 2) AS days__sum__orders__totalprice,
+              round(stddev_samp(totalprice) + 1e-5, 2) AS days__std__orders__totalprice,
               max(totalprice) AS days__max__orders__totalprice,
-              round({SKEW}, 4) AS days__skew__orders__totalprice,
+              round({SKEW} + 1e-7, 4) AS days__skew__orders__totalprice,
               min(totalprice) AS days__min__orders__totalprice,
-              round(avg(totalprice), 6) AS days__mean__orders__totalprice,
+              round(avg(totalprice) + 1e-9, 6) AS days__mean__orders__totalprice,
               count(DISTINCT status) AS days__num_unique__orders__status,
               count(DISTINCT priority) AS days__num_unique__orders__priority,
-              round(avg(CASE WHEN urgent THEN 1.0::DOUBLE ELSE 0.0 END), 8) AS days__percent_true__orders__urgent,
+              round(avg(CASE WHEN urgent THEN 1.0::DOUBLE ELSE 0.0 END) + 1e-11, 8) AS days__percent_true__orders__urgent,
               count(CASE WHEN status = 'O' AND urgent THEN 1 END) AS days__count__orders__where_urgent_open
               FROM entity GROUP BY date)
             SELECT plain.*, s.status AS days__mode__orders__status, p.priority AS days__mode__orders__priority
@@ -408,9 +417,9 @@ def oracle_sql() -> dict[str, str]:
             {_holiday_sql(['HE', 'RP'])},
             trimmed AS (SELECT entity.* FROM entity, bounds WHERE date BETWEEN start AND "end"),
             {_day_mode('trimmed', 'priority')}, {_day_mode('curated', 'returnflag')},
-            o AS (SELECT date, count(*) AS n, round(sum(totalprice), 2) AS total, max(totalprice) AS top,
+            o AS (SELECT date, count(*) AS n, round(sum(totalprice) + 1e-5, 2) AS total, max(totalprice) AS top,
                   count(DISTINCT status) AS kinds FROM trimmed GROUP BY date),
-            s AS (SELECT date, count(*) AS n_sales, round(max(discount), 8) AS top_discount FROM curated GROUP BY date),
+            s AS (SELECT date, count(*) AS n_sales, round(max(discount) + 1e-11, 8) AS top_discount FROM curated GROUP BY date),
             placed AS (SELECT *, {STORE_STATE} AS state FROM curated)
             SELECT store, product, date, sales, {SPLIT} AS split, CAST(isodow(date) - 1 AS INTEGER) AS weekday__date,
               CASE WHEN month(date) IN (3, 4, 5) THEN 'spring' WHEN month(date) IN (6, 7, 8) THEN 'summer'
@@ -441,12 +450,12 @@ def oracle_sql() -> dict[str, str]:
         "lag_year": f"""WITH {CURATED} SELECT c.store, c.product, c.date, p.sales AS last_year
             FROM curated c LEFT JOIN curated p ON p.store = c.store AND p.product = c.product AND p.date = c.date - 364""",
         "rolling7": f"""WITH {CURATED} SELECT c.store, c.product, c.date, sum(p.sales) AS rolling7_sum,
-            round(avg(p.sales), 8) AS rolling7_mean, count(p.sales) AS rolling7_days
+            round(avg(p.sales) + 1e-11, 8) AS rolling7_mean, count(p.sales) AS rolling7_days
             FROM curated c LEFT JOIN curated p ON p.store = c.store AND p.product = c.product
               AND p.date BETWEEN c.date - 7 AND c.date - 1 GROUP BY c.store, c.product, c.date""",
-        "weather_rolling7": f"""WITH {WEATHER} SELECT w.date, round(w.temperature, 6) AS temperature,
-            round(w.precipitation, 6) AS precipitation, round(avg(p.temperature), 6) AS past7_temperature,
-            round(avg(p.precipitation), 6) AS past7_precipitation, count(p.date) AS past7_days
+        "weather_rolling7": f"""WITH {WEATHER} SELECT w.date, round(w.temperature + 1e-9, 6) AS temperature,
+            round(w.precipitation + 1e-9, 6) AS precipitation, round(avg(p.temperature) + 1e-9, 6) AS past7_temperature,
+            round(avg(p.precipitation) + 1e-9, 6) AS past7_precipitation, count(p.date) AS past7_days
             FROM weather w LEFT JOIN weather p ON p.date BETWEEN w.date - 7 AND w.date - 1
             GROUP BY w.date, w.temperature, w.precipitation""",
         "invoice_flatten": INVOICE_ROWS,
@@ -456,11 +465,11 @@ def oracle_sql() -> dict[str, str]:
         "panel_sales": """SELECT CAST(l_suppkey % 83 AS INTEGER) AS store, p_brand AS product,
             CAST(DATE '2018-01-01' + CAST(((CAST(l_shipdate AS DATE) - DATE '1995-01-01') // 7) * 7 AS INTEGER) AS DATE) AS date,
             CAST(sum(CAST(trunc(exp(l_extendedprice / 10000)) AS BIGINT)) AS BIGINT) AS sales,
-            round(avg(l_discount), 6) AS price
+            round(avg(l_discount) + 1e-9, 6) AS price
             FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3""",
         "source_range": f"""WITH {GRAIN} SELECT store, product, date, sales FROM grain
             WHERE date BETWEEN DATE '1997-03-01' AND DATE '1998-02-28'""",
-        "csv_folder": f"WITH {LINES} SELECT store, product, date, sum(sales) AS sales, round(avg(price), 6) AS price FROM lines GROUP BY ALL",
+        "csv_folder": f"WITH {LINES} SELECT store, product, date, sum(sales) AS sales, round(avg(price) + 1e-9, 6) AS price FROM lines GROUP BY ALL",
         "batch_windows": f"""WITH {SPAN},
             sold AS (SELECT {WINDOW_START} AS start_date, sum(l_quantity) AS units FROM lineitem, span GROUP BY 1)
             SELECT start_date, end_date, {WINDOW_FILE} AS file_name, units FROM windows LEFT JOIN sold USING (start_date)""",
@@ -509,14 +518,38 @@ def oracle_sql() -> dict[str, str]:
                 AND p.product = c.product AND p.date BETWEEN c.date - 7 AND c.date - 1) AS forecast
               FROM curated c, bounds WHERE {SPLIT.replace('date >=', 'c.date >=').replace('date <=', 'c.date <=')} = 'test')
             SELECT count(*) AS n_rows,
-              round(1 - sum((sales - forecast) * (sales - forecast)) / (var_pop(sales) * count(*)), 6) AS r2,
-              round(sqrt(avg((sales - forecast) * (sales - forecast))), 6) AS rmse,
-              round(avg(abs(sales - forecast)), 6) AS mae
+              round(1 - sum((sales - forecast) * (sales - forecast)) / (var_pop(sales) * count(*)) + 1e-9, 6) AS r2,
+              round(sqrt(avg((sales - forecast) * (sales - forecast))) + 1e-9, 6) AS rmse,
+              round(avg(abs(sales - forecast)) + 1e-9, 6) AS mae
             FROM scored WHERE forecast IS NOT NULL""",
+        "forecast_days": f"""WITH {CURATED} SELECT store, product, count(*) AS n_days, count(DISTINCT date) AS n_dates,
+            min(date) AS first_date, max(date) AS last_date, count(*) AS n_forecasts, count(sales) AS n_known
+            FROM curated WHERE sales IS NULL GROUP BY store, product""",
+        "model_columns": f"""WITH {CURATED}, per AS (SELECT
+              {', '.join(f"count(*) FILTER ({c} IS NULL) AS gaps_{c}, count(DISTINCT coalesce({c}, '')) AS values_{c}" for c in MODEL_CATEGORIES)},
+              {', '.join(f"count(*) FILTER ({c} IS NULL) AS gaps_{c}" for c in MODEL_NUMBERS)} FROM curated)
+            {" UNION ALL ".join(
+                [f"SELECT '{c}' AS \"column\", 'category' AS kind, 'mean' AS encoding, gaps_{c} AS n_missing, values_{c} AS n_values FROM per" for c in MODEL_CATEGORIES]
+                + [f"SELECT '{c}', 'number', 'value', gaps_{c}, NULL FROM per" for c in MODEL_NUMBERS])}""",
+        "model_rows": f"""WITH {BOUNDS},
+            split AS (SELECT store, product, date, {SPLIT} AS split, sales, coalesce(price, -1.0e12) AS price,
+                coalesce(returnflag, '') AS returnflag, coalesce(priority, '') AS priority FROM curated, bounds),
+            prior AS (SELECT avg(sales) AS prior FROM split WHERE split = 'train'),
+            {', '.join(f"""by_{c} AS (
+              SELECT {c}, date, sum(CASE WHEN split = 'train' THEN sales END) AS total, count(CASE WHEN split = 'train' THEN sales END) AS n
+              FROM split GROUP BY {c}, date),
+            until_{c} AS (
+              SELECT {c}, date, coalesce(sum(total) OVER x, 0) AS total, coalesce(sum(n) OVER x, 0) AS n FROM by_{c}
+              WINDOW x AS (PARTITION BY {c} ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""" for c in MODEL_CATEGORIES)}
+            SELECT s.store, s.product, s.date, s.split, {_r('s.sales', 6)} AS sales, {_r('s.price', 6)} AS price, s.returnflag, s.priority,
+              {', '.join(f"{_r(f'(until_{c}.total + 10 * prior) / (until_{c}.n + 10)', 6)} AS mean_target__{c}" for c in MODEL_CATEGORIES)},
+              split = 'test' AS held_out
+            FROM split s CROSS JOIN prior {' '.join(f"JOIN until_{c} ON s.{c} = until_{c}.{c} AND s.date = until_{c}.date" for c in MODEL_CATEGORIES)}
+            WHERE split <> 'predict'""",
         "stream_ingest": """SELECT event_type AS product, CAST(ts AS DATE) AS date, count(*) AS n_lines,
             round(sum(value), 2) AS sales FROM events GROUP BY 1, 2""",
-        "stream_weather_daily": """SELECT CAST(ts AS DATE) AS date, round(avg(value), 8) AS temperature,
-            round(min(value - 1), 8) AS minimum_temperature FROM events GROUP BY 1""",
+        "stream_weather_daily": """SELECT CAST(ts AS DATE) AS date, round(avg(value) + 1e-11, 8) AS temperature,
+            round(min(value - 1) + 1e-11, 8) AS minimum_temperature FROM events GROUP BY 1""",
         "stream_window_reload": f"""WITH {SPAN}
             SELECT CAST(l_shipdate AS DATE) AS date,
               sum(CASE WHEN year({WINDOW_START}) >= 1998 THEN l_quantity ELSE 0.0::DOUBLE END) AS sales,

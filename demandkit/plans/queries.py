@@ -15,8 +15,7 @@ from demandkit.operators import checks, features as feat, lags, model, serve, sp
 from demandkit.operators.grain import PAIR, TARGET, to_grain
 from demandkit.operators.template import future_template, missing_pairs, recent_profile
 from demandkit.plans import tables as t
-from demandkit.config import ForecastConfig
-from demandkit.plans.stages import baseline_orders, train_and_score
+from demandkit.plans.stages import baseline_orders
 from demandkit.plans.tables import Stages
 from demandkit.runtime import fresh_path, settle
 from demandkit.sources import files, registers, windows
@@ -32,10 +31,15 @@ def query(run: Query) -> Query:
     return run
 
 
+def cut(value: Column, digits: int) -> Column:
+    return F.round(value + 10.0 ** -(digits + 3), digits)
+
+
 def rounded(df: DataFrame, digits: int = 6, columns: Sequence[str] | None = None) -> DataFrame:
-    """Doubles cut to digits that do not depend on the order of addition."""
+    """Doubles cut to digits that do not depend on the order of addition: a little more than
+    half goes up, so that noise cannot decide a tie."""
     doubles = columns or [c for c, kind in df.dtypes if kind == "double"]
-    return df.withColumns({c: F.round(c, digits) for c in doubles})
+    return df.withColumns({c: cut(F.col(c), digits) for c in doubles})
 
 
 # --- sales: grain, template, order table ---------------------------------------
@@ -207,7 +211,7 @@ def _comparable(df: DataFrame) -> DataFrame:
     """Totals and spreads of prices to cents, shapes and means to more digits."""
     places = {"skew": 4, "mean": 6, "percent_true": 8, "min": 8, "max": 8}
     digits = {c: places.get(c.split("__")[1], 2) for c, kind in df.dtypes if kind == "double" and "__" in c}
-    return df.withColumns({c: F.round(c, d) for c, d in digits.items()})
+    return df.withColumns({c: cut(F.col(c), d) for c, d in digits.items()})
 
 
 @query
@@ -435,7 +439,7 @@ def panel_sales(spark, sf):
         *[zero.alias(c) for c in registers.PANEL_FIELDS[5:]],
     )
     return registers.panel_to_sales(panel).groupBy("store", "product", "date").agg(
-        F.sum("sales").cast("long").alias("sales"), F.round(F.avg("price"), 6).alias("price")
+        F.sum("sales").cast("long").alias("sales"), cut(F.avg("price"), 6).alias("price")
     )
 
 
@@ -615,8 +619,61 @@ def baseline_metrics(spark, sf):
 @query
 def gbt_forecast(spark, sf):
     """Boosted trees: trained, evaluated, trained again, and served."""
-    forecast = train_and_score(Stages(spark, sf).features().features, max_iter=ForecastConfig().max_iter)
-    return serve.order_table(settle(forecast.predictions, "predictions"))
+    return serve.order_table(Stages(spark, sf).forecasts())
+
+
+@query
+def forecast_days(spark, sf):
+    """Days that the boosted trees forecast: each pair and each day to predict once."""
+    found = Stages(spark, sf).forecasts()
+    return found.groupBy("store", "product").agg(
+        F.count(F.lit(1)).alias("n_days"), F.count_distinct("date").alias("n_dates"), F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"), F.count("forecast").alias("n_forecasts"), F.count("sales").alias("n_known"),
+    )
+
+
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
+    curated = Stages(spark, sf).curated().sales
+    return splits.assign_split(curated, splits.fetch_bounds(curated))
+
+
+@query
+def model_columns(spark, sf):
+    """What the model takes from the curated sales: each column's kind and encoding, the rows
+    without a value, and the values a category has."""
+    labelled = _labelled(spark, sf)
+    columns = model.model_columns(labelled)
+    means = model.chosen_means(labelled, columns)
+    cleaned = model.clean(labelled, columns)
+    missing = {c: F.count_if(F.col(c) == "") for c in columns.categorical} | {c: F.count_if(F.col(c) == model.MISSING) for c in columns.numeric}
+    found = cleaned.agg(
+        *(F.struct(missing[c].alias("n_missing"), F.count_distinct(c).alias("n_values")).alias(c) for c in missing)
+    )
+    listed = F.array(
+        *(
+            F.struct(
+                F.lit(c).alias("column"), F.lit("category" if c in columns.categorical else "number").alias("kind"),
+                F.lit("mean" if c in means else "index" if c in columns.categorical else "value").alias("encoding"), F.col(c)["n_missing"].alias("n_missing"),
+                F.when(F.lit(c in columns.categorical), F.col(c)["n_values"]).alias("n_values"),
+            )
+            for c in missing
+        )
+    )
+    return found.select(F.explode(listed).alias("c")).select("c.*")
+
+
+@query
+def model_rows(spark, sf):
+    """Rows that boosting gets: split, cleaned values, and mean targets of earlier training days."""
+    labelled = _labelled(spark, sf)
+    columns = model.model_columns(labelled)
+    encoded = model.encode_targets(labelled, F.col("split") == "train", columns, model.chosen_means(labelled, columns))
+    return rounded(
+        encoded.rows.select(
+            F.col("store").cast("int").alias("store"), "product", "date", "split", "sales", "price", "returnflag", "priority",
+            "mean_target__product", "mean_target__returnflag", "mean_target__priority", F.col("__held_out").alias("held_out"),
+        )
+    )
 
 
 # --- streams --------------------------------------------------------------------

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from demandkit.functions.dates import WEATHER_TS_FORMAT
-from demandkit.plans.stages import Curated, FeatureSet, baseline_orders, curate_sales, prepare_features
+from demandkit.config import ForecastConfig
+from demandkit.plans.stages import Curated, FeatureSet, baseline_orders, curate_sales, prepare_features, train_and_score
 from demandkit.operators.serve import BAND
 from demandkit.runtime import settle
 
@@ -172,3 +173,13 @@ class Stages:
                 {"orders": order_entity(self.spark, self.sf)},
             ),
         )
+
+    def forecasts(self) -> DataFrame:
+        """What the boosted trees forecast for the days to predict."""
+
+        def build() -> DataFrame:
+            config = ForecastConfig()
+            done = train_and_score(self.features().features, max_iter=config.max_iter, patience=config.patience)
+            return settle(done.predictions, "predictions")
+
+        return self._once("forecasts", build)

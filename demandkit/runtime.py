@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -37,24 +39,64 @@ def local_session(
     )
 
 
+#: Folder of local applications without ``spark.checkpoint.dir``, by application.
+_LOCAL: dict[str, str] = {}
+#: Folder of the innermost open scope.
+_SCOPE: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for stage tables and stream checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
+    The cluster names it in ``spark.checkpoint.dir``. Only a session on one machine
     without that setting gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="demandkit-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="demandkit-")
+    return _LOCAL[application]
 
 
 def fresh_path(spark: SparkSession, purpose: str) -> str:
-    return f"{work_dir(spark)}/demandkit/{purpose}-{uuid.uuid4().hex}"
+    folder = _SCOPE.get() or f"{work_dir(spark)}/demandkit"
+    return f"{folder}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file, wherever it is stored."""
+    hadoop, system = _file_system(spark, path)
+    system.delete(hadoop, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names directly in a folder; none if there is no such folder."""
+    hadoop, system = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(hadoop)) if system.exists(hadoop) else []
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str = "scope") -> Iterator[str]:
+    """A scope whose stage tables are removed at its end, whether it succeeds or fails.
+
+    What outlives the scope has to be written elsewhere before the end. Scopes nest.
+    """
+    path = fresh_path(spark, purpose)
+    token = _SCOPE.set(path)
+    try:
+        yield path
+    finally:
+        _SCOPE.reset(token)
+        remove(spark, path)
 
 
 def settle(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -47,6 +47,11 @@ def test_training_scoring_saving(spark, features, tmp_path):
     metrics = model.regression_metrics(forecast.evaluation).first()
     assert metrics["r2"] > 0.8
     assert 1 <= model.trees_in(forecast.trained.production.pipeline) <= 15
+    assert model.trees_in(forecast.trained.evaluation.pipeline) == model.trees_in(forecast.trained.production.pipeline)
+    assert forecast.predictions.schema["store"].dataType == features.schema["store"].dataType
+    forecast.trained.evaluation.save(str(tmp_path / "evaluation"))
+    tested = model.score(model.Forecaster.load(spark, str(tmp_path / "evaluation")), features.filter("split = 'test'"))
+    assert tested.orderBy("date", "product").collect() == forecast.evaluation.orderBy("date", "product").collect()
     assert forecast.predictions.count() == features.filter("split = 'predict'").count()
     assert forecast.predictions.filter("forecast is null").isEmpty()
     forecast.trained.production.save(str(tmp_path / "model"))
@@ -59,23 +64,113 @@ def test_training_scoring_saving(spark, features, tmp_path):
     assert model.score(again, raw).filter("forecast is null").isEmpty()
 
 
-def test_categories_become_mean_targets_without_their_own_row(features):
+def by_hand(rows, counted, prior, weight=10.0):
+    """Mean target of each row from the counted rows of earlier days, by plain loops."""
+    out = {}
+    for i, (category, date, _) in enumerate(rows):
+        seen = [y for c, d, y in counted if c == category and d < date and y is not None]
+        out[i] = (sum(seen) + weight * prior) / (len(seen) + weight)
+    return out
+
+
+def test_mean_targets_are_those_of_earlier_days(features):
     columns = model.model_columns(features)
-    cleaned = model.clean(features, columns)
     assert model.chosen_means(features, columns) == ["product"]
     assert model.chosen_means(features, columns, {"product": "index", "promo": "mean"}) == ["promo"]
     with pytest.raises(ValueError):
         model.chosen_means(features, columns, {"product": "hash"})
-    training = cleaned.filter("split = 'train'")
-    prior, n, total = training.agg(F.avg("sales")).first()[0], *training.filter("product = 'p3'").agg(F.count("sales"), F.sum("sales")).first()
-    sums = {"product": settle(model.target_sums(training, "product"), "sums")}
-    encoded = model.with_means(cleaned, sums, prior, F.col("split") == "train")
+    found = model.encode_targets(features, F.col("split") == "train", columns, ["product"])
+    assert found.inputs.numeric[-1] == "mean_target__product" and found.inputs.categorical == ["promo"]
+    plain = [tuple(r) for r in features.filter("split <> 'predict'").select("product", "date", "sales", "split").collect()]
+    counted = [r[:3] for r in plain if r[3] == "train"]
+    prior = sum(r[2] for r in counted) / len(counted)
+    assert found.prior == pytest.approx(prior)
+    wanted = by_hand([r[:3] for r in plain], counted, prior)
+    got = sorted((r["product"], r["date"], r["sales"], round(r["mean_target__product"], 9)) for r in found.rows.collect())
+    assert got == sorted((p, d, y, round(wanted[i], 9)) for i, (p, d, y, _) in enumerate(plain))
+
+
+@pytest.mark.parametrize("block_days", [1, 3, 64])
+def test_running_sums_of_a_category_with_most_rows(spark, block_days):
+    first = dt.date(2023, 12, 20)
+    days = [("hot", first + dt.timedelta(days=n), float(n % 7), n % 3) for n in range(0, 200, 2)]
+    days += [(None, first, 1.0, 1), ("cold", first + dt.timedelta(days=150), 5.0, 2), ("cold", dt.date(1950, 1, 1), 1.0, 1)]
+    df = spark.createDataFrame(days, "k string, date date, `__sum` double, `__n` long")
+    found = {(r.k, r.date): (r["__sum"], r["__n"]) for r in model.earlier_days(df, "k", block_days).collect() if r.k}
+    for k, date, _, _ in days:
+        if k:
+            before = [(s, n) for c, d, s, n in days if c == k and d < date]
+            assert found[k, date] == (sum(s for s, _ in before), sum(n for _, n in before))
+
+
+def test_unseen_categories_and_late_days(features):
+    columns = model.model_columns(features)
+    cleaned = model.clean(features, columns)
+    prior = 4.5
+    days = settle(model.target_days(cleaned.filter("split = 'train' and product <> 'p3'"), "product"), "days")
+    encoded = model.with_means(cleaned, {"product": days}, prior)
     assert encoded.count() == features.count()
-    for r in encoded.filter("product = 'p3'").select("split", "sales", "mean_target__product").collect():
-        mine = (1, r["sales"]) if r["split"] == "train" else (0, 0.0)
-        assert r["mean_target__product"] == pytest.approx((total - mine[1] + 10 * prior) / (n - mine[0] + 10))
-    unseen = model.with_means(cleaned, {"product": model.target_sums(training.filter("product <> 'p3'"), "product")}, prior)
-    assert {r[0] for r in unseen.filter("product = 'p3'").select("mean_target__product").distinct().collect()} == {prior}
+    assert {r[0] for r in encoded.filter("product = 'p3'").select("mean_target__product").distinct().collect()} == {prior}
+    total, n = days.filter("product = 'p4'").agg(F.sum("__sum"), F.sum("__n")).first()
+    late = encoded.filter("split = 'predict' and product = 'p4'").select("mean_target__product").distinct().collect()
+    assert [r[0] for r in late] == [pytest.approx((total + 10 * prior) / (n + 10))]
+
+
+def test_a_noise_target_is_not_read_back(spark):
+    """Sales drawn at random: nothing of a row's own target may be in its features."""
+    n = F.col("id")
+    noise = spark.range(4000).select(
+        F.lit(1).alias("store"), F.concat(F.lit("p"), n % 200).alias("product"),
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (n / 200).cast("int")).alias("date"),
+        (F.abs(F.hash(n, F.lit(3))) % 1000 / 10.0).alias("sales"),
+    )
+    labelled = settle(noise.withColumn("split", F.when(F.dayofmonth("date") > 15, "test").otherwise("train")), "noise")
+    columns = model.model_columns(labelled)
+    seen = model.encode_targets(labelled, F.col("split") == "train", columns, ["product"])
+    fitted = model.boosted_trees(seen.inputs, max_iter=10, max_depth=3).fit(seen.rows.filter("split = 'train'"))
+    scored = fitted.transform(seen.rows.filter("split = 'train'"))
+    assert model.regression_metrics(scored).first()["r2"] < 0.15
+    assert abs(seen.rows.filter("split = 'train'").corr("sales", "mean_target__product")) < 0.1
+
+
+@pytest.fixture(scope="module")
+def encoded(features):
+    seen = model.encode_targets(features, F.col("split") == "train", model.model_columns(features), ["product"])
+    return settle(seen.rows, "encoded"), seen.inputs
+
+
+def forecasts(frame):
+    return [r["forecast"] for r in frame.orderBy("date", "product").select("forecast").collect()]
+
+
+def test_best_round_equals_boosting_in_one_go(encoded):
+    rows, inputs = encoded
+    best = model.boost_with_patience(rows, inputs, "__held_out", max_iter=6, patience=6, block=4, max_depth=3)
+    assert best.rounds == 1 + best.errors.index(min(best.errors)) and len(best.errors) == 6
+    assert model.trees_in(best.pipeline) == best.rounds
+    whole = model.boosted_trees(inputs, max_iter=best.rounds, max_depth=3).fit(rows.filter("not __held_out"))
+    assert forecasts(best.pipeline.transform(rows)) == pytest.approx(forecasts(whole.transform(rows)), abs=1e-9)
+    rmse = model.regression_metrics(whole.transform(rows.filter("__held_out"))).first()["rmse"]
+    assert rmse == pytest.approx(min(best.errors))
+
+
+def test_patience_and_blocks(encoded, monkeypatch):
+    """Boosting ends ``patience`` rounds after the best one, wherever a block ends."""
+    rows, inputs = encoded
+    # With so large steps the error on the test set soon rises.
+    found = [model.boost_with_patience(rows, inputs, "__held_out", max_iter=12, patience=3, block=b, max_depth=2, step=1.2) for b in (1, 5)]
+    for one in found:
+        assert len(one.errors) == min(12, one.rounds + 3)
+        assert one.rounds < 9, "the error did not rise"
+        assert min(one.errors) == one.errors[one.rounds - 1]
+    assert found[0].rounds == found[1].rounds
+    assert found[0].errors == pytest.approx(found[1].errors)
+
+
+def test_without_held_out_rows_all_trees_stay(encoded):
+    rows, inputs = encoded
+    one = model.boost_with_patience(rows.filter("not __held_out"), inputs, "__held_out", max_iter=3, max_depth=2)
+    assert (one.rounds, one.errors) == (3, [])
 
 
 def test_the_number_of_categories_changes_nothing(spark, features):
