@@ -72,6 +72,7 @@ def load_config(path: str) -> ForecastConfig:
         store=int(base.get("store", 1)),
         rows_per_page=int(base.get("rows_per_page", 10)),
         horizons=horizons or ("tomorrow",),
+        grace_days=int(base.get("grace_days", 3)),
         stores=stores,
         attributes=tuple((name, str(ddl)) for name, ddl in doc.get("attributes", {}).items()),
     )

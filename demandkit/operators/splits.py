@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 MIN_ROWS = 10
 SPLITS = ("train", "test", "predict")
@@ -75,16 +77,41 @@ def split_sizes(labelled: DataFrame, date: str = "date") -> DataFrame:
     )
 
 
-def split_violations(sizes: DataFrame, bounds: Bounds, min_rows: int = MIN_ROWS) -> DataFrame:
-    """Sets that are missing, too small or reach across a cut."""
-    expected = sizes.sparkSession.createDataFrame([(name,) for name in SPLITS], "split string")
-    sizes = expected.join(sizes, "split", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
+def entity_sizes(entities: Mapping[str, DataFrame], bounds: Bounds) -> DataFrame:
+    """Rows, first and last date of each set of each entity, sets without rows included."""
+    per_entity = [
+        split_sizes(assign_split(entity.select("date"), bounds)).select(F.lit(name).alias("entity"), "*")
+        for name, entity in entities.items()
+    ]
+    found = reduce(DataFrame.unionByName, per_entity)
+    wanted = found.sparkSession.createDataFrame([(e, s) for e in entities for s in SPLITS], "entity string, split string")
+    sizes = wanted.join(found, ["entity", "split"], "left")
+    return sizes.withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
+
+
+def _broken(bounds: Bounds, min_rows: int, may_lack: Column) -> Column:
     split, cutoff = F.col("split"), F.lit(bounds.cutoff_date)
-    broken = (
-        F.when(F.col("n_rows") == 0, "no rows")
+    return (
+        F.when((F.col("n_rows") == 0) & ~may_lack, "no rows")
         .when((split != "predict") & (F.col("n_rows") < min_rows), "too few rows")
         .when((split == "train") & (F.col("last_date") > cutoff), "train after cut")
         .when((split == "test") & (F.col("first_date") <= cutoff), "test before cut")
         .when((split == "test") & (F.col("last_date") >= F.lit(bounds.pred_cutoff)), "test in days to predict")
     )
-    return sizes.withColumn("violation", broken).filter(F.col("violation").isNotNull())
+
+
+def entity_violations(entities: Mapping[str, DataFrame], bounds: Bounds, min_rows: int = MIN_ROWS) -> DataFrame:
+    """Sets of an entity that are missing, too small or reach across a cut.
+
+    Only sales must have rows to predict: nothing else need be known of those days.
+    """
+    sizes = entity_sizes(entities, bounds)
+    may_lack = (F.col("split") == "predict") & (F.col("entity") != "sales")
+    return sizes.withColumn("violation", _broken(bounds, min_rows, may_lack)).filter(F.col("violation").isNotNull())
+
+
+def split_violations(sizes: DataFrame, bounds: Bounds, min_rows: int = MIN_ROWS) -> DataFrame:
+    """Sets that are missing, too small or reach across a cut."""
+    expected = sizes.sparkSession.createDataFrame([(name,) for name in SPLITS], "split string")
+    sizes = expected.join(sizes, "split", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
+    return sizes.withColumn("violation", _broken(bounds, min_rows, F.lit(False))).filter(F.col("violation").isNotNull())

@@ -398,6 +398,18 @@ def oracle_sql() -> dict[str, str]:
         "entity_trim": f"""WITH {BOUNDS}, {ORDER_ENTITY} SELECT {SPLIT} AS split, count(*) AS n_rows,
             min(date) AS first_date, max(date) AS last_date FROM entity, bounds
             WHERE date BETWEEN start AND "end" GROUP BY 1""",
+        "entity_sizes": f"""WITH {BOUNDS},
+            dated AS (
+              SELECT 'sales' AS entity, date FROM curated UNION ALL SELECT 'orders', CAST(o_orderdate AS DATE) FROM orders
+              UNION ALL SELECT 'events', CAST(CAST(ts AS DATE) - 9000 AS DATE) FROM events),
+            found AS (
+              SELECT entity, {SPLIT} AS split, count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date
+              FROM dated, bounds WHERE date BETWEEN start AND "end" GROUP BY 1, 2),
+            wanted AS (SELECT unnest(['sales', 'orders', 'events']) AS entity, s.split FROM (SELECT unnest(['train', 'test', 'predict']) AS split) s)
+            SELECT entity, split, coalesce(n_rows, 0) AS n_rows, first_date, last_date,
+              CASE WHEN n_rows IS NULL AND NOT (split = 'predict' AND entity <> 'sales') THEN 'no rows'
+                   WHEN split <> 'predict' AND n_rows < 10 THEN 'too few rows' END AS violation
+            FROM wanted LEFT JOIN found USING (entity, split)""",
         "features_day_aggs": f"""WITH {ORDER_ENTITY}, {_day_mode('entity', 'status')}, {_day_mode('entity', 'priority')},
             plain AS (SELECT date, count(*) AS days__count__orders,
               round(sum(totalprice) + 1e-5, 2) AS days__sum__orders__totalprice,
@@ -470,6 +482,11 @@ def oracle_sql() -> dict[str, str]:
         "source_range": f"""WITH {GRAIN} SELECT store, product, date, sales FROM grain
             WHERE date BETWEEN DATE '1997-03-01' AND DATE '1998-02-28'""",
         "csv_folder": f"WITH {LINES} SELECT store, product, date, sum(sales) AS sales, round(avg(price) + 1e-9, 6) AS price FROM lines GROUP BY ALL",
+        "csv_report": """SELECT CASE WHEN o_orderkey % 100 = 7 THEN 'rejected' ELSE 'read' END AS kind,
+              CASE WHEN o_orderkey % 100 <> 7 THEN CAST(o_orderkey % 5 AS INTEGER) END AS store,
+              CASE WHEN o_orderkey % 100 <> 7 THEN 'order, of' || chr(10) || o_orderpriority END AS product,
+              count(*) AS n_lines, CAST(sum(o_orderkey) AS BIGINT) AS indexes FROM orders GROUP BY 1, 2, 3
+            UNION ALL SELECT 'skipped', NULL, NULL, 1, NULL""",
         "batch_windows": f"""WITH {SPAN},
             sold AS (SELECT {WINDOW_START} AS start_date, sum(l_quantity) AS units FROM lineitem, span GROUP BY 1)
             SELECT start_date, end_date, {WINDOW_FILE} AS file_name, units FROM windows LEFT JOIN sold USING (start_date)""",
@@ -550,6 +567,10 @@ def oracle_sql() -> dict[str, str]:
             round(sum(value), 2) AS sales FROM events GROUP BY 1, 2""",
         "stream_weather_daily": """SELECT CAST(ts AS DATE) AS date, round(avg(value) + 1e-11, 8) AS temperature,
             round(min(value - 1) + 1e-11, 8) AS minimum_temperature FROM events GROUP BY 1""",
+        "loads_to_plan": f"""WITH {SPAN},
+            come AS (SELECT DISTINCT {WINDOW_START} AS start_date FROM lineitem, span)
+            SELECT start_date, end_date, {WINDOW_FILE} AS file_name FROM windows
+            WHERE NOT (end_date + 3 < today AND year(start_date) < 1998 AND start_date IN (SELECT start_date FROM come))""",
         "stream_window_reload": f"""WITH {SPAN}
             SELECT CAST(l_shipdate AS DATE) AS date,
               sum(CASE WHEN year({WINDOW_START}) >= 1998 THEN l_quantity ELSE 0.0::DOUBLE END) AS sales,

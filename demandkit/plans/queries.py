@@ -15,6 +15,7 @@ from demandkit.operators import checks, features as feat, lags, model, serve, sp
 from demandkit.operators.grain import PAIR, TARGET, to_grain
 from demandkit.operators.template import future_template, missing_pairs, recent_profile
 from demandkit.plans import tables as t
+from demandkit.config import ForecastConfig
 from demandkit.plans.stages import baseline_orders
 from demandkit.plans.tables import Stages
 from demandkit.runtime import fresh_path, settle
@@ -198,6 +199,18 @@ def entity_trim(spark, sf):
     return splits.split_sizes(splits.assign_split(trimmed, bounds))
 
 
+@query
+def entity_sizes(spark, sf):
+    """Rows and dates of each set of every entity of the model: sales, orders, weather."""
+    sales = Stages(spark, sf).curated().sales
+    bounds = splits.fetch_bounds(sales)
+    days = t.table(spark, sf, "events").select(F.date_sub(F.col("ts").cast("date"), 9000).alias("date"))
+    entities = {"sales": sales, "orders": t.order_entity(spark, sf), "events": days}
+    trimmed = {name: splits.trim(entity, bounds) for name, entity in entities.items()}
+    broken = splits.entity_violations(trimmed, bounds).select("entity", "split", "violation")
+    return splits.entity_sizes(trimmed, bounds).join(broken, ["entity", "split"], "left")
+
+
 # --- features -------------------------------------------------------------------
 
 
@@ -464,6 +477,35 @@ def csv_folder(spark, sf):
     return rounded(to_grain(files.scan_csv_folder(spark, path, {"price": DoubleType()})))
 
 
+@query
+def csv_report(spark, sf):
+    """What a folder of landed lines has: files skipped for their columns, lines rejected for
+    their values, and lines read, with quoted headers and values that span lines."""
+    orders = t.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("index"), (F.col("o_orderkey") % 5).cast("int").alias("store"),
+        F.concat_ws("\n", F.lit("order, of"), F.col("o_orderpriority")).alias("product"),
+        F.col("o_orderdate").cast("date").cast("string").alias("date"), F.col("o_totalprice").cast("string").alias("sales"),
+        (F.year("o_orderdate") % 3).alias("folder"),
+    )
+    path = fresh_path(spark, "csv")
+    # One order in a hundred carries a word for a number.
+    spoilt = orders.withColumn("sales", F.when(F.col("index") % 100 == 7, F.lit("many")).otherwise(F.col("sales")))
+    for quoted in (False, True):
+        part = spoilt.filter((F.col("folder") == 2) == quoted)
+        part.write.mode("append").partitionBy("folder").option("header", True).option("quoteAll", quoted).option("escape", '"').csv(path)
+    orders.filter("store = 4").drop("date", "folder").write.option("header", True).csv(f"{path}/folder=zz")
+    table = files.file_table(spark, path)
+    read = files.scan_csv_folder(spark, path, spanning=True, table=table, going_on=True).select("store", "product", "index")
+    first = F.regexp_replace(F.split_part("line", F.lit(","), F.lit(1)), '"', "").cast("long")
+    rejected = files.rejected_lines(spark, path, spanning=True, table=table).select(first.alias("index"))
+    skipped = files.skipped_files(spark, path, table).select("header").distinct().select(F.lit(None).cast("long").alias("index"))
+    none = {"store": F.lit(None).cast("int"), "product": F.lit(None).cast("string")}
+    rows = read.withColumn("kind", F.lit("read"))
+    for kind, lines in (("rejected", rejected), ("skipped", skipped)):
+        rows = rows.unionByName(lines.withColumns(none | {"kind": F.lit(kind)}))
+    return rows.groupBy("kind", "store", "product").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("index").alias("indexes"))
+
+
 # --- load windows ---------------------------------------------------------------
 
 
@@ -681,14 +723,16 @@ def model_rows(spark, sf):
 
 @query
 def stream_ingest(spark, sf):
-    """Events as sales lines through the deduplicating ingest."""
+    """Events as sales lines through the deduplicating ingest; a second run with a new
+    checkpoint folder lands all of them again."""
     schema = t.table(spark, sf, "events").schema
-    stream = jobs.landed_stream(spark, schema, sf, "events.parquet")
-    lines = stream.select(
-        F.col("event_id").alias("index"), "ts", F.col("event_type").alias("product"), F.col("value").alias("sales")
-    )
     target = fresh_path(spark, "lines")
-    jobs.ingest_lines(lines, target, fresh_path(spark, "progress"))
+    for run in ("progress", "new-progress"):
+        stream = jobs.landed_stream(spark, schema, sf, "events.parquet")
+        lines = stream.select(
+            F.col("event_id").alias("index"), "ts", F.col("event_type").alias("product"), F.col("value").alias("sales")
+        )
+        jobs.ingest_lines(lines, target, fresh_path(spark, run), buckets=16)
     stored = jobs.ingested_lines(spark, target)
     return stored.groupBy("product", F.col("ts").cast("date").alias("date")).agg(
         F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("sales"), 2).alias("sales")
@@ -697,31 +741,62 @@ def stream_ingest(spark, sf):
 
 @query
 def stream_weather_daily(spark, sf):
-    schema = t.table(spark, sf, "events").schema
-    stream = jobs.landed_stream(spark, schema, sf, "events.parquet")
-    hourly = stream.select(
-        "ts", F.col("value").alias("temperature"), (F.col("value") - 1).alias("minimum_temperature")
-    )
-    target = fresh_path(spark, "weather-days")
-    jobs.ingest_weather(hourly, target, fresh_path(spark, "progress"))
-    return rounded(spark.read.parquet(target).select("date", "temperature", "minimum_temperature"), 8)
-
-
-@query
-def stream_window_reload(spark, sf):
-    """Load windows landed twice: the second load of a window replaces the first."""
+    """Hours in two files: the second brings hours of all days, up to a month late, and
+    other values for hours that the first one had."""
+    events = t.table(spark, sf, "events").select(
+        "event_id", "ts", F.col("value").alias("temperature"), (F.col("value") - 1).alias("minimum_temperature")
+    )
+    late = F.col("event_id") % 10 == 3
+    revised = F.col("event_id") % 10 == 4
+    early = events.filter(~late).withColumn("temperature", F.when(revised, F.col("temperature") + 50).otherwise(F.col("temperature")))
+    landing, target, progress = (fresh_path(spark, p) for p in ("landing", "weather", "progress"))
+    for hours in (early, events.filter(late | revised)):
+        hours.write.mode("append").parquet(landing)
+        stream = jobs.landed_stream(spark, events.schema, landing, "*.parquet")
+        jobs.ingest_weather(stream, target, progress, key=["event_id"])
+    return rounded(jobs.weather_days(spark, target).select("date", "temperature", "minimum_temperature"), 8)
+
+
+def _window_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    """Sales windows landed as three loads: the first of all windows, the second of those from
+    1998 on in two parts, and the start of a third, of which the rest never comes."""
     lines = t.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("date"), "l_quantity")
     first = lines.agg(F.min("date")).scalar()
     dated = lines.select(
         "date", F.col("l_quantity").alias("sales"), windows.window_start(F.col("date"), first).alias("window_start")
     )
     landing, target, progress = (fresh_path(spark, p) for p in ("landing", "windows", "progress"))
-    early = dated.withColumn("sales", F.lit(0.0)).withColumn("load", F.lit(1))
-    again = dated.filter(F.year("window_start") >= 1998).withColumn("load", F.lit(2))
-    for load in (early, again):
-        load.write.mode("append").parquet(landing)
-        stream = jobs.landed_stream(spark, load.schema, landing, "*.parquet")
+    recent = dated.filter(F.year("window_start") >= 1998)
+    half = F.dayofmonth("date") <= 15
+    parts = (
+        (1, dated.withColumn("sales", F.lit(0.0))), (2, recent.filter(half)), (2, recent.filter(~half)),
+        (3, recent.filter(half).withColumn("sales", F.lit(-1.0))),
+    )
+    for load, part in parts:
+        part.withColumn("load", F.lit(load)).write.mode("append").parquet(landing)
+        stream = jobs.landed_stream(spark, dated.withColumn("load", F.lit(load)).schema, landing, "*.parquet")
         jobs.ingest_windows(stream, target, progress, F.col("window_start"), F.col("load"))
+    whole = dated.groupBy("window_start").agg(F.count(F.lit(1)).alias("n_lines"))
+    again = recent.groupBy("window_start").agg(F.count(F.lit(1)).alias("n_lines"))
+    for load, counts in ((1, whole), (2, again), (3, again.withColumn("n_lines", F.col("n_lines") * 2))):
+        jobs.announce_loads(target, counts.withColumn("load_id", F.lit(load)))
+    return dated, target
+
+
+@query
+def stream_window_reload(spark, sf):
+    """Lines of the newest load of each window that has come in full."""
+    _, target = _window_loads(spark, sf)
     return jobs.current_windows(spark, target).groupBy("date").agg(
         F.sum("sales").alias("sales"), F.count(F.lit(1)).alias("n_lines")
     )
+
+
+@query
+def loads_to_plan(spark, sf):
+    """Windows to load next where only those before 1998 have come in full, with the
+    configured days of grace."""
+    dated, target = _window_loads(spark, sf)
+    early = jobs.complete_loads(spark, target).filter((F.col("load_id") == 1) & (F.year("window_start") < 1998))
+    planned = windows.sales_windows(_span(spark, sf))
+    return windows.loads_to_plan(planned, early, ForecastConfig().grace_days).select("start_date", "end_date", "file_name")

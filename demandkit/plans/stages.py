@@ -17,10 +17,10 @@ from demandkit.operators.features import FeatureDef, build_features
 from demandkit.operators.grain import TARGET, to_grain
 from demandkit.operators.model import Trained, recent_mean_forecast, regression_metrics, score, train
 from demandkit.operators.serve import order_table
-from demandkit.operators.splits import Bounds, assign_split, fetch_bounds, split_sizes, split_violations, trim
+from demandkit.operators.splits import Bounds, assign_split, entity_violations, fetch_bounds, split_sizes, split_violations, trim
 from demandkit.operators.template import future_template, recent_profile, with_template
 from demandkit.operators.weather import weather_by_day
-from demandkit.runtime import settle
+from demandkit.runtime import names_in, scratch, settle
 from demandkit.sources import files
 from demandkit.sources.registry import load_sales
 
@@ -67,11 +67,18 @@ def prepare_features(
     checked: bool = False,
     with_lags: bool = False,
 ) -> FeatureSet:
-    """Curated sales -> stored, labelled feature table for all sets."""
+    """Curated sales -> stored, labelled feature table for all sets.
+
+    With ``checked``, every entity must have its columns, and enough days in the sets
+    that have history.
+    """
     curated = settle(sales, "curated-sales")
     bounds = fetch_bounds(curated, config.train_share)
     calendar = calendar_of(curated, states)
     trimmed = {name: trim(entity, bounds) for name, entity in (entities or {}).items()}
+    if checked:
+        assert_empty([p for name, entity in trimmed.items() for p in entity_problems(name, entity)], "entity columns")
+        assert_empty(entity_violations({"sales": curated, **trimmed}, bounds), "sizes and bounds by entity")
     features, definitions = build_features(
         curated, stores, calendar, trimmed, with_lags=with_lags, days=(bounds.end - bounds.start).days + 1
     )
@@ -121,25 +128,30 @@ def run_landed(
     """The whole job over a landing folder.
 
     ``landing`` holds ``sales/`` (CSV files of sales lines, or what the configured
-    register source reads), ``weather/`` and ``weather_forecast/``. ``out`` gets the
-    order table by store, the evaluation and the production model. Returns the
+    register source reads), ``weather/``, ``weather_forecast/`` and, if there are further
+    entities, ``entities/`` with a Parquet table each. ``out`` gets a new version with the order
+    table by store, the evaluation and the models; stage tables are removed. Returns the
     stored order table.
     """
-    if config.register == "csv":
-        lines = files.scan_csv_folder(spark, f"{landing}/sales", config.attribute_types())
-    else:
-        lines = load_sales(spark, config, f"{landing}/sales")
-    by_day = weather_by_day(
-        files.scan_weather_history(spark, f"{landing}/weather"),
-        files.scan_weather_forecast(spark, f"{landing}/weather_forecast"),
-        config.rain_threshold,
-    )
-    entities = {"weather": settle(by_day, "weather")}
-    states = sorted({s.state for s in config.stores})
-    stores = store_table(spark, config.stores)
-    orders, forecast = run_forecast(lines, stores, states, entities, config, with_lags, **options)
-    files.replace_table(orders, f"{out}/orders", ["store"])
-    files.write_stage(regression_metrics(forecast.evaluation), f"{out}/evaluation")
-    forecast.trained.evaluation.save(f"{out}/model_evaluation")
-    forecast.trained.production.save(f"{out}/model_production")
-    return spark.read.schema(orders.schema).parquet(f"{out}/orders").select(*orders.columns)
+    with files.new_version(spark, out) as version, scratch(spark, "run"):
+        if config.register == "csv":
+            lines = files.scan_csv_folder(spark, f"{landing}/sales", config.attribute_types())
+        else:
+            lines = load_sales(spark, config, f"{landing}/sales")
+        by_day = weather_by_day(
+            files.scan_weather_history(spark, f"{landing}/weather"),
+            files.scan_weather_forecast(spark, f"{landing}/weather_forecast"),
+            config.rain_threshold,
+        )
+        found = files.discover_entities(spark, f"{landing}/entities") if names_in(spark, f"{landing}/entities") else {}
+        entities = found | {"weather": settle(by_day, "weather")}
+        states = sorted({s.state for s in config.stores})
+        stores = store_table(spark, config.stores)
+        options = {"max_iter": config.max_iter, "patience": config.patience} | options
+        orders, forecast = run_forecast(lines, stores, states, entities, config, with_lags, **options)
+        files.write_stage(orders, f"{version}/orders", ["store"])
+        files.write_stage(regression_metrics(forecast.evaluation), f"{version}/evaluation")
+        forecast.trained.evaluation.save(f"{version}/model_evaluation")
+        forecast.trained.production.save(f"{version}/model_production")
+        schema = orders.schema
+    return spark.read.schema(schema).parquet(f"{version}/orders").select(*schema.names)

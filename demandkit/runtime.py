@@ -84,6 +84,24 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(hadoop)) if system.exists(hadoop) else []
 
 
+def write_once(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole; an error if it exists."""
+    hadoop, system = _file_system(spark, path)
+    part, _ = _file_system(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = system.create(part, False)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    if system.exists(hadoop) or not system.rename(part, hadoop):
+        system.delete(part, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if there is none."""
+    hadoop, system = _file_system(spark, path)
+    return "\n".join(r.value for r in spark.read.text(path).collect()) if system.exists(hadoop) else None
+
+
 @contextmanager
 def scratch(spark: SparkSession, purpose: str = "scope") -> Iterator[str]:
     """A scope whose stage tables are removed at its end, whether it succeeds or fails.

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+import datetime as dt
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from demandkit.operators.weather import canonical, latest_per_key
-from demandkit.runtime import small_side
+from demandkit.runtime import names_in, remove, settle, small_side, write_once
 from demandkit.schemas import SALES_TYPES, WEATHER_TYPES
 
 #: Different headers that a folder may have.
@@ -23,102 +27,138 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .text(path)
-        .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("begin"))
-    )
+        .select(
+            "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"),
+            F.col("_metadata.file_block_start").alias("begin"),
+        )
+    )
     return lines.withColumn("value", F.regexp_replace("value", "^\ufeff", ""))
 
 
-def csv_headers(spark: SparkSession, path: str) -> DataFrame:
-    """(path, header) of the files that are not empty. The first line of a file is the
-    one that comes first in its first part."""
-    first = _lines(spark, path).filter("begin = 0").withColumn("place", F.monotonically_increasing_id())
-    return first.groupBy("path").agg(F.min_by("value", "place").alias("header")).filter(F.trim("header") != "")
-
-
 def _columns(header: str) -> tuple[str, ...]:
     return tuple(next(csv.reader([header])))
 
 
-def _groups(headers: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """Written headers by the columns they name; quoted and plain ones are the same."""
-    written = [r[0] for r in headers.select("header").distinct().orderBy("header").limit(MAX_HEADERS + 1).collect()]
-    if len(written) > MAX_HEADERS:
+@dataclass(frozen=True)
+class FileTable:
+    """The CSV files of a folder: a stored table of path, length and header, made in one pass.
+
+    Whatever is asked about the folder is answered from it, and its data are read in one
+    more pass.
+    """
+
+    spark: SparkSession
+    path: str
+    files: DataFrame
+    #: Written headers by the columns they name; quoted and plain ones are the same.
+    groups: dict[tuple[str, ...], list[str]]
+    #: Columns of the first file; None without a file that has data.
+    first: tuple[str, ...] | None
+
+    def need(self) -> tuple[str, ...]:
+        if self.first is None:
+            raise FileNotFoundError(f"no CSV file with data under {self.path}")
+        return self.first
+
+    def with_columns(self, columns: Sequence[str]) -> DataFrame:
+        return self.files.filter(F.col("header").isin(self.groups[tuple(columns)]))
+
+
+def file_table(spark: SparkSession, path: str) -> FileTable:
+    """The files of a folder that are not empty. The first line of a file is the one that
+    comes first in its first part; parts behind it are not looked at."""
+    first = _lines(spark, path).filter("begin = 0").withColumn("place", F.monotonically_increasing_id())
+    headers = first.groupBy("path", "length").agg(F.min_by("value", "place").alias("header")).filter(F.trim("header") != "")
+    files = settle(headers, "file-table")
+    found = files.groupBy("header").agg(F.min("path").alias("first")).orderBy("first").limit(MAX_HEADERS + 1).collect()
+    if len(found) > MAX_HEADERS:
         raise ValueError(f"more than {MAX_HEADERS} different headers")
     groups: dict[tuple[str, ...], list[str]] = {}
-    for header in written:
-        groups.setdefault(_columns(header), []).append(header)
-    return groups
+    for row in found:
+        groups.setdefault(_columns(row.header), []).append(row.header)
+    return FileTable(spark, path, files, groups, next(iter(groups), None))
 
 
-def _first_columns(headers: DataFrame) -> tuple[str, ...] | None:
-    first = headers.agg(F.min_by("header", "path")).first()[0]
-    return None if first is None else _columns(first)
+def skipped_files(spark: SparkSession, path: str, table: FileTable | None = None) -> DataFrame:
+    """(path, header) of the files that :func:`scan_csv_folder` leaves out, for a report."""
+    table = table or file_table(spark, path)
+    accepted = table.groups.get(table.first, []) if table.first else []
+    return table.files.filter(~F.col("header").isin(accepted)).select("path", "header")
 
 
-def skipped_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, header) of the files that :func:`scan_csv_folder` leaves out, for a report."""
-    headers = csv_headers(spark, path)
-    first = _first_columns(headers)
-    accepted = _groups(headers).get(first, []) if first else []
-    return headers.filter(~F.col("header").isin(accepted))
+def _schema(columns: Sequence[str], types: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in columns])
 
 
-def _parsed(
-    spark: SparkSession, path: str, headers: DataFrame, columns: Sequence[str], written: Sequence[str],
-    types: dict[str, T.DataType], rejected: bool,
-) -> DataFrame:
-    """The data lines of the files with one of the written headers, and their file."""
-    schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in columns])
-    options = {"mode": "FAILFAST"}
-    if rejected:
-        schema = schema.add(REJECTED, T.StringType())
-        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
-    own = small_side(headers.filter(F.col("header").isin(list(written))).select(F.col("path").alias("file"), "header"))
-    lines = _lines(spark, path).join(own, F.col("path") == F.col("file")).filter((F.trim("value") != "") & (F.col("value") != F.col("header")))
+def parsed_lines(table: FileTable, columns: Sequence[str], types: dict[str, T.DataType]) -> DataFrame:
+    """The data lines of the files with these columns: their values, their file, and the whole line
+    where it does not fit the types (``REJECTED``, else null)."""
+    schema = _schema(columns, types).add(REJECTED, T.StringType())
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
+    own = small_side(table.with_columns(columns).select(F.col("path").alias("file"), "header"))
+    lines = _lines(table.spark, table.path).join(own, F.col("path") == F.col("file")).filter((F.trim("value") != "") & (F.col("value") != F.col("header")))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     # The text to parse depends on the join, so no pushed filter parses a header line.
     data = F.when(F.col("value") != F.col("header"), F.col("value"))
     return lines.select(F.from_csv(data, ddl, options).alias("row"), "path").select("row.*", F.col("path").alias("__file"))
 
 
+def _spanning(table: FileTable, columns: Sequence[str], types: dict[str, T.DataType]) -> DataFrame:
+    """As :func:`parsed_lines`, by a reader for which a quoted value may span lines; a file is one task."""
+    paths = [r.path for r in table.with_columns(columns).select("path").orderBy("path").collect()]
+    schema = _schema(columns, types).add(REJECTED, T.StringType())
+    reader = table.spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
+    rows = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECTED).csv(paths)
+    # Written with all columns: the reader parses only those that are asked for, and what is
+    # rejected must not depend on that.
+    return settle(rows.withColumn("__file", F.col("_metadata.file_path")), "spanning-lines")
+
+
+def _accepted(rows: DataFrame, going_on: bool = False) -> DataFrame:
+    """The rows without the rejected ones, of which the first stops the job unless it is to go on."""
+    if going_on:
+        return rows.filter(F.col(REJECTED).isNull()).drop(REJECTED)
+    stop = F.raise_error(F.concat(F.lit("[MALFORMED_RECORD] "), F.col("__file"), F.lit(": "), F.col(REJECTED)))
+    return rows.filter(F.when(F.col(REJECTED).isNull(), True).otherwise(stop.cast("boolean"))).drop(REJECTED)
+
+
 def scan_csv_folder(
-    spark: SparkSession, path: str, types: dict[str, T.DataType] | None = None
-) -> DataFrame:
+    spark: SparkSession, path: str, types: dict[str, T.DataType] | None = None, spanning: bool = False, table: FileTable | None = None,
+    going_on: bool = False,
+) -> DataFrame:
     """All files of a folder with the columns of its first file as one table.
 
     Empty files and files with other columns are skipped (:func:`skipped_files` lists
     them). Types come from ``types``; other columns are strings. A line that does not
-    fit its types stops the job; :func:`rejected_lines` lists those lines. A quoted
-    value cannot span lines.
+    fit its types stops the job, unless it is told to go on; :func:`rejected_lines` lists those
+    lines. With ``spanning``,
+    a quoted value may hold line breaks; files cannot be split then. ``table`` is the folder's
+    file table, if there is one already.
     """
-    headers = csv_headers(spark, path)
-    columns = _first_columns(headers)
-    if columns is None:
-        raise FileNotFoundError(f"no CSV file with data under {path}")
+    table = table or file_table(spark, path)
     known = {**SALES_TYPES, **(types or {})}
-    return _parsed(spark, path, headers, columns, _groups(headers)[columns], known, False).drop("__file")
+    read = _spanning if spanning else parsed_lines
+    return _accepted(read(table, table.need(), known), going_on).drop("__file")
 
 
-def rejected_lines(spark: SparkSession, path: str, types: dict[str, T.DataType] | None = None) -> DataFrame:
+def rejected_lines(
+    spark: SparkSession, path: str, types: dict[str, T.DataType] | None = None, spanning: bool = False, table: FileTable | None = None
+) -> DataFrame:
     """(path, line) of the lines of accepted files that do not fit their types."""
-    headers = csv_headers(spark, path)
-    columns = _first_columns(headers)
-    if columns is None:
-        raise FileNotFoundError(f"no CSV file with data under {path}")
+    table = table or file_table(spark, path)
     known = {**SALES_TYPES, **(types or {})}
-    rows = _parsed(spark, path, headers, columns, _groups(headers)[columns], known, True)
+    read = _spanning if spanning else parsed_lines
+    rows = read(table, table.need(), known)
     return rows.filter(F.col(REJECTED).isNotNull()).select(F.col("__file").alias("path"), F.col(REJECTED).alias("line"))
 
 
-def _all_weather(spark: SparkSession, path: str) -> DataFrame:
+def _all_weather(table: FileTable) -> DataFrame:
     """All weather files, whatever columns each has; columns a file lacks are NULL."""
-    headers = csv_headers(spark, path)
+    table.need()
     rows = None
-    for columns, written in _groups(headers).items():
-        part = _parsed(spark, path, headers, columns, written, WEATHER_TYPES, False)
+    for columns in table.groups:
+        part = _accepted(parsed_lines(table, columns, WEATHER_TYPES))
         rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
-    if rows is None:
-        raise FileNotFoundError(f"no CSV file with data under {path}")
     return rows
 
 
@@ -128,11 +168,11 @@ def scan_weather_history(spark: SparkSession, path: str) -> DataFrame:
     Of equal timestamps the row of the latest file stays, so the last row of the
     newest file is kept as well.
     """
-    return latest_per_key(canonical(_all_weather(spark, path)), ["date_time"], ["__file"]).drop("__file")
+    return latest_per_key(canonical(_all_weather(file_table(spark, path))), ["date_time"], ["__file"]).drop("__file")
 
 
 def scan_weather_forecast(spark: SparkSession, path: str) -> DataFrame:
-    return canonical(_all_weather(spark, path).drop("__file"))
+    return canonical(_all_weather(file_table(spark, path)).drop("__file"))
 
 
 def discover_entities(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -156,10 +196,41 @@ def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Parquet in place of the whole table; nothing of an earlier run stays."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+#: Finished versions of a stage store that stay.
+KEPT_VERSIONS = 2
+_DONE = "FINISHED"
+
+
+def _versions(spark: SparkSession, out: str) -> list[tuple[str, bool]]:
+    """The version folders by age, and whether each was finished."""
+    return [(v, _DONE in names_in(spark, f"{out}/versions/{v}")) for v in names_in(spark, f"{out}/versions")]
+
+
+def current_version(spark: SparkSession, out: str) -> str:
+    """The folder of the newest finished version."""
+    done = [v for v, finished in _versions(spark, out) if finished]
+    if not done:
+        raise FileNotFoundError(f"no finished version under {out}")
+    return f"{out}/versions/{done[-1]}"
+
+
+@contextmanager
+def new_version(spark: SparkSession, out: str, keep: int = KEPT_VERSIONS) -> Iterator[str]:
+    """A folder for the tables of one run, which becomes the current version at the end.
+
+    Nothing of an earlier run is touched: until the mark that finishes the folder is
+    written, as one small file, readers see the version before. A run that fails leaves
+    no mark. Then older versions than the ``keep`` newest go, and with them what failed runs
+    before this one left.
+    """
+    version = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    yield f"{out}/versions/{version}"
+    write_once(spark, f"{out}/versions/{version}/{_DONE}", version)
+    found = [(v, finished) for v, finished in _versions(spark, out) if v <= version]
+    kept = [v for v, finished in found if finished][-keep:]
+    for v, _ in found:
+        if v not in kept:
+            remove(spark, f"{out}/versions/{v}")
 
 
 def write_export(df: DataFrame, path: str) -> None:

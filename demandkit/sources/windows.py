@@ -52,6 +52,17 @@ def windows_to_load(windows: DataFrame, landed: DataFrame, grace_days: int = GRA
     return windows.join(done.select("file_name"), "file_name", "left_anti")
 
 
+def loads_to_plan(windows: DataFrame, complete: DataFrame, grace_days: int = GRACE_DAYS) -> DataFrame:
+    """Windows to load next, given the loads that have come in full (``window_start``).
+
+    A window whose load stopped half way counts as missing; one that ended within the
+    configured grace period is loaded again.
+    """
+    landed = complete.select(F.col("window_start").alias("start_date")).distinct()
+    named = windows.join(landed, "start_date", "left_semi")
+    return windows_to_load(windows, named, grace_days)
+
+
 def weather_file(start: Column) -> Column:
     prefix, suffix = WEATHER_FILE.split("{}")
     return F.concat(F.lit(prefix), F.date_format(start, "yyyy-MM-dd"), F.lit(suffix))

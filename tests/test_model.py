@@ -1,14 +1,16 @@
 import datetime as dt
 import math
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from demandkit.config import ForecastConfig, Store
-from demandkit.operators import model
+from demandkit.operators import model, splits
 from demandkit.operators.serve import ORDER_COLUMNS
 from demandkit.plans.stages import run_forecast, run_landed, train_and_score
-from demandkit.runtime import settle
+from demandkit.runtime import settle, work_dir
+from demandkit.sources import files
 
 
 @pytest.fixture(scope="module")
@@ -222,6 +224,8 @@ def test_job_over_landed_files(spark, tmp_path):
     ):
         (tmp_path / "landing" / folder).mkdir(parents=True)
         (tmp_path / "landing" / folder / name).write_text("\n".join(lines) + "\n")
+    promotions = [(first + dt.timedelta(days=n // 2), n % 3 == 0, float(n)) for n in range(130)]
+    spark.createDataFrame(promotions, "date date, tv boolean, spent double").write.parquet(str(tmp_path / "landing" / "entities" / "promotions.parquet"))
     config = ForecastConfig(register="csv", stores=(Store(1, "HE", "A", "One"), Store(2, "RP", "B", "Two")))
     orders = run_landed(spark, config, str(tmp_path / "landing"), str(tmp_path / "out"), with_lags=True, max_iter=3)
     assert orders.columns == list(ORDER_COLUMNS)
@@ -229,5 +233,19 @@ def test_job_over_landed_files(spark, tmp_path):
         (1, "a", 1), (1, "b", 2), (2, "a", 1), (2, "b", 2),
     ]
     assert orders.filter("next7_order_qty <= 0").isEmpty()
-    assert spark.read.parquet(str(tmp_path / "out" / "evaluation")).first()["n_rows"] > 0
-    assert model.Forecaster.load(spark, str(tmp_path / "out" / "model_production")).pipeline.stages
+    stages = model.Forecaster.load(spark, f"{files.current_version(spark, str(tmp_path / 'out'))}/model_production")
+    assert {"days__percent_true__promotions__tv", "days__sum__promotions__spent"} <= set(stages.columns.numeric)
+    version = files.current_version(spark, str(tmp_path / "out"))
+    assert spark.read.parquet(f"{version}/evaluation").first()["n_rows"] > 0
+    assert model.Forecaster.load(spark, f"{version}/model_production").pipeline.stages
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["versions"]
+    assert sorted(f.name for f in Path(work_dir(spark), "demandkit").glob("run-*")) == [], "stage tables stay"
+
+
+def test_every_entity_needs_days_in_every_set(spark, features):
+    sales = features.select("store", "product", "date", "sales")
+    bounds = splits.fetch_bounds(sales)
+    days = lambda first, n: spark.range(n).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("date"))
+    entities = {"sales": sales, "whole": days(bounds.start, 90), "early": days(bounds.start, 30), "few": days(bounds.cutoff_date - dt.timedelta(days=20), 25)}
+    found = sorted((r.entity, r.split, r.violation) for r in splits.entity_violations(entities, bounds).collect())
+    assert found == [("early", "test", "no rows"), ("few", "test", "too few rows")]

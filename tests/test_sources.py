@@ -248,3 +248,54 @@ def test_weather_windows(spark, today, starts):
     assert [r["start_date"].day for r in found] == starts
     assert found[0]["file_name"] == "weather_2024-01-01_21d.csv"
     assert found[0]["end_date"] == dt.date(2024, 1, 21)
+
+
+def test_one_pass_for_the_file_table_and_one_for_the_data(spark, tmp_path):
+    folder = tmp_path / "sales"
+    put(folder, "a.csv", HEADER + "1,1,x,2024-01-01,2.0,3.5\n")
+    put(folder, "b.csv", "index,store\n3,1\n")
+    table = files.file_table(spark, str(folder))
+    assert [tuple(r) for r in table.files.select("length", "header").orderBy("header").collect()] == [(16, "index,store"), (62, HEADER.strip())]
+
+    def scans(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count(" text")
+
+    assert scans(files.skipped_files(spark, str(folder), table)) == 0, "the folder is read again"
+    assert scans(files.scan_csv_folder(spark, str(folder), table=table)) == 1
+    assert scans(files.rejected_lines(spark, str(folder), table=table)) == 1
+
+
+def test_values_that_span_lines(spark, tmp_path, rows):
+    folder = tmp_path / "sales"
+    put(folder, "a.csv", HEADER + '1,1,"x\ny ""z""",2024-01-01,2.0,3.5\n2,1,w,someday,1.0,1\n')
+    put(folder, "b.csv", HEADER + "3,1,v,2024-01-03,1.0,1\n")
+    lines = files.scan_csv_folder(spark, str(folder), spanning=True, going_on=True)
+    assert rows(lines, "index", "product") == [(1, 'x\ny "z"'), (3, "v")]
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        files.scan_csv_folder(spark, str(folder), spanning=True).collect()
+    assert rows(files.rejected_lines(spark, str(folder), spanning=True), "line") == [("2,1,w,someday,1.0,1",)]
+
+
+def test_versions_of_a_stage_store(spark, tmp_path, rows):
+    out = str(tmp_path / "out")
+
+    def run(value, fail=False):
+        with files.new_version(spark, out) as version:
+            files.write_stage(spark.createDataFrame([(value,)], "v int"), f"{version}/table")
+            if fail:
+                raise RuntimeError("killed")
+
+    def current():
+        return rows(spark.read.parquet(f"{files.current_version(spark, out)}/table"))
+
+    with pytest.raises(FileNotFoundError):
+        files.current_version(spark, out)
+    run(1)
+    with pytest.raises(RuntimeError):
+        run(2, fail=True)
+    assert current() == [(1,)] and len(list((tmp_path / "out" / "versions").iterdir())) == 2
+    old = files.current_version(spark, out)
+    run(3)
+    assert current() == [(3,)] and rows(spark.read.parquet(f"{old}/table")) == [(1,)]
+    run(4)
+    assert current() == [(4,)] and len(list((tmp_path / "out" / "versions").iterdir())) == 2
