@@ -77,46 +77,55 @@ def _numeric_aggregate(primitive: str, column: str) -> Column:
 def day_aggregates(
     entity: DataFrame, definitions: Sequence[FeatureDef], where: dict[str, Column] | None = None
 ) -> DataFrame:
-    """One row per day with the defined aggregates.
+    """One row per day with the defined aggregates, from one scan of the entity.
 
-    Numbers and flags take one aggregation. Discrete columns are counted by
-    (date, column, value) first, which gives distinct counts and modes without a
-    per-day value map. The two branches read disjoint columns and meet on at most
-    one row per calendar day.
+    Each row is stacked: a first slot carries its numbers, flags and predicates, and a slot
+    for each discrete column its value. One aggregation by (date, slot, value) combines the
+    numbers and counts the values before the shuffle, so that no task holds the values of
+    a busy day; a second one by date picks the numbers and reduces the counts to distinct counts
+    and modes.
     """
     discrete = list(dict.fromkeys(d.column for d in definitions if d.primitive in DISCRETE_PRIMITIVES))
-    plain = []
-    for d in definitions:
-        if d.primitive == "count":
-            plain.append(F.count(F.lit(1)).alias(d.name))
-        elif d.primitive == "count_where":
-            plain.append(F.count_if(where[d.column]).alias(d.name))
-        elif d.primitive not in DISCRETE_PRIMITIVES:
-            plain.append(_numeric_aggregate(d.primitive, d.column).alias(d.name))
-    per_day = entity.dropna(subset=["date"]).groupBy("date").agg(*plain)
+    known = entity.dropna(subset=["date"])
     if not discrete:
-        return per_day
-
-    slots = [F.struct(F.lit(i).alias("slot"), F.col(c).alias("value")) for i, c in enumerate(discrete)]
-    counted = (
-        entity.dropna(subset=["date"])
-        .select("date", F.inline(F.array(*slots)))
-        .filter(F.col("value").isNotNull())
-        .groupBy("date", "slot", "value")
-        .agg(F.count(F.lit(1)).alias("votes"))
+        return known.groupBy("date").agg(*[_plain(d, d.column if d.primitive != "count_where" else where[d.column]) for d in definitions])
+
+    carried = {d.column: F.col(d.column) for d in definitions if d.column and d.primitive not in (*DISCRETE_PRIMITIVES, "count_where")}
+    carried |= {f"__where_{d.column}": where[d.column] for d in definitions if d.primitive == "count_where"}
+    rows = known.select("date", *[c.alias(name) for name, c in carried.items()], *[F.col(c).alias(f"__value_{i}") for i, c in enumerate(discrete)])
+    kinds = {f.name: f.dataType for f in rows.schema}
+    numbers = F.struct(F.lit(-1).alias("__slot"), F.lit(None).cast("string").alias("__value"), *[F.col(c) for c in carried])
+    slots = [
+        F.struct(F.lit(i).alias("__slot"), F.col(f"__value_{i}").alias("__value"), *[F.lit(None).cast(kinds[c]).alias(c) for c in carried])
+        for i in range(len(discrete))
+    ]
+    stacked = rows.select("date", F.inline(F.array(numbers, *slots))).filter("__slot = -1 or __value is not null")
+    plain = [d for d in definitions if d.primitive not in (*DISCRETE_PRIMITIVES, "count")]
+    counted = stacked.groupBy("date", "__slot", "__value").agg(
+        F.count(F.lit(1)).alias("__votes"),
+        *[_plain(d, F.col(f"__where_{d.column}") if d.primitive == "count_where" else d.column) for d in plain],
     )
-    per_value = []
-    for i, column in enumerate(discrete):
-        mine = F.col("slot") == i
-        for d in definitions:
-            if d.column == column and d.primitive == "num_unique":
-                per_value.append(F.count_if(mine).alias(d.name))
-            elif d.column == column and d.primitive == "mode":
-                per_value.append(winner(F.col("value"), F.col("votes"), mine).alias(d.name))
-    voted = counted.groupBy("date").agg(*per_value)
-    joined = per_day.join(voted, "date", "left")
-    filled = {d.name: F.coalesce(d.name, F.lit(0)) for d in definitions if d.primitive == "num_unique"}
-    return joined.withColumns(filled).select("date", *[d.name for d in definitions])
+    first = F.col("__slot") == -1
+    per_day = []
+    for d in definitions:
+        if d.primitive == "count":
+            per_day.append(F.max(F.when(first, F.col("__votes"))).alias(d.name))
+        elif d.primitive in DISCRETE_PRIMITIVES:
+            mine = F.col("__slot") == discrete.index(d.column)
+            value = F.count_if(mine) if d.primitive == "num_unique" else winner(F.col("__value"), F.col("__votes"), mine)
+            per_day.append(value.alias(d.name))
+        else:
+            # A day has one group of numbers.
+            per_day.append(F.max(F.when(first, F.col(d.name))).alias(d.name))
+    return counted.groupBy("date").agg(*per_day)
+
+
+def _plain(definition: FeatureDef, value: str | Column) -> Column:
+    if definition.primitive == "count":
+        return F.count(F.lit(1)).alias(definition.name)
+    if definition.primitive == "count_where":
+        return F.count_if(value).alias(definition.name)
+    return _numeric_aggregate(definition.primitive, value).alias(definition.name)
 
 
 def transform_features(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from demandkit.functions.numbers import range_end
 from demandkit.functions.text import matches_search
@@ -146,3 +146,50 @@ def table_page(
     shown = found.offset((page - 1) * rows_per_page).limit(rows_per_page)
     shown = shown.select(*visible_columns(shown.columns, horizons, narrow))
     return shown.withColumnsRenamed(TABLE_LABELS) if labels else shown
+
+
+def _behind(column: Column, last: object, ascending: bool) -> Column:
+    """Whether a value comes after ``last`` in the order of a sort: nulls first upwards, last downwards."""
+    if last is None:
+        return column.isNotNull() if ascending else F.lit(False)
+    found = column > F.lit(last) if ascending else column < F.lit(last)
+    return found if ascending else F.coalesce(found, F.lit(True))
+
+
+def page_after(
+    orders: DataFrame,
+    last: Mapping[str, object] | None,
+    query: str | None = None,
+    sort_by: str = "id",
+    ascending: bool = True,
+    rows_per_page: int = 10,
+    tie_breakers: Sequence[str] = ("id",),
+) -> DataFrame:
+    """The page of the searched and sorted table that follows a given row.
+
+    ``last`` holds the sort column and the tie breakers of the last row seen; without it
+    the first page is returned. The rows up to ``last`` are filtered out, by a filter that
+    reaches the scan, and the rest is a top-k of one page: a task holds ``rows_per_page``
+    rows, however deep the page lies. The pages are those of :func:`table_page` where the
+    tie breakers tell all rows apart.
+    """
+    ties = [c for c in tie_breakers if c != sort_by]
+    found = search(orders, query)
+    if last is not None:
+        kind = {f.name: f.dataType for f in orders.schema}
+        behind = F.lit(False)
+        for column, upwards in reversed([(sort_by, ascending), *((c, True) for c in ties)]):
+            value = F.col(column)
+            same = value.eqNullSafe(F.lit(last[column]).cast(kind[column]))
+            behind = _behind(value, last[column], upwards) | (same & behind)
+        found = found.filter(behind)
+    direction = F.col(sort_by).asc() if ascending else F.col(sort_by).desc()
+    return found.orderBy(direction, *[F.col(c).asc() for c in ties]).limit(rows_per_page)
+
+
+def last_key(page: DataFrame, sort_by: str = "id", ascending: bool = True, tie_breakers: Sequence[str] = ("id",)) -> dict[str, object] | None:
+    """What :func:`page_after` needs of a page to find the next one; None after an empty page."""
+    ties = [c for c in tie_breakers if c != sort_by]
+    reverse = [F.col(sort_by).desc() if ascending else F.col(sort_by).asc(), *[F.col(c).desc() for c in ties]]
+    row = page.orderBy(*reverse).select(sort_by, *ties).first()
+    return None if row is None else row.asDict()

@@ -522,6 +522,9 @@ def oracle_sql() -> dict[str, str]:
         "table_search_page": f"""WITH {ORDERS} SELECT id, product, tomorrow_order_qty, tomorrow_order_range
             FROM order_table WHERE store = 3 AND contains(lower(CAST(id AS VARCHAR) || ' ' || product), 'a')
             ORDER BY tomorrow_order_qty DESC, id LIMIT 2 OFFSET 2""",
+        "part_pages": """SELECT p_partkey AS id, p_name AS product, p_retailprice FROM part
+            WHERE contains(lower(CAST(p_partkey AS VARCHAR) || ' ' || p_name), 'e')
+            ORDER BY p_retailprice DESC, p_partkey LIMIT 40 OFFSET 80""",
         "part_search": """SELECT p_partkey AS id, p_name AS product, p_retailprice FROM part
             WHERE contains(lower(CAST(p_partkey AS VARCHAR) || ' ' || p_name), 'red')
               AND contains(lower(CAST(p_partkey AS VARCHAR) || ' ' || p_name), '1')

@@ -626,6 +626,20 @@ def part_search(spark, sf):
     return views.table_page(parts, "RED 1", "p_retailprice", ascending=False, page=1, rows_per_page=25)
 
 
+@query
+def part_pages(spark, sf):
+    """The third page of a search over all parts by price, reached page by page from the keys of
+    the pages before."""
+    parts = t.table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("product"), "p_retailprice"
+    )
+    last = None
+    for _ in range(2):
+        page = views.page_after(parts, last, "E", "p_retailprice", ascending=False, rows_per_page=40)
+        last = views.last_key(page, "p_retailprice", ascending=False)
+    return views.page_after(parts, last, "E", "p_retailprice", ascending=False, rows_per_page=40)
+
+
 # --- checks ---------------------------------------------------------------------
 
 

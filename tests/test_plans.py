@@ -82,3 +82,8 @@ def test_large_sides_are_not_broadcast(spark):
     assert "ResolvedHint" in plan(small_side(big), "extended")
     assert "ResolvedHint" not in plan(small_side(big, max_cells=99), "extended")
     assert "ResolvedHint" not in plan(small_side(big, rows=10**9), "extended")
+
+
+def test_day_aggregates_scan_an_entity_once(spark, sf):
+    found = plan(contract.queries()["features_day_aggs"](spark, sf))
+    assert found.count("FileScan") == 1 and "Join" not in found

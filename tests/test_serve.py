@@ -158,3 +158,32 @@ def test_visible_columns_and_labels(orders):
     ]
     page = views.table_page(orders.drop("store"), horizons=("next_seven_days",), labels=True)
     assert page.columns == ["ID", "Produkt", "Bestellung Woche", "Vorschlag Woche"]
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_pages_by_key_are_the_pages_by_offset(spark, ascending):
+    values = [None, 3.0, 1.0, 1.0, None, 2.0, 1.0, 3.0, float("nan"), 0.5, None]
+    rows = [(i, None if i == 4 else f"p{i % 4}", v) for i, v in enumerate(values)] + [(None, "p", 1.0)]
+    table = spark.createDataFrame(rows, "id int, product string, qty double")
+    for sort_by in ("qty", "product"):
+        last, seen = None, []
+        while True:
+            page = views.page_after(table, last, None, sort_by, ascending, rows_per_page=2)
+            found = page.collect()
+            offset = views.table_page(table, None, sort_by, ascending, 1 + len(seen) // 2, 2).collect()
+            assert [str(r) for r in found] == [str(r) for r in offset]
+            if not found:
+                break
+            seen += found
+            last = views.last_key(page, sort_by, ascending)
+        assert len(seen) == len(rows)
+        assert views.last_key(page, sort_by, ascending) is None
+
+
+def test_a_deep_page_costs_what_the_first_one_costs(spark, tmp_path):
+    spark.range(100_000).select("id", F.lit("x").alias("product")).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    deep = views.page_after(table, {"id": 90_000}, rows_per_page=10)
+    assert [r.id for r in deep.collect()] == list(range(90_001, 90_011))
+    plan = deep._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=10" in plan and "GreaterThan(id,90000)" in plan
