@@ -4,12 +4,13 @@ A document's set holds its distinct word shingles (lower-cased A-Z). Documents w
 equal sets form a class; only one of a class is searched for neighbours. Its signature
 is cut into bands; the classes that share a band are a bucket. In each bucket one leader
 is compared with all others, on whole sets, so a bucket of n near copies costs n
-comparisons. Where a bucket still holds several components, its members are compared
-block against block, until every pair is either compared or in one component. So no
-bucket is capped, no task holds a whole bucket, and no list of all pairs is made.
+comparisons. Where a bucket still holds several components, the members outside its main
+component are compared block against block with all others, until every pair is either
+compared or in one component. So no bucket is capped, no task holds a whole bucket, and
+no list of all pairs is made.
 
 Only the signature can lose a link: with 40 bands of 5 values, two sets of similarity
-0.8 share no band with a probability of 1.3e-7, and fewer than two with 2.6e-6.
+0.8 share no band with a probability of 1.3e-7. Every pair that shares a band is verified.
 
 Defined results: null and empty texts, and texts without words, have the empty set and
 no links; fewer words than a shingle count as one shingle; rows with one ``doc_id`` are
@@ -32,8 +33,8 @@ from demandkit.llm.words import GOLDEN, coded, filled, hashed, mix, slices, spli
 from demandkit.runtime import settle
 
 ROWS, BANDS = 5, 40
-#: Members of a block of a bucket; bands that a pair shares at least to be compared there.
-BLOCK_MEMBERS, LEAST_BANDS = 1024, 2
+#: Members of a block of a bucket.
+BLOCK_MEMBERS = 1024
 #: Elements whose permutations a step of the signature holds at once.
 STEP_ELEMENTS = 60_000
 _UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -187,25 +188,48 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _still_open(members: DataFrame, components_: DataFrame) -> DataFrame:
-    """The members, but their leader, of the buckets that hold several components, and their number."""
+    """The members, but their leader, of the buckets that hold several components, with the bucket's
+    largest component (``main``), its members and the other members."""
     rest = (
         members.filter("node <> leader").select("bucket", "node").join(components_, "node", "left")
         .select("bucket", "node", F.coalesce("component", "node").alias("component"))
     )
+    sizes = rest.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     several = (
-        rest.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
-        .filter("low < high").select("bucket", "n")
+        sizes.groupBy("bucket")
+        .agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"))
+        .filter("parts > 1").select("bucket", F.col("top.component").alias("main"), F.col("top.n").alias("n_main"), (F.col("n") - F.col("top.n")).alias("n_other"))
     )
-    return settle(rest.join(several, "bucket"), "open")
+    # Written first, so that the join can split a bucket with most of the members.
+    return settle(rest.join(settle(several, "several"), "bucket"), "open")
 
 
-def _blockwise_links(open_: DataFrame, bands: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _dealt(open_: DataFrame) -> DataFrame:
+    """bucket, i, j, block, node and component: the members of each bucket in pairs of blocks.
+
+    A small bucket is one block. In a larger one, the members of its main component, among
+    which nothing is left to find, and the others have blocks of their own: those of the
+    others meet all blocks, those of the main component no others of their kind. So a bucket of
+    near copies with few strangers is dealt about once.
+    """
+    small = F.col("n_main") + F.col("n_other") <= BLOCK_MEMBERS
+    in_main = F.col("component") == F.col("main")
+    mains, others = (F.ceil(F.col(c) / F.lit(BLOCK_MEMBERS)).cast("int") for c in ("n_main", "n_other"))
+    place = F.xxhash64("node")
+    # Blocks of the others are 0, 1, ..., and those of the main component follow.
+    block = F.when(small, 0).when(in_main, F.col("others") + F.pmod(place, F.col("mains"))).otherwise(F.pmod(place, F.col("others"))).cast("int")
+    last = F.when(small, 0).when(in_main, F.col("others") - 1).otherwise(F.col("others") + F.col("mains") - 1).cast("int")
+    placed = open_.withColumns({"mains": mains, "others": others}).withColumns({"block": block, "last": last})
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    return dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component")
+
+
+def _blockwise_links(open_: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     """Links between different components of a bucket, compared block against block.
 
-    A task holds two blocks of a bucket and their whole sets. Each pair is looked at in
-    the first band that it shares, and only if it shares LEAST_BANDS. A task reports no
-    more links than join its components.
+    A task holds two blocks of a bucket, and their bands and whole sets (``whole``). Each pair is
+    looked at in the first band that it shares. A task reports no more links than join its
+    components.
     """
 
     def compare(table: pa.Table) -> pa.Table:
@@ -222,21 +246,15 @@ def _blockwise_links(open_: DataFrame, bands: DataFrame, sets: DataFrame, percen
             other = other[(root[other] != root[a]) & (100 * np.minimum(sizes[other], sizes[a]) >= percent * np.maximum(sizes[other], sizes[a]))]
             if not len(other):
                 continue
-            same = own[other] == own[a]
-            first = own[a][same.argmax(axis=1)] == bucket
-            for b in other[first & (same.sum(axis=1) >= LEAST_BANDS)].tolist():
+            first = own[a][(own[other] == own[a]).argmax(axis=1)] == bucket
+            for b in other[first].tolist():
                 if root[a] != root[b] and _similar(whole[a], whole[b], percent):
                     root[root == root[b]] = root[a]
                     u.append(node[a])
                     v.append(node[b])
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK_MEMBERS)).cast("int")
-    placed = open_.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
-    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component")
-    full = dealt.join(bands.withColumnRenamed("doc_id", "node"), "node").join(sets.withColumnRenamed("doc_id", "node"), "node")
-    return full.groupBy("bucket", "i", "j").applyInArrow(compare, "u long, v long")
+    return _dealt(open_).join(whole, "node").groupBy("bucket", "i", "j").applyInArrow(compare, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
@@ -260,8 +278,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
         components_ = settle(components(links), "components")
         open_ = _still_open(members, components_)
         if not open_.isEmpty():
-            own = settle(stands.join(open_.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"), "bands")
-            links = settle(links.unionByName(_blockwise_links(open_, own, sets, percent)), "near")
+            own = stands.join(open_.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+            whole = settle(own.join(sets, "doc_id").withColumnRenamed("doc_id", "node"), "whole")
+            links = settle(links.unionByName(_blockwise_links(open_, whole, percent)), "near")
             components_ = settle(components(links), "components")
 
     of_class = classes if components_ is None else classes.join(components_, "node", "left")

@@ -134,3 +134,27 @@ def test_query_equals_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     out = QUERIES["op10_superminhash"](spark, sf).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute([d.doc_id for d in docs], [d.text for d in docs], 2)
+
+
+@pytest.mark.parametrize("sizes", [{1: 30, 50: 2, 60: 1}, {1: 4, 10: 4, 20: 4, 30: 1}, {1: 3, 9: 2}, {5: 1, **{100 + i: 1 for i in range(25)}}])
+def test_members_of_different_components_meet_once(spark, sizes, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK_MEMBERS", 5)
+    main, n_main = max(sizes.items(), key=lambda s: (s[1], s[0]))
+    n = sum(sizes.values())
+    rows = [(7, 1000 * c + k, c, main, n_main, n - n_main) for c, size in sizes.items() for k in range(size)]
+    open_ = spark.createDataFrame(rows, "bucket long, node long, component long, main long, n_main long, n_other long")
+    groups = {}
+    for r in near_dup._dealt(open_).collect():
+        groups.setdefault((r.i, r.j), []).append(r)
+    met = {}
+    for (i, j), members in groups.items():
+        left, right = [m for m in members if m.block == i], [m for m in members if m.block == j]
+        for a in left:
+            for b in right:
+                if (i != j or a.node < b.node) and a.component != b.component:
+                    pair = tuple(sorted((a.node, b.node)))
+                    met[pair] = met.get(pair, 0) + 1
+    wanted = {tuple(sorted((a[1], b[1]))) for a in rows for b in rows if a[2] != b[2]}
+    assert met == dict.fromkeys(wanted, 1)
+    if n_main > 5 and n - n_main <= 5:
+        assert sum(map(len, groups.values())) <= n_main + (n - n_main) * (-(-n_main // 5) + 1)
