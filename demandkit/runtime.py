@@ -103,10 +103,11 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 @contextmanager
-def scratch(spark: SparkSession, purpose: str = "scope") -> Iterator[str]:
+def scratch(spark: SparkSession, purpose: str = "scope", keep: bool = False) -> Iterator[str]:
     """A scope whose stage tables are removed at its end, whether it succeeds or fails.
 
-    What outlives the scope has to be written elsewhere before the end. Scopes nest.
+    What outlives the scope has to be written elsewhere before the end. Scopes nest. With
+    ``keep`` the caller removes the folder later.
     """
     path = fresh_path(spark, purpose)
     token = _SCOPE.set(path)
@@ -114,7 +115,8 @@ def scratch(spark: SparkSession, purpose: str = "scope") -> Iterator[str]:
         yield path
     finally:
         _SCOPE.reset(token)
-        remove(spark, path)
+        if not keep:
+            remove(spark, path)
 
 
 def settle(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
