@@ -40,8 +40,13 @@ PRIOR, CHARACTERS = 0.5, 64
 SWITCH = 12.0
 #: A language is a candidate for a script that at least this share of its letters has.
 SCRIPT_SHARE = 0.01
-#: More labels than this are an error; the model grows with them.
-MAX_LANGUAGES = 1000
+#: More labels than this are an error: the driver holds 2 x BUCKETS counts of each.
+MAX_LANGUAGES = 100
+#: Share of the labelled texts below the low mark of a language's fit; how many times as far below
+#: the median, and how many nats a letter below it at least, a text is foreign.
+LOW_SHARE, LOW_TIMES, LOW_NATS = 0.005, 3.0, 1.0
+#: Letters below which a text has no fit: too few to call it foreign.
+FIT_LETTERS = 20
 
 #: First code points of ranges, and the script of each range (Unicode blocks).
 SCRIPT_RANGES = (
@@ -251,10 +256,11 @@ def _spans(text: str, labels: np.ndarray, names: list[str]) -> str:
 
 
 def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
-    """``lang_pred``, ``score``, ``share`` (of the letters in that language), ``n_spans`` and ``spans``
-    beside the other columns of ``docs``."""
+    """``lang_pred``, ``score``, ``share`` (of the letters in that language), ``n_spans``, ``spans`` and
+    ``fit`` (log probability a letter, along the path; null for very few letters) beside the other
+    columns of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    added = "lang_pred string, score double, share double, n_spans integer, spans string"
+    added = "lang_pred string, score double, share double, n_spans integer, spans string, fit double"
 
     def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -264,7 +270,7 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame
             words, at = split_words(texts)
             codes, distinct = coded(words)
             g = grams(distinct)
-            result = [(UNKNOWN, 0.0, 0.0, 0, "")] * n
+            result = [(UNKNOWN, 0.0, 0.0, 0, "", None)] * n
             if model.languages:
                 scores = model.word_scores(g, len(distinct))[codes]
                 labels, letters = viterbi(scores, at, switch), g.letters[codes]
@@ -278,9 +284,10 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame
                     odds = 1 / np.exp(np.minimum(own - own[best], 500)).sum()
                     share = by[best] / by.sum()
                     spans = _spans(texts[i].as_py(), labels[a:b], model.languages) if (labels[a:b] != labels[a]).any() else f"0:{len(texts[i].as_py())}:{model.languages[best]}"
-                    result[i] = (model.languages[best], float(share * odds), float(share), spans.count(",") + 1, spans)
-            columns = list(zip(*result, strict=True)) or [()] * 5
-            kinds = (pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.string())
+                    fit = float(scores[np.arange(a, b), labels[a:b]].sum() / by.sum()) if by.sum() >= FIT_LETTERS else None
+                    result[i] = (model.languages[best], float(share * odds), float(share), spans.count(",") + 1, spans, fit)
+            columns = list(zip(*result, strict=True)) or [()] * 6
+            kinds = (pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.string(), pa.float64())
             for name, values, kind in zip(added.split(", "), columns, kinds, strict=True):
                 part = part.append_column(name.split()[0], pa.array(values, kind))
             yield part
@@ -290,3 +297,12 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame
     for x in added.split(", "):
         schema = schema.add(*x.split())
     return rest.mapInArrow(label, schema)
+
+
+def fit_levels(found: DataFrame, label: str = "lang") -> DataFrame:
+    """lang_pred and the ``level`` of fit below which a text is foreign to that language, from
+    the texts whose label is the language predicted. One row a language."""
+    own = found.filter(F.col("lang_pred") == F.col(label).cast("string"))
+    marks = own.groupBy("lang_pred").agg(F.percentile_approx("fit", [LOW_SHARE, 0.5], 10_000).alias("m"))
+    low, median = F.col("m")[0], F.col("m")[1]
+    return marks.select("lang_pred", (median - F.greatest(LOW_TIMES * (median - low), F.lit(LOW_NATS))).alias("level"))

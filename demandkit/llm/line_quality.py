@@ -1,19 +1,18 @@
 """Quality of documents by their words and by lines that recur across a host.
 
 Lines are normalised (lower case, white space as one space, digits as 0) and hashed. For
-each host and line the distinct texts that hold it are counted; copies of one text count
-once, since removing copies is another operator's work. Lines of more than ``limit``
-texts of a host are removed. A document is depleted, and rejected, if less than
+each host and line the documents that hold it are counted, each document once, copies of
+others included. Lines of more than ``limit`` documents of a host are removed: the limit is a
+number and not a share, as a template shows by its repetition, however large its host. A document is depleted, and rejected, if less than
 ``min_share`` of its words or fewer than ``min_words`` remain.
 
 Defined results: a null or empty text has no words and fails the base rules; a null host
-is a host of its own; repeated rows are judged alike and count as one text; an empty
+is a host of its own; repeated rows are judged alike and count as documents each; an empty
 table gives an empty result; further columns of the input are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -101,23 +100,22 @@ def _described(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.ndarra
 
 
 def profiles(docs: DataFrame, host: str = "source", with_text: bool = False) -> DataFrame:
-    """doc_id, host, digest of the text, the base columns and the distinct lines with their words."""
+    """doc_id, host, the base columns and the distinct lines with their words."""
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             texts = filled(part.column("text"))
             base, ends, keys, line_words = _described(texts)
             ends = ends.astype(np.int32)
-            digests = [hashlib.blake2b(t.as_buffer(), digest_size=16).digest() for t in texts]
             lines = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(keys), pa.array(line_words)], ["line", "words"]))
-            arrays = [part.column("doc_id"), part.column("host"), pa.array(digests, pa.binary()), *(pa.array(b.astype(np.int64)) for b in base), lines]
-            names = ["doc_id", "host", "digest", *BASE, "lines"]
+            arrays = [part.column("doc_id"), part.column("host"), *(pa.array(b.astype(np.int64)) for b in base), lines]
+            names = ["doc_id", "host", *BASE, "lines"]
             if with_text:
                 arrays, names = [*arrays, texts.cast(pa.string())], [*names, "text"]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     source = docs.select(F.col("doc_id").cast("long"), F.col(host).cast("string").alias("host"), F.col("text").cast("string"))
-    schema = "doc_id long, host string, digest binary, " + ", ".join(f"{b} long" for b in BASE)
+    schema = "doc_id long, host string, " + ", ".join(f"{b} long" for b in BASE)
     return source.mapInArrow(make, schema + ", lines array<struct<line: long, words: long>>" + (", text string" if with_text else ""))
 
 
@@ -135,11 +133,11 @@ def judge(
     ``with_text`` adds the text without the removed lines.
     """
     found = settle(profiles(docs, host, with_text).withColumn("row", F.monotonically_increasing_id()), "profiles")
-    lines = found.select("row", "host", "digest", F.explode("lines").alias("l")).select("row", "host", "digest", "l.line", "l.words")
-    # A frequent line is counted text by text before its texts meet.
+    # A document has each of its lines once.
+    lines = found.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.line", "l.words")
     # They are written, so that the join can split the rows of a very common line.
     frequent = (
-        lines.groupBy("host", "line").agg(F.count_distinct("digest").alias("texts")).filter(F.col("texts") > limit)
+        lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("documents")).filter(F.col("documents") > limit)
         .select(F.col("host").alias("h"), F.col("line").alias("l"))
     )
     frequent = settle(frequent, "frequent-lines")
@@ -165,9 +163,10 @@ def _cleaned(judged: DataFrame) -> DataFrame:
             texts = []
             for text, gone in zip(part.column("text").to_pylist(), part.column("removed").to_pylist(), strict=True):
                 if gone:
+                    gone = set(gone)
                     lines = text.split("\n")
                     keys = hashed(normal_lines(pa.array(lines, pa.large_string()))).view(np.int64).tolist()
-                    text = "\n".join(line for line, key in zip(lines, keys, strict=True) if key not in set(gone))
+                    text = "\n".join(line for line, key in zip(lines, keys, strict=True) if key not in gone)
                 texts.append(text)
             yield part.drop_columns(["text", "removed"]).append_column("text", pa.array(texts, pa.string()))
 

@@ -6,8 +6,9 @@ their targets, with no cell kept by more than a probability of 1, until all thre
 Each document is kept with the probability of its cell, decided by a hash of its id.
 
 Targets are shares of the kept tokens: given by the caller, or the observed shares raised
-to a power below 1 (flatter than the corpus). A target beyond all the tokens of its value
-is met as far as they reach.
+to a power below 1 (flatter than the corpus). Tokens are words between white space. A target
+beyond all the tokens of its value is met as far as they reach; how far each margin is from
+its target can be asked for.
 
 Topics are told apart by the most widespread long terms of each language, counted over
 all documents: a document that uses the k-th such term of its language most has topic k.
@@ -20,6 +21,7 @@ columns are carried along.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
@@ -37,8 +39,10 @@ NONE, OTHER = "(none)", "other"
 TOPICS, TOPIC_LETTERS = 6, 6
 #: Powers of the observed shares that are the default targets.
 POWERS = {"source": 0.7, "lang": 0.7, "topic": 0.8}
-#: Share of the tokens to keep; largest relative misfit of a margin; sweeps at most.
-RATE, TOLERANCE, SWEEPS = 0.5, 0.005, 12
+#: Share of the tokens to keep; largest relative misfit of a margin that is a fit.
+RATE, TOLERANCE = 0.5, 0.005
+#: Sweeps without progress that end raking; the share of the misfit that counts as progress.
+STALLED, FALLING = 5, 0.01
 
 
 def _topic_words(distinct: pa.Array) -> pa.Array:
@@ -118,21 +122,26 @@ def margin_targets(cells: DataFrame, margin: str, total: float, power: float, sh
     return values.join(F.broadcast(whole)).select(margin, (F.try_divide(F.lit(float(total)) * F.col("weight"), F.col("whole"))).alias("target"))
 
 
-def rake(
+def rake_with_misfits(
     cells: DataFrame, rate: float = RATE, powers: Mapping[str, float] = POWERS, shares: Mapping[str, Mapping[str, float]] | None = None,
-    margins: Sequence[str] = MARGINS, tolerance: float = TOLERANCE, sweeps: int = SWEEPS,
-) -> DataFrame:
-    """The cells (margins and ``tokens``) with the ``probability`` to keep.
+    margins: Sequence[str] = MARGINS, tolerance: float = TOLERANCE, sweeps: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The cells (margins and ``tokens``) with the ``probability`` to keep, and how well each margin
+    is met: margin, value, target, ``expected`` (the tokens kept on average) and ``misfit``.
 
     Each sweep is one small job over the cells; it is written, so that the next one
-    neither repeats it nor loses it with an executor.
+    neither repeats it nor loses it with an executor. Sweeps go on until all margins fit, or until
+    the largest misfit has not fallen for ``STALLED`` sweeps: then the targets contradict each
+    other, or go beyond the tokens there are, and the misfits tell by how much. ``sweeps`` ends
+    raking earlier if the caller wants so.
     """
     total = (cells.agg(F.sum("tokens")).first()[0] or 0) * rate
     targets = {
         m: settle(margin_targets(cells, m, total, powers.get(m, 1.0), (shares or {}).get(m)), "targets") for m in margins
     }
     now = cells.select(*margins, "tokens", F.lit(float(rate)).alias("x"))
-    for _ in range(sweeps):
+    least, stalled, done = math.inf, 0, 0
+    while True:
         off = F.lit(0.0)
         for m in margins:
             capped = F.col("x") >= 1
@@ -156,10 +165,26 @@ def rake(
             ).drop("f", "shrink")
             off = F.greatest(off, F.when(F.col("x") < 1, F.col(f"off_{m}")).otherwise(0.0))
         now = settle(now.select(*margins, "tokens", F.least("x", F.lit(1e9)).alias("x"), off.alias("off")), "raked")
-        if (now.agg(F.max("off")).first()[0] or 0) <= tolerance:
-            break
+        largest = now.agg(F.max("off")).first()[0] or 0
         now = now.drop("off")
-    return now.select(*margins, "tokens", F.least("x", F.lit(1.0)).alias("probability"))
+        stalled = 0 if largest < least * (1 - FALLING) else stalled + 1
+        least, done = min(least, largest), done + 1
+        if largest <= tolerance or stalled >= STALLED or done == sweeps:
+            break
+    raked = now.select(*margins, "tokens", F.least("x", F.lit(1.0)).alias("probability"))
+    misfits = None
+    for m in margins:
+        kept = raked.groupBy(m).agg(F.sum(F.col("tokens") * F.col("probability")).alias("expected"))
+        part = targets[m].join(kept, m).select(
+            F.lit(m).alias("margin"), F.col(m).alias("value"), "target", "expected", F.abs(F.try_divide(F.col("expected"), F.col("target")) - 1).alias("misfit")
+        )
+        misfits = part if misfits is None else misfits.unionByName(part)
+    return raked, misfits
+
+
+def rake(cells: DataFrame, *args, **options) -> DataFrame:
+    """The cells of :func:`rake_with_misfits`."""
+    return rake_with_misfits(cells, *args, **options)[0]
 
 
 def mix(

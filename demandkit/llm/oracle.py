@@ -40,7 +40,7 @@ l AS (
   FROM (SELECT r, source, text, unnest(string_split(text, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^{_SPACE}]')),
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM l GROUP BY r),
-often AS (SELECT source, norm FROM l GROUP BY source, norm HAVING count(DISTINCT text) > 20),
+often AS (SELECT source, norm FROM l GROUP BY source, norm HAVING count(DISTINCT r) > 20),
 gone AS (
   SELECT r, sum(words) AS n FROM l JOIN often ON l.norm = often.norm AND l.source IS NOT DISTINCT FROM often.source
   GROUP BY r),

@@ -13,7 +13,10 @@ parts of the name before it, prefixes of numbers) are protected like entities. F
 entity met in ``min_texts`` different texts or more, the plain shares count as well.
 
 A term of too many documents cannot disclose an entity of few, whatever they share. Such
-pairs are left out where terms meet entities, before pairs are counted.
+pairs are left out where terms meet entities, before pairs are counted. Entities that stand in
+the same documents have the same shares with every term, and so have terms of the same
+documents; each such group meets the others as one. So a long list of addresses, each met
+nowhere else, costs its length and not its square.
 
 Defined results: a null or empty text has no spans; repeated rows are treated alike; a
 null ``doc_id`` is kept; an empty table gives an empty result; further columns of the
@@ -192,25 +195,43 @@ def term_documents(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
-def met(found: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """row, digest, entity (or class) and term, with their documents, of all pairs that can reach ``threshold``."""
-    total = found.count()
+def _same_documents(*counts: Column) -> Column:
+    """A number that two sets of documents share if they are equal: by counts and hashes of the rows."""
+    return F.xxhash64(*counts, F.bit_xor(F.xxhash64("row")), F.bit_xor(F.xxhash64(F.lit("second"), "row")))
+
+
+def met(found: DataFrame, docs: DataFrame, total: int, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """row, digest, entity (or class) and term, with their documents, of all pairs that can reach
+    ``threshold``, where one number stands for all entities, and one for all terms, of the same documents;
+    and the terms of each row with the number that stands for them (``group``)."""
     entities = found.select("row", F.explode(F.concat("entities", "classes")).alias("entity"), F.col("entities").alias("own")).select("row", "entity", F.array_contains("own", F.col("entity")).alias("exact"))
     # They are written, so that the joins can split the rows of a common term or entity.
-    n_entity = settle(entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "entity-counts")
-    n_term = settle(term_documents(docs), "term-counts")
-    terms = found.select("row", "digest", F.explode("terms").alias("term")).join(n_term, "term")
+    n_entity = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"), _same_documents(F.max("exact"), F.count(F.lit(1))).alias("group"))
+    n_entity = settle(n_entity, "entity-counts")
+    listed = found.select("row", "digest", F.explode("terms").alias("term"))
+    alike = listed.groupBy("term").agg(_same_documents(F.count(F.lit(1))).alias("same"))
+    n_term = settle(alike.join(term_documents(docs), "term").select("term", "n_term", F.xxhash64("same", "n_term").alias("group")), "term-counts")
+    terms = settle(listed.join(n_term, "term"), "terms")
     share = F.col("n_entity") / F.lit(total)
     # An estimate is at most (n_entity + 1) / n_term, as n_both is at most n_entity and adding copies to
     # both sides of a share below 1 raises it; and it has to be share ** (1 - threshold).
     bound = F.col("n_term") <= (F.col("n_entity") + 1) * F.pow(share, F.lit(threshold - 1)) * (1 + 1e-9)
-    entities = entities.join(n_entity, "entity").filter(F.col("n_entity") < total).withColumn("share", share).withColumnRenamed("row", "r")
-    return terms.join(entities, (F.col("row") == F.col("r")) & bound).drop("r")
+    entities = entities.join(n_entity, "entity").filter(F.col("n_entity") < total).withColumn("share", share)
+    entities = entities.repartition("row").select(F.col("row").alias("r"), F.col("group").alias("entity"), "exact", "n_entity", "share").distinct()
+    grouped = terms.repartition("row").select("row", "digest", F.col("group").alias("term"), "n_term").distinct()
+    pairs = grouped.join(entities, (F.col("row") == F.col("r")) & bound).drop("r")
+    return pairs, terms.select("row", "term", "group")
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, min_texts: int = MIN_TEXTS, threshold: float = THRESHOLD) -> DataFrame:
     """entity, term and the share of the entity's information that the term discloses, by plain shares."""
-    return _disclosing(met(found.withColumn("classes", F.array().cast("array<bigint>")), docs, threshold), min_texts, threshold)
+    found = found.withColumn("classes", F.array().cast("array<bigint>"))
+    pairs, terms = met(found, docs, found.count(), threshold)
+    revealing = _disclosing(pairs, min_texts, threshold).withColumnRenamed("entity", "group_e").withColumnRenamed("term", "group")
+    # Back from the groups to their members.
+    named = found.select("row", F.explode("entities").alias("entity"))
+    groups = named.groupBy("entity").agg(_same_documents(F.lit(True), F.count(F.lit(1))).alias("group_e"))
+    return revealing.join(groups, "group_e").join(terms.select("term", "group").distinct(), "group").select("entity", "term", "disclosure")
 
 
 def _disclosing(pairs: DataFrame, min_texts: int, threshold: float, smooth: bool = False) -> DataFrame:
@@ -261,11 +282,15 @@ def sanitise(
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if with_text else F.struct(F.col("doc_id").cast("long").alias("doc_id"))
     kept = docs.select(row.alias("rest"), F.col("text").cast("string").alias("text"))
     found = settle(find(kept, with_text), "entities")
-    pairs = settle(met(found, docs, threshold), "pairs")
+    pairs, terms = met(found.filter(F.size("base") > 0), docs, found.count(), threshold)
+    pairs = settle(pairs, "pairs")
     revealing = settle(_disclosing(pairs, min_texts, threshold, smooth=True), "revealing")
-    per_row = (
+    groups = (
         pairs.select("row", "entity", "term").join(revealing, ["entity", "term"])
-        .groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
+        .groupBy("row", F.col("term").alias("group")).agg(F.max("disclosure").alias("disclosure"))
+    )
+    per_row = (
+        terms.join(groups, ["row", "group"])
         .groupBy("row").agg(F.collect_list(F.struct("term", "disclosure")).alias("revealed"))
     )
     counts = [f"n_{k}" for k in KINDS]
@@ -286,8 +311,11 @@ def sanitise(
     schema = StructType([found.schema["rest"]])
     for name in [*counts, "base_sha256", "spans", "n_terms", "text"]:
         schema = schema.add(name, "string" if name in ("base_sha256", "spans", "text") else "long")
-    joined = found.join(per_row, "row", "left").select("rest", "base", "base_sha256", "text", "revealed")
-    out = joined.mapInArrow(apply, schema)
+    # Texts without spans have no terms to find, and stay where they are.
+    columns = ["rest", "base", "base_sha256", "text", "revealed"]
+    joined = found.filter(F.size("base") > 0).join(per_row, "row", "left").select(*columns)
+    plain = found.filter(F.size("base") == 0).withColumn("revealed", F.lit(None).cast(joined.schema["revealed"].dataType)).select(*columns)
+    out = joined.unionByName(plain).mapInArrow(apply, schema)
     if with_text:
         return out.select(*(F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns))
     return out.select("rest.doc_id", *counts, "base_sha256", "spans", "n_terms")

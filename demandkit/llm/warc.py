@@ -27,6 +27,9 @@ RECORD_END = CRLF + CRLF
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+#: Bytes that an archive's records have at most before they are zipped; payloads up to SMALL_BYTES are one size.
+FILE_BYTES, SMALL_BYTES = 1 << 29, 1 << 16
+
 RECORDS = (
     "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
     "record_id string, target_uri string"
@@ -46,6 +49,19 @@ def _field(name: str, value: Column | str) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(CRLF)), F.lit(""))
 
 
+#: Characters that may stand in an address as they are, besides letters and digits.
+PLAIN = ":/?#[]@!$&'()*+,;=-._~%"
+
+
+def _target(url: Column) -> Column:
+    """The address with everything percent-encoded that may not stand in one, a space as ``%20``."""
+    out = F.replace(F.url_encode(F.coalesce(url, F.lit(""))), F.lit("+"), F.lit("%20"))
+    # The percent sign is the last one, so that what it spells is not read again.
+    for c in PLAIN:
+        out = F.replace(out, F.lit(f"%{ord(c):02X}"), F.lit(c))
+    return F.when(url.rlike(r"^[\x21-\x7E]+$"), url).otherwise(out)
+
+
 def resolve(pages: DataFrame, payload: str = "html", key: str = "page_id", min_bytes: int = 1000) -> DataFrame:
     """page_id, url, payload, payload_bytes, payload_digest and the page that has the payload (``original``)."""
     body = F.coalesce(F.col(payload).cast("string"), F.lit(""))
@@ -75,14 +91,12 @@ def records(resolved: DataFrame, date: str) -> DataFrame:
     revisit = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=UTF-8{CRLF}Content-Length: "), F.col("payload_bytes").cast("string"), F.lit(RECORD_END))
     block_bytes = F.octet_length(http) + F.when(revisit, 0).otherwise(F.col("payload_bytes"))
-    uri = F.regexp_replace(F.url_encode(F.coalesce("url", F.lit(""))), "%(2F|3A|3F|23|26|3D)", "%$1")
-    plain = F.col("url").rlike(r"^[\x21-\x7E]+$")
     head = F.concat(
         F.lit(VERSION + CRLF),
         _field("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
         _field("WARC-Record-ID", _record_id(F.col("page_id"), F.col("payload_digest"))),
         _field("WARC-Date", date),
-        _field("WARC-Target-URI", F.when(plain, F.col("url")).otherwise(uri)),
+        _field("WARC-Target-URI", _target(F.col("url"))),
         _field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         F.when(
             revisit,
@@ -101,16 +115,25 @@ def records(resolved: DataFrame, date: str) -> DataFrame:
     return resolved.select(F.concat(head, http, F.when(revisit, F.lit("")).otherwise(F.col("payload"))).alias("record"))
 
 
-def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", records_per_file: int = 4000, **options) -> None:
-    """Archives of all pages. The end of a record is the writer's line separator."""
-    (
-        records(resolve(pages, **options), date)
-        .write.mode("overwrite")
-        .option("lineSep", RECORD_END)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", records_per_file)
-        .text(folder)
-    )
+def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", file_bytes: int = FILE_BYTES, **options) -> None:
+    """Archives of all pages. The end of a record is the writer's line separator.
+
+    Pages of like sizes go into files of their own, each size with as many records a file as stay
+    below ``file_bytes`` (a larger record is a file by itself). So the reader, which takes a file as
+    one value, can hold every file.
+    """
+    resolved = resolve(pages, **options)
+    steps = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.col("payload_bytes"), F.lit(1)) / SMALL_BYTES)))
+    sized = resolved.withColumn("steps", steps.cast("int"))
+    found = [r.steps for r in sized.select("steps").distinct().collect()]  # at most 32 sizes
+    for number, step in enumerate(sorted(found) or [0]):
+        # The header of a record is shorter than the smallest size.
+        per_file = max(1, file_bytes // (2 * SMALL_BYTES << step))
+        own = sized if len(found) < 2 else sized.filter(F.col("steps") == step)
+        (
+            records(own, date).write.mode("append" if number else "overwrite").option("lineSep", RECORD_END).option("compression", "gzip")
+            .option("maxRecordsPerFile", per_file).text(folder)
+        )
 
 
 def _inflated(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:

@@ -88,3 +88,11 @@ def test_held_out_accuracy(spark, sf):
     own = both[both.held_out & both.lang.notna()]
     assert len(out) == len(docs) and (own.lang_pred == own.lang).mean() > 0.97
     assert out.score.between(0, 1).all()
+
+
+def test_too_many_labels_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    docs = spark.createDataFrame([(f"text in {x}", x) for x in "abc"], "text string, lang string")
+    with pytest.raises(ValueError, match="3 labels"):
+        language.learn(docs)
+    language.learn(docs.filter("lang <> 'c'"))

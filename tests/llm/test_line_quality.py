@@ -70,10 +70,17 @@ def test_cleaned_text(docs):
         assert len(WORD.findall(r.text)) == r.n_words - r.n_removed_words
 
 
-def test_copies_of_one_text_count_once(spark):
+def test_copies_of_one_text_are_documents_each(spark):
     text = "one two three four five six seven eight nine ten eleven"
     docs = spark.createDataFrame([(i, "h", text) for i in range(50)], "doc_id long, source string, text string")
-    assert {r.kept for r in line_quality.judge(docs, limit=3).collect()} == {True}
+    assert {r.kept for r in line_quality.judge(docs, limit=49).collect()} == {False}
+    assert {r.kept for r in line_quality.judge(docs, limit=50).collect()} == {True}
+
+
+def test_a_document_counts_once_for_a_line_it_repeats(spark):
+    line = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(i, "h", f"{line}\n" * 9 + f"own words of number {i} and a few more of them here") for i in range(3)], "doc_id long, source string, text string")
+    assert {r.n_removed_lines for r in line_quality.judge(docs, limit=3).collect()} == {0}
 
 
 def test_empty_table(spark):

@@ -46,6 +46,26 @@ def test_rake_equals_numpy_and_meets_targets(spark, rate):
             assert np.allclose(kept, targets[axis], rtol=0.02)
 
 
+def test_confounded_cells_are_raked_until_they_fit(spark):
+    """Sources nearly tied to languages take many sweeps; the misfits tell the end."""
+    draw = np.random.default_rng(3)
+    rows = [(f"s{i}", f"l{j}", "t", 1000.0 if i == j else float(draw.integers(20, 40))) for i in range(8) for j in range(8)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens double")
+    shares = {"source": {f"s{i}": 1.0 + i / 60 for i in range(8)}, "lang": {f"l{j}": 1.0 + (7 - j) / 60 for j in range(8)}}
+    _, early = mixing.rake_with_misfits(cells, 0.3, shares=shares, sweeps=2)
+    raked, misfits = mixing.rake_with_misfits(cells, 0.3, shares=shares)
+    found = {(r.margin, r.value): r.misfit for r in misfits.collect()}
+    assert len(found) == 17 and max(found.values()) <= 0.01 < max(r.misfit for r in early.collect())
+    assert raked.filter("probability < 0 or probability > 1").isEmpty()
+
+
+def test_contradicting_targets_end_and_are_told(spark):
+    rows = [("a", "x", "t", 100.0), ("b", "y", "t", 100.0)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens double")
+    _, misfits = mixing.rake_with_misfits(cells, 0.5, shares={"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}})
+    assert max(r.misfit for r in misfits.filter("margin <> 'topic'").collect()) > 0.5
+
+
 def test_given_shares(spark):
     rows = [("a", "x", "t", 100.0), ("b", "x", "t", 300.0), ("c", "x", "t", 100.0)]
     cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens double")

@@ -28,6 +28,32 @@ def test_language_stage_drops_texts_without_letters(spark, docs):
     assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [1, 2, 3, 7, 8, 8]
 
 
+def test_language_stage_drops_foreign_texts(spark, sf):
+    """Texts in languages that were never learned go, and nearly all others stay."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    foreign = [
+        "kaksikymmentäviisi pyöräilijää ylittää jäätyneen järven yöllä hyvin hitaasti eikä kukaan näe heitä",
+        "przyszłość źdźbła trzciny szczęśliwie przekształca się w chrząszcza który brzmi wśród gęstych krzewów",
+        "xq zvkj wqpx kkzq jjxv qqzw vxzk pqxj zzkq wvxq jkzx qvzp xxkj zqwv kjqx vzqp wxkz qjzv pxqk zvjx",
+    ]
+    rows = [(10**7 + i, t, None, "web") for i, t in enumerate(foreign)]
+    both = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), allowMissingColumns=True)
+    kept = {r.doc_id for r in STAGES["language"](spark, both, "").select("doc_id").collect()}
+    assert not kept & {r[0] for r in rows}
+    clean = {r.doc_id for r in docs.filter("text rlike '[A-Za-z]'").select("doc_id").collect()}
+    assert len(clean - kept) <= 0.01 * len(clean)
+
+
+def test_a_stage_removes_what_earlier_ones_wrote(spark, docs, tmp_path):
+    first = STAGES["language"](spark, docs, "")
+    held = list(pipeline._SCRATCH[spark.sparkContext.applicationId])
+    STAGES["near duplicates"](spark, first, "").write.parquet(str(tmp_path / "out"))
+    assert Path(held[-1]).exists(), "the documents were still read from it"
+    STAGES["mixing"](spark, spark.read.parquet(str(tmp_path / "out")), "").write.parquet(str(tmp_path / "mixed"))
+    assert not Path(held[-1]).exists()
+    assert len(pipeline._SCRATCH[spark.sparkContext.applicationId]) == 1
+
+
 def test_near_duplicate_stage_keeps_one_of_each_group(spark, docs):
     out = STAGES["near duplicates"](spark, docs, "").collect()
     first = docs.dropDuplicates(["doc_id"]).collect()

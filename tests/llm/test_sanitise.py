@@ -131,3 +131,41 @@ def test_query_protects_entities_seen_once(spark, sf, tmp_path):
     for i, text, name in [(*once[0], "Yevgenia"), *((*r, "Ozymandias") for r in twice)]:
         at = text.index(name)
         assert f"term:{at}:{at + len(name)}" in out[i].spans.split(",")
+
+
+def test_a_long_list_of_addresses_costs_its_length(spark):
+    """Every address with every word would be half a million pairs; all of them stand in one document."""
+    words = [f"wort{i}" for i in range(700)]
+    listed = " ".join(f"{w} {w}@list.example" for w in words)
+    rows = [(1, listed), (2, listed), (3, "wort5 wort6 alone")] + [(10 + i, f"other {'z' * (i % 9 + 3)} text") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sanitise.find(docs)
+    pairs, terms = sanitise.met(found, docs, found.count())
+    assert terms.count() == 1400 and pairs.count() < 60
+    out = {r.doc_id: r for r in sanitise.sanitise(docs).collect()}
+    assert out[1].spans == out[2].spans and out[1].n_email == 700 and out[1].n_terms > 600 and out[3].n_terms == 0
+
+
+def test_groups_of_equal_documents_change_no_disclosure(spark):
+    """Against plain counts over all pairs of an entity and a term."""
+    import random
+
+    pick = random.Random(8)
+    rows = []
+    for i in range(120):
+        words = [pick.choice("alpha beta gamma delta omega sigma kappa lambda theta".split()) for _ in range(4)]
+        mails = [f"{pick.choice('abcdef')}{pick.choice('xy')}@{pick.choice(['one', 'two'])}.example" for _ in range(pick.choice([0, 0, 0, 1, 2]))]
+        rows.append((i, " ".join(words + mails)))
+    rows += rows[:7]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sanitise.find(docs)
+    out = {(r.entity, r.term): r.disclosure for r in sanitise.disclosing_terms(found, docs, 1, -100.0).collect()}
+    texts = [({sanitise._entity(k, t[a:b]) for k, a, b in sanitise.base_spans(t)}, sanitise._terms(t, sanitise.base_spans(t)) , {sanitise.term_of(w) for w in t.split()} - {None}) for _, t in rows]
+    total, wanted = len(rows), {}
+    for e in set().union(*(x[0] for x in texts)):
+        n_e = sum(e in x[0] for x in texts)
+        for term in set().union(*(x[1] for x in texts if e in x[0])):
+            both, n_t = sum(e in x[0] and term in x[1] for x in texts), sum(term in x[2] for x in texts)
+            wanted[e, term] = 1 - math.log(both / n_t) / math.log(n_e / total)
+    assert set(out) == set(wanted)
+    assert all(math.isclose(out[k], wanted[k], abs_tol=1e-9) for k in wanted)

@@ -53,3 +53,25 @@ def test_parse_reads_members_and_refuses_damage():
 
 def test_matches_sql(spark, sf):
     assert differences(QUERIES["op3_warc"](spark, sf), connect(sf), ORACLE["op3_warc"]) == []
+
+
+def test_addresses_are_encoded_where_they_must_be(spark):
+    urls = {1: "http://a.de/x y?q=1&b=ü%20#f+g", 2: "https://a.de/%C3%BC?x=[1]~", 3: "http://ü.de/", 4: None, 5: "tab\there"}
+    wanted = {1: "http://a.de/x%20y?q=1&b=%C3%BC%20#f+g", 2: urls[2], 3: "http://%C3%BC.de/", 4: None, 5: "tab%09here"}
+    pages = spark.createDataFrame([(i, u, "x") for i, u in urls.items()], "page_id long, url string, html string")
+    found = {r.page_id: r.target_uri for r in warc.round_trip(pages).collect()}
+    assert found == {**wanted, 4: found[4]} and not found[4]
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "SMALL_BYTES", 1 << 12)
+    rows = [(i, f"http://a/{i}", chr(97 + i % 26) * n) for i, n in enumerate([10, 5000, 5000, 70_000, 300_000, 3000, 60_000] * 8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = str(tmp_path / "warc")
+    warc.write_archives(pages, folder, file_bytes=200_000)
+    sizes = []
+    for path in (tmp_path / "warc").glob("*.gz"):
+        records = list(warc.parse(path.read_bytes()))
+        sizes.append((len(records), sum(len(b) for _, b in records)))
+    assert max(n for n, _ in sizes) > 1 and all(size <= 200_000 or n == 1 for n, size in sizes)
+    assert warc.read_archives(spark, folder).count() == len(rows)
