@@ -1,19 +1,20 @@
 """A corpus from documents to training sequences, in stages that each read what the last one wrote.
 
 Defined results: the stages inherit those of their operators; rows with null or empty
-texts have no language and go in the first stage; an empty table stays empty; further
+texts have no language and go in the first stage; without labels nothing has a language; an empty table stays empty; further
 columns of the documents are carried up to the last stage.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from demandkit.llm import language, mixing, near_dup, packing, sanitise
 from demandkit.llm.queries import tokenizer_file
-from demandkit.runtime import settle
+from demandkit.runtime import fresh_path, remove, scratch, settle
 
 #: Share of the tokens that the mix keeps; targets a little flatter than the corpus.
 MIX_RATE = 0.85
@@ -30,10 +31,14 @@ def _back(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no letters) go."""
-    model = language.learn(docs.filter(~language.held_out("doc_id", 3, 1)))
-    found = language.identify(docs.select(_whole(docs), "text"), model)
-    return _back(found.filter(F.col("lang_pred") != language.UNKNOWN), docs)
+    """Documents without a language go: texts without letters, and texts far less likely in the
+    language predicted than the texts that are labelled with it."""
+    model = language.learn(docs)
+    found = language.identify(docs.select(_whole(docs), "text", F.col("lang").alias("label")), model)
+    found = settle(found.select("rest", "label", "lang_pred", "fit"), "languages")
+    levels = F.broadcast(language.fit_levels(found, "label"))  # a row for each language
+    known = found.join(levels, "lang_pred", "left").filter((F.col("lang_pred") != language.UNKNOWN) & F.coalesce(F.col("fit") >= F.col("level"), F.lit(True)))
+    return _back(known, docs)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,12 +69,38 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs, tokenizer_file()))
 
 
+#: What stages wrote for themselves, until their results are written: by application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def _staged(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, with its tables in a folder of its own.
+
+    A result reads those tables until it is written, so they go when the next stage begins,
+    unless its documents are still read from them.
+    """
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        earlier = _SCRATCH.setdefault(spark.sparkContext.applicationId, [])
+        used = docs.inputFiles() if earlier else []
+        for path in list(earlier):
+            if not any(path.rpartition("/")[2] in file for file in used):
+                remove(spark, path)
+                earlier.remove(path)
+        with scratch(spark, "stage", keep=True) as path:
+            earlier.append(path)
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language", identify_language),
-    ("near duplicates", remove_near_duplicates),
-    ("personal data", remove_personal_data),
-    ("mixing", mix_sources),
-    ("packing", pack),
+    ("language", _staged(identify_language)),
+    ("near duplicates", _staged(remove_near_duplicates)),
+    ("personal data", _staged(remove_personal_data)),
+    ("mixing", _staged(mix_sources)),
+    ("packing", _staged(pack)),
 ]
 
 #: The stages rest on trained models, signatures and random groups.
@@ -77,8 +108,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; each result is written and read again, and goes once the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = fresh_path(spark, name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path).select(*docs.columns)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
