@@ -72,3 +72,41 @@ def test_ids_column(spark, plain):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(packing.pieces(docs, tokenizer_file())).count() == 0
+
+
+def test_words_forgotten_and_met_again(plain, monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 6)
+    monkeypatch.setattr(packing, "GATHER_WORDS", 5)
+    tok = packing.CachedTokenizer(tokenizer_file())
+    texts = [" ".join(f"word{(i * j) % 11}." for j in range(9)) + "\n\nnext line, and" for i in range(12)]
+    for text in texts:
+        assert tok.encode([text, "", "a"]) == [np.asarray(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in (text, "", "a")]
+
+
+def test_query_on_the_whole_table(spark, sf, plain):
+    """Every piece of every document against encoding its whole text at once."""
+    from demandkit.llm.queries import QUERIES
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    out = QUERIES["op1_packing"](spark, sf).toPandas()
+    got = {k: own.sort_values("start") for k, own in out.groupby("doc_id")}
+    assert len(got) == len(docs)
+    for d in docs:
+        ids, own = brute(plain, d.text), got[d.doc_id]
+        assert own.length.sum() == len(ids) and set(own.doc_tokens) == {len(ids)}
+        assert (own.start == own.length.cumsum() - own.length).all()
+        assert [zlib.crc32(ids[a : a + n].tobytes()) for a, n in zip(own.start, own.length)] == own.ids_crc32.tolist()
+    for _, s in out.groupby("sequence_id"):
+        s = s.sort_values("offset")
+        assert (s.offset == s.length.cumsum() - s.length).all() and s.length.sum() <= 2048
+    assert out.groupby("sequence_id").length.sum().mean() > 0.97 * 2048
+
+
+def test_a_text_longer_than_a_slice(spark, plain):
+    text = "some words, and more of them.\n" * 150_000
+    docs = spark.createDataFrame([(1, text[:-1]), (2, "short")], "doc_id long, text string")
+    own = packing.pieces(docs.coalesce(1), tokenizer_file()).toPandas()
+    ids = brute(plain, text[:-1])
+    one = own[own.doc_id == 1].sort_values("start")
+    assert one.length.sum() == len(ids)
+    assert [zlib.crc32(ids[a : a + n].tobytes()) for a, n in zip(one.start, one.length)] == one.ids_crc32.tolist()
