@@ -10,9 +10,9 @@ by their ending. The softmax is factored into classes of symbols. A rare word's
 probability is its bucket's times (count + 1) / (bucket's tokens + words + 1).
 
 Training is truncated backpropagation in numpy over all training documents, one way at
-every size. They are dealt into rounds and shards, whose number grows with the tokens;
-each shard of a round trains from the same weights, and the weights are averaged by tokens
-in two levels, once a round. The hidden state is carried from window to window, in
+every size. The chunks are dealt into rounds; each chunk of a round trains from the same
+weights, where it is stored, and the weights are averaged by tokens in two levels, once a
+round. The hidden state is carried from window to window, in
 training and in scoring.
 
 Defined results: a null or empty text is the end alone; a null ``doc_id`` is not held
@@ -24,7 +24,6 @@ result; further columns of the input are ignored.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -41,13 +40,15 @@ SYMBOLS = CLASSES * MEMBERS
 BUCKETS = 64
 HIDDEN = 24
 #: Steps of backpropagation, parallel streams of a shard, steps of scoring at a time.
-UNROLL, LANES, SCORE_STEPS = 32, 64, 64
-LEARNING_RATE, CLIP = 0.01, 1.0
+UNROLL, LANES, SCORE_STEPS = 32, 256, 64
+LEARNING_RATE, CLIP = 0.02, 1.0
+#: Windows of a shard at least; a small shard has fewer streams.
+LEAST_WINDOWS = 64
 #: Rows of the softmax that are scored at a time.
 SCORE_ROWS = 16_384
-#: Tokens of a shard; rounds of averaging, each on documents of its own.
-SHARD_TOKENS, ROUNDS = 1_000_000, 2
-#: Bytes of text of a chunk.
+#: Rounds of averaging, each on chunks of its own.
+ROUNDS = 2
+#: Bytes of text of a chunk, which is a shard of training.
 CHUNK_BYTES = 6 << 20
 #: Weights that are averaged together.
 BLOCK = 8192
@@ -57,6 +58,8 @@ CHUNK = (
     "counts array<long>, codes binary"
 )
 
+LEARNED = "part int, block int, weight double, sums binary"
+
 
 def _buckets(words: pa.Array) -> np.ndarray:
     """The bucket of each word by its last two bytes."""
@@ -189,10 +192,13 @@ class Network:
         n = len(targets)
         cls, member = targets // MEMBERS, targets % MEMBERS
         rows = np.arange(n)
-        p = _softmax(hidden @ self.w["class_w"] + self.w["class_b"])
-        out = np.log(np.maximum(p[rows, cls], 1e-30))
+        p = hidden @ self.w["class_w"] + self.w["class_b"]
         back = None
-        if gradients is not None:
+        if gradients is None:
+            out = _picked(p, rows, cls)
+        else:
+            _softmax(p)
+            out = np.log(np.maximum(p[rows, cls], 1e-30))
             p[rows, cls] -= 1
             p /= n
             gradients["class_w"] += hidden.T @ p
@@ -207,9 +213,11 @@ class Network:
         for c, own in present:
             np.matmul(h[own], self.w["word_w"][c], out=q[own])
             q[own] += self.w["word_b"][c]
-        q = _softmax(q)
-        out[order] += np.log(np.maximum(q[rows, m], 1e-30))
-        if gradients is not None:
+        if gradients is None:
+            out[order] += _picked(q, rows, m)
+        else:
+            _softmax(q)
+            out[order] += np.log(np.maximum(q[rows, m], 1e-30))
             q[rows, m] -= 1
             q /= n
             by_word = np.empty((n, HIDDEN), q.dtype)
@@ -272,6 +280,14 @@ class Network:
         g["inputs"][symbols[order[first]]] += np.add.reduceat(given.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
 
 
+def _picked(logits: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Logarithms of the softmax at one place of each row; the logits are used up."""
+    logits -= logits.max(axis=1, keepdims=True)
+    out = logits[rows, wanted]
+    np.exp(logits, out=logits)
+    return out - np.log(logits.sum(axis=1))
+
+
 def _softmax(logits: np.ndarray) -> np.ndarray:
     """In place."""
     logits -= logits.max(axis=1, keepdims=True)
@@ -283,7 +299,7 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 def streams_of(sequences: list[np.ndarray]) -> np.ndarray:
     """Documents (each ending with the end) one after the other, cut into parallel streams."""
     joined = np.concatenate([np.zeros(1, np.int64), *sequences])
-    lanes = max(1, min(LANES, (len(joined) - 1) // (2 * UNROLL)))
+    lanes = max(1, min(LANES, (len(joined) - 1) // (LEAST_WINDOWS * UNROLL)))
     steps = (len(joined) - 1) // lanes
     return np.stack([joined[i * steps : (i + 1) * steps + 1] for i in range(lanes)])
 
@@ -305,60 +321,48 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield row
 
 
-def samples(chunks: DataFrame, vocabulary_: Vocabulary, shards: int) -> DataFrame:
-    """round, shard and the symbols of all training documents of each chunk."""
-    shared = chunks.sparkSession.sparkContext.broadcast(vocabulary_)
+def learned(rows: DataFrame, vocabulary_: Vocabulary, network: Network, width: int) -> DataFrame:
+    """part, block, weight (training tokens) and sums: the weights of a network trained on each chunk
+    from ``network``, in blocks, times the tokens."""
+    shared = rows.sparkSession.sparkContext.broadcast((vocabulary_, network))
 
-    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary_, network = shared.value
         for batch in batches:
             for row in _rows(batch):
-                symbols = shared.value.symbols_of(row["words"], row["buckets"])[_codes(row)]
-                at, n = row["at"], len(row["held"])
-                place = mix(np.arange(n, dtype=np.uint64) + np.uint64(row["chunk"] % 2**63) * np.uint64(1 << 20))
-                found: dict[tuple[int, int], list[np.ndarray]] = {}
-                for i in np.flatnonzero(~row["held"].astype(bool)).tolist():
-                    where = (int(place[i] >> np.uint64(3)) % ROUNDS, int(mix(place[i : i + 1])[0]) % shards)
-                    found.setdefault(where, []).append(np.concatenate([symbols[at[i] : at[i + 1]], [0]]))
-                for (turn, shard), parts in found.items():
-                    data = np.concatenate(parts).astype("<u2").tobytes()
-                    yield pa.RecordBatch.from_arrays([pa.array([turn], pa.int32()), pa.array([shard], pa.int32()), pa.array([data], pa.binary())], ["turn", "shard", "symbols"])
-
-    return chunks.select("chunk", "held", "at", "words", "buckets", "codes").mapInArrow(make, "turn int, shard int, symbols binary")
-
-
-def train(sampled: DataFrame, start: Network, shards: int) -> Network:
-    """Rounds of local training on the shards, and averages of their weights by tokens."""
-    spark, now = sampled.sparkSession, start
-    width = max(1, math.isqrt(shards))
-
-    def fit(table: pa.Table, network: Network) -> pa.Table:
-        shard = table.column("shard")[0].as_py()
-        parts = sorted(table.column("symbols").to_pylist(), key=lambda b: (len(b), zlib.crc32(b)))
-        network = network.filled(network.flat())
-        sequences = [np.frombuffer(b, "<u2").astype(np.int64) for b in parts]
-        network.learn(streams_of(sequences))
-        weight = float(sum(map(len, sequences)))
-        flat = network.flat().astype(np.float64) * weight
-        blocks = [flat[i : i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)]
-        n = len(blocks)
-        return pa.table({"part": pa.array([shard % width] * n, pa.int32()), "block": pa.array(range(n), pa.int32()), "weight": pa.array([weight] * n), "sums": pa.array(blocks, pa.binary())})
-
-    def fitter(shared):
-        def run(table: pa.Table) -> pa.Table:
-            return fit(table, shared.value)
-
-        return run
+                symbols = vocabulary_.symbols_of(row["words"], row["buckets"])[_codes(row)]
+                at, trained = row["at"], np.flatnonzero(~row["held"].astype(bool)).tolist()
+                sequences = [np.append(symbols[at[i] : at[i + 1]], 0) for i in trained]
+                weight = float(sum(map(len, sequences)))
+                if not weight:
+                    continue
+                own = network.filled(network.flat())
+                own.learn(streams_of(sequences))
+                flat = own.flat().astype(np.float64) * weight
+                blocks = [flat[i : i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)]
+                n = len(blocks)
+                part = int(mix(np.asarray([row["chunk"]]).astype(np.uint64))[0] % np.uint64(width))
+                columns = [pa.array([part] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array([weight] * n), pa.array(blocks, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "block", "weight", "sums"])
+
+    return rows.select("chunk", "held", "at", "words", "buckets", "codes").mapInArrow(fit, LEARNED)
+
+
+def train(chunks: DataFrame, vocabulary_: Vocabulary, start: Network) -> Network:
+    """Rounds of local training on the chunks, and averages of their weights by tokens.
+
+    A chunk is a shard: its training documents are read where they are stored, and only weights move.
+    """
+    now, width = start, max(1, math.isqrt(chunks.count()))
 
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(b, np.float64) for b in table.column("sums").to_pylist())
         weight = sum(table.column("weight").to_pylist())
         return pa.table({"part": pa.array([0], pa.int32()), "block": table.column("block").slice(0, 1), "weight": [weight], "sums": pa.array([total.tobytes()], pa.binary())})
 
-    schema = "part int, block int, weight double, sums binary"
     for turn in range(ROUNDS):
-        shared = spark.sparkContext.broadcast(now)
-        local = sampled.filter(F.col("turn") == turn).groupBy("shard").applyInArrow(fitter(shared), schema)
-        sums = local.groupBy("part", "block").applyInArrow(add, schema).groupBy("block").applyInArrow(add, schema)
+        local = learned(chunks.filter(F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == turn), vocabulary_, now, width)
+        sums = local.groupBy("part", "block").applyInArrow(add, LEARNED).groupBy("block").applyInArrow(add, LEARNED)
         blocks = settle(sums, "weights").orderBy("block").collect()  # as many rows as the model has blocks
         if blocks:
             now = now.filled(np.concatenate([np.frombuffer(b.sums, np.float64) / b.weight for b in blocks]))
@@ -398,9 +402,7 @@ def score(docs: DataFrame, held: Column) -> DataFrame:
     ends = chunks.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     vocabulary_ = vocabulary(counts, int(ends))
 
-    shards = max(1, round(vocabulary_.tokens / ROUNDS / SHARD_TOKENS))
-    sampled = settle(samples(chunks, vocabulary_, shards), "samples")
-    network = train(sampled, Network.start(vocabulary_.frequency), shards)
+    network = train(chunks, vocabulary_, Network.start(vocabulary_.frequency))
 
     # The counts come back to the chunks: word by word, then chunk by chunk.
     wanted = chunks.select("chunk", F.posexplode("words").alias("place", "word"))
