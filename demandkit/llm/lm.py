@@ -265,8 +265,9 @@ class Network:
         for t in range(len(trace) - 1, -1, -1):
             x, before, z, r, new, past = trace[t]
             d = back[t] + carry
-            d_new = d * (1 - z) * (1 - new * new)
-            given[t, :, :HIDDEN] = d * (before - new) * z * (1 - z)
+            shut = 1 - z
+            d_new = d * shut * (1 - new * new)
+            given[t, :, :HIDDEN] = d * (before - new) * z * shut
             given[t, :, HIDDEN : 2 * HIDDEN] = d_new * past * r * (1 - r)
             given[t, :, 2 * HIDDEN :] = d_new
             past_[t, :, : 2 * HIDDEN] = given[t, :, : 2 * HIDDEN]
@@ -280,19 +281,25 @@ class Network:
         g["inputs"][symbols[order[first]]] += np.add.reduceat(given.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
 
 
+def _exponentials(logits: np.ndarray) -> np.ndarray:
+    """In place; returns the sum of each row. One shift for all rows will do, as logits are a few
+    dozen apart at most; sums that vanish all the same are kept above 0."""
+    if not logits.size:
+        return logits.sum(axis=1)
+    logits -= logits.max()
+    np.exp(logits, out=logits)
+    return np.maximum(logits @ np.ones(logits.shape[1], logits.dtype), np.finfo(logits.dtype).tiny)
+
+
 def _picked(logits: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Logarithms of the softmax at one place of each row; the logits are used up."""
-    logits -= logits.max(axis=1, keepdims=True)
-    out = logits[rows, wanted]
-    np.exp(logits, out=logits)
-    return out - np.log(logits.sum(axis=1))
+    out = logits[rows, wanted] - (logits.max() if logits.size else 0)
+    return out - np.log(_exponentials(logits))
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
     """In place."""
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits *= (1 / _exponentials(logits))[:, None]
     return logits
 
 
