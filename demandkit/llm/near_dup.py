@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from demandkit.llm.components import components
 from demandkit.llm.words import GOLDEN, coded, filled, hashed, mix, slices, split_words
-from demandkit.runtime import settle
+from demandkit.runtime import settle, small_side
 
 ROWS, BANDS = 5, 40
 #: Members of a block of a bucket.
@@ -267,13 +267,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
     stands = found.join(classes.select("set_id", F.col("node").alias("doc_id")), ["set_id", "doc_id"]).select("doc_id", "bands")
     exploded = stands.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
     shared = exploded.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last")
+    shared = small_side(settle(shared.select("bucket", "leader"), "shared"))
     members = settle(exploded.join(shared, "bucket").select("bucket", "node", "leader").distinct(), "members")
 
     components_ = None
     if not members.isEmpty():
         wanted = settle(members.select(F.col("node").alias("doc_id")).distinct(), "wanted")
-        sets = settle(full_sets(docs.join(wanted, "doc_id", "left_semi"), shingle), "sets")
+        sets = settle(full_sets(docs.join(small_side(wanted), "doc_id", "left_semi"), shingle), "sets")
         pairs = members.filter("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct()
+        # Sizes that are too far apart rule a pair out before its sets are moved.
+        sizes = settle(found.join(small_side(wanted), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most")), "sizes")
+        u, v = (small_side(sizes).select(F.col("doc_id").alias(k), F.col("least").alias(f"least_{k}"), F.col("most").alias(f"most_{k}")) for k in ("u", "v"))
+        fits = (100 * F.col("most_u") >= percent * F.col("least_v")) & (100 * F.col("most_v") >= percent * F.col("least_u"))
+        pairs = settle(pairs.join(u, "u").join(v, "v").filter(fits).select("u", "v"), "pairs")
         links = settle(verified(pairs, sets, percent), "near")
         components_ = settle(components(links), "components")
         open_ = _still_open(members, components_)
