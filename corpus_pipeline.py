@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from demandkit.llm import language, mixing, near_dup, packing, sanitise
 from demandkit.llm.queries import tokenizer_file
-from demandkit.runtime import fresh_path, remove, scratch, settle
+from demandkit.runtime import fresh_path, remove, scratch, settle, small_side
 
 #: Share of the tokens that the mix keeps; targets a little flatter than the corpus.
 MIX_RATE = 0.85
@@ -47,9 +47,12 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Of rows with one id and equal texts, one stays as well.
     """
     groups = near_dup.near_duplicates(docs)
-    kept = settle(groups.filter("kept").select("doc_id").distinct(), "kept")
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    kept = groups.filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"))
+    kept = small_side(settle(kept.withColumnRenamed("doc_id", "id"), "kept"))
+    rows = docs.select(_whole(docs), "doc_id", "text").join(kept, F.col("doc_id").eqNullSafe(F.col("id")))
+    # Only rows whose id repeats can be repeated: the texts of the others need not meet.
+    again = rows.filter("times > 1").dropDuplicates(["doc_id", "text"])
+    return _back(rows.filter("times = 1").unionByName(again), docs)
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
