@@ -278,8 +278,9 @@ def sanitise(
 
     ``with_text`` returns the columns of the input instead, with the sanitised text.
     """
-    # The other columns travel as one, so their names meet no others.
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if with_text else F.struct(F.col("doc_id").cast("long").alias("doc_id"))
+    # The other columns travel as one, so their names meet no others; the text travels once.
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"] or [F.lit(None).alias("none")]
+    row = F.struct(*others) if with_text else F.struct(F.col("doc_id").cast("long").alias("doc_id"))
     kept = docs.select(row.alias("rest"), F.col("text").cast("string").alias("text"))
     found = settle(find(kept, with_text), "entities")
     pairs, terms = met(found.filter(F.size("base") > 0), docs, found.count(), threshold)
