@@ -34,11 +34,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents without a language go: texts without letters, and texts far less likely in the
     language predicted than the texts that are labelled with it."""
     model = language.learn(docs)
-    found = language.identify(docs.select(_whole(docs), "text", F.col("lang").alias("label")), model)
-    found = settle(found.select("rest", "label", "lang_pred", "fit"), "languages")
+    others = F.struct(F.lit(None).alias("none"), *(F.col(f"`{c}`") for c in docs.columns if c != "text"))
+    found = language.identify(docs.select(others.alias("rest"), "text", F.col("lang").alias("label")), model)
+    found = settle(found.select("rest", "text", "label", "lang_pred", "fit"), "languages")
     levels = F.broadcast(language.fit_levels(found, "label"))  # a row for each language
     known = found.join(levels, "lang_pred", "left").filter((F.col("lang_pred") != language.UNKNOWN) & F.coalesce(F.col("fit") >= F.col("level"), F.lit(True)))
-    return _back(known, docs)
+    return known.select(*(F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
