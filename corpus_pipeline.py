@@ -73,6 +73,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs, tokenizer_file()))
 
 
+#: Documents that move to a Python worker at a time.
+BATCH_ROWS = 1000
+
 #: What stages wrote for themselves, until their results are written: by application.
 _SCRATCH: dict[str, list[str]] = {}
 
@@ -92,6 +95,8 @@ def _staged(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Calla
             if not any(path.rpartition("/")[2] in file for file in used):
                 remove(spark, path)
                 earlier.remove(path)
+        # Batches of whole texts are held several times, by Spark and by the worker.
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
         with scratch(spark, "stage", keep=True) as path:
             earlier.append(path)
             return stage(spark, docs, sf_dir)
