@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 from demandkit.llm.words import coded, filled, hashed, slices
 from demandkit.runtime import settle
 
-#: Remembered pieces of a worker's tokenizer (about 60 bytes each); beyond it, those not met for longest go.
-CACHE_WORDS = 1_500_000
+#: Remembered pieces of a worker's tokenizer (about 80 bytes each, and as much while they grow); beyond it, those not met for longest go.
+CACHE_WORDS = 600_000
 #: Words whose ids are gathered at a time.
 GATHER_WORDS = 1 << 20
 #: Pieces that are packed together, on average.
