@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from demandkit.llm.words import coded, filled, hashed, slices
+from demandkit.llm.words import SLICE_BYTES, coded, filled, hashed, slices
 from demandkit.runtime import settle
 
 #: Remembered pieces of a worker's tokenizer (about 80 bytes each, and as much while they grow); beyond it, those not met for longest go.
@@ -50,6 +50,8 @@ class CachedTokenizer:
     _odd = re.compile(r"\s|<\|")
 
     def __init__(self, path: str):
+        #: Remembered pieces at most; None for the module's number.
+        self.cache_words: int | None = None
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -70,9 +72,12 @@ class CachedTokenizer:
     def ids(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _most(self) -> int:
+        return CACHE_WORDS if self.cache_words is None else self.cache_words
+
     def _keep_half(self) -> None:
         """Give up the pieces that have not been met for longest."""
-        stay = np.sort(np.argsort(-self.met, kind="stable")[: CACHE_WORDS // 2])
+        stay = np.sort(np.argsort(-self.met, kind="stable")[: self._most() // 2])
         n = np.maximum(self.length[stay], 0)
         self.pool = self._gathered(self.start[stay], n)
         self.known, self.length, self.met = self.known.take(pa.array(stay)), self.length[stay], self.met[stay]
@@ -179,7 +184,7 @@ class CachedTokenizer:
         if not len(texts):
             return []
         self.time += 1
-        if len(self.known) > CACHE_WORDS:
+        if len(self.known) > self._most():
             self._keep_half()
         lists = pc.split_pattern(texts, " ")
         at = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -214,22 +219,27 @@ class CachedTokenizer:
 _TOKENIZERS: dict[str, CachedTokenizer] = {}
 
 
-def tokenizer(path: str) -> CachedTokenizer:
+def tokenizer(path: str, cache_words: int | None = None) -> CachedTokenizer:
     """One for each worker process."""
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = CachedTokenizer(path)
+    _TOKENIZERS[path].cache_words = cache_words
     return _TOKENIZERS[path]
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = 2048, end_id: int = 1, with_ids: bool = False) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer_path: str, sequence: int = 2048, end_id: int = 1, with_ids: bool = False,
+    cache_words: int | None = None, slice_bytes: int = SLICE_BYTES,
+) -> DataFrame:
     """Each document's ids with the end token, cut into pieces of at most ``sequence``.
 
-    ``with_ids`` adds the ids themselves.
+    ``with_ids`` adds the ids themselves. ``cache_words`` and ``slice_bytes`` bound what a worker
+    remembers and handles at a time; they change no result.
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, end = tokenizer(tokenizer_path), np.asarray([end_id], dtype="<u4")
-        for part in slices(batches, kept=tok):
+        tok, end = tokenizer(tokenizer_path, cache_words), np.asarray([end_id], dtype="<u4")
+        for part in slices(batches, limit=slice_bytes, kept=tok):
             rows, keys, all_ids = [], [], []
             for k, ids in zip(part.column("doc_id").to_pylist(), tok.encode_array(filled(part.column("text"))), strict=True):
                 total = len(ids) + 1

@@ -110,3 +110,9 @@ def test_a_text_longer_than_a_slice(spark, plain):
     one = own[own.doc_id == 1].sort_values("start")
     assert one.length.sum() == len(ids)
     assert [zlib.crc32(ids[a : a + n].tobytes()) for a, n in zip(one.start, one.length)] == one.ids_crc32.tolist()
+
+
+def test_small_bounds_change_no_result(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = lambda frame: sorted(map(tuple, frame.collect()))
+    assert rows(packing.pieces(docs, tokenizer_file(), cache_words=50, slice_bytes=1 << 10)) == rows(packing.pieces(docs, tokenizer_file()))
