@@ -70,9 +70,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 tokens."""
-    return packing.pack(packing.pieces(docs, tokenizer_file()))
+    return packing.pack(packing.pieces(docs, tokenizer_file(), cache_words=CACHE_WORDS, slice_bytes=SLICE_BYTES))
 
 
+#: What a worker of the last stage remembers and handles at a time: by then Spark's heap is full.
+CACHE_WORDS, SLICE_BYTES = 400_000, 1 << 20
+
 #: Documents that move to a Python worker at a time.
 BATCH_ROWS = 1000
 
