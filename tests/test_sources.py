@@ -7,6 +7,7 @@ from demandkit.config import ForecastConfig, load_config, store_table
 from demandkit.operators.grain import to_grain
 from demandkit.operators.template import future_template, recent_profile
 from demandkit.operators.weather import VENDOR_COLUMNS
+from demandkit.runtime import settle
 from demandkit.sources import files, registers, windows
 from demandkit.sources.registry import date_range, load_sales, register, registered
 
@@ -299,3 +300,22 @@ def test_versions_of_a_stage_store(spark, tmp_path, rows):
     assert current() == [(3,)] and rows(spark.read.parquet(f"{old}/table")) == [(1,)]
     run(4)
     assert current() == [(4,)] and len(list((tmp_path / "out" / "versions").iterdir())) == 2
+
+
+def test_headers_are_found_without_sorting_the_lines(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "sales"
+    # Many files in a task, and files of several batches.
+    for number in range(12):
+        put(folder, f"{number:02d}.csv", HEADER.replace("price", f"p{number}") + f"{number},1,x,2024-01-01,2.0,1\n" * (1 if number % 3 else 25_000))
+    plans = []
+
+    def stored(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return settle(df, purpose)
+
+    monkeypatch.setattr(files, "settle", stored)
+    table = files.file_table(spark, str(folder))
+    found = {r.path.rsplit("/", 1)[-1]: r.header for r in table.files.collect()}
+    assert found == {f"{n:02d}.csv": f"index,store,product,date,sales,p{n}" for n in range(12)}
+    assert table.files.count() == 12 and table.first[-1] == "p0"
+    assert "Sort" not in plans[0]
