@@ -87,3 +87,16 @@ def test_large_sides_are_not_broadcast(spark):
 def test_day_aggregates_scan_an_entity_once(spark, sf):
     found = plan(contract.queries()["features_day_aggs"](spark, sf))
     assert found.count("FileScan") == 1 and "Join" not in found
+
+
+def test_lines_move_for_the_order_header_alone(spark, sf):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = plan(t.sales_lines(spark, sf))
+        invoices = plan(contract.queries()["invoice_join"](spark, sf))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    moved = re.findall(r"Exchange hashpartitioning\((\w+)#", found)
+    assert "l_partkey" not in moved and "l_suppkey" not in moved
+    assert "hashpartitioning(l_partkey" not in invoices
