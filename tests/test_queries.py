@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as contract
 from compare import connect, differences
 from demandkit.operators.serve import ORDER_COLUMNS
+from demandkit.plans import queries as plans
 from demandkit.plans.oracle import oracle_sql
 from demandkit.plans.queries import QUERIES
 
@@ -38,3 +39,10 @@ def test_boosted_trees_serve_every_pair(spark, sf):
     assert orders.columns == list(ORDER_COLUMNS)
     assert orders.count() == contract.queries()["order_plan"](spark, sf).count()
     assert orders.filter("tomorrow_order_qty is null or next7_order_qty is null").isEmpty()
+
+
+def test_invoice_documents_are_compressed(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(plans, "fresh_path", lambda spark, purpose: str(tmp_path / purpose))
+    n = contract.queries()["invoice_flatten"](spark, sf).count()
+    written = sum(f.stat().st_size for f in (tmp_path / "invoices").rglob("part-*"))
+    assert 0 < written < 150 * n
