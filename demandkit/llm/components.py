@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from demandkit.runtime import settle
 
+#: Links of a task at least, as far as there are more than LEAST_TASKS tasks.
+TASK_LINKS, LEAST_TASKS = 50_000, 8
+
 
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_000_007)).first())
@@ -23,15 +26,20 @@ def components(links: DataFrame, left: str = "u", right: str = "v") -> DataFrame
         links.filter(u != v).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct(), "links"
     )
     before = _mark(edges)
+
+    def stored(table: DataFrame, purpose: str) -> DataFrame:
+        # Few links are not worth a task for each shuffle partition in every step.
+        return settle(table.coalesce(max(LEAST_TASKS, before[0] // TASK_LINKS)), purpose)
+
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # The smallest neighbours are written first, so that the joins can split a node with most of the edges.
-        least = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = settle(large, "large")
-        least = settle(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        large = stored(large, "large")
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        edges = settle(small.filter("u > v").distinct(), "links")
+        edges = stored(small.filter("u > v").distinct(), "links")
         after = _mark(edges)
         if after == before:
             break

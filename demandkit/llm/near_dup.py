@@ -286,8 +286,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
         if not open_.isEmpty():
             own = stands.join(open_.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
             whole = settle(own.join(sets, "doc_id").withColumnRenamed("doc_id", "node"), "whole")
-            links = settle(links.unionByName(_blockwise_links(open_, whole, percent)), "near")
-            components_ = settle(components(links), "components")
+            more = settle(_blockwise_links(open_, whole, percent), "near")
+            if not more.isEmpty():
+                # The components so far are stars, which need no more rounds; only new links join them.
+                stars = components_.select(F.col("node").alias("u"), F.col("component").alias("v"))
+                components_ = settle(components(stars.unionByName(more)), "components")
 
     of_class = classes if components_ is None else classes.join(components_, "node", "left")
     component = F.col("node") if components_ is None else F.coalesce("component", "node")

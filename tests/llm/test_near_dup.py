@@ -130,6 +130,30 @@ def test_components(spark):
     assert {r.node: r.component for r in out.collect()} == {x: find(x) for x in linked}
 
 
+def test_few_links_take_few_tasks(spark, monkeypatch):
+    from demandkit.llm import components as module
+
+    kept, files = module.settle, []
+
+    def counted(df, purpose):
+        out = kept(df, purpose)
+        files.append((purpose, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(module, "settle", counted)
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = components(spark.createDataFrame([(i, i + 1) for i in range(300)], "u long, v long"))
+        assert {r.component for r in out.collect()} == {0} and out.count() == 301
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(n for _, n in files[1:]) <= 8
+
+
 def test_query_equals_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     out = QUERIES["op10_superminhash"](spark, sf).collect()
