@@ -172,27 +172,42 @@ class Network:
 
     def run(self, symbols: np.ndarray, state: np.ndarray, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Hidden states (steps, lanes, HIDDEN) after the input symbols (steps, lanes). The end starts afresh."""
-        u, h = self.w["recurrent"], state
-        out = np.empty((*symbols.shape, HIDDEN), np.float32)
-        going = (symbols != 0)[:, :, None]
-        for t, x in enumerate(symbols):
-            before = h * going[t]
-            given, past = self.w["inputs"][x], before @ u
-            # The logistic function, by one that cannot overflow.
-            gates = np.tanh(0.5 * (given[:, : 2 * HIDDEN] + past[:, : 2 * HIDDEN])) * 0.5 + 0.5
-            z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-            new = np.tanh(given[:, 2 * HIDDEN :] + r * past[:, 2 * HIDDEN :])
-            h = out[t] = new + z * (before - new)
-            if trace is not None:
-                trace.append((x, before, z, r, new, past[:, 2 * HIDDEN :]))
-        return out, h
+        # The gates lie one after the other, so that all work on a gate is on memory without gaps.
+        inputs, u = _gates_first(self.w["inputs"]), _gates_first(self.w["recurrent"])
+        out = np.empty((*symbols.shape, HIDDEN), np.result_type(u, state))
+        ended, h = symbols == 0, state
+        some = ended.any(axis=1).tolist()
+        with np.errstate(over="ignore"):
+            for t, x in enumerate(symbols):
+                before = h
+                if some[t]:
+                    before = h.copy()
+                    before[ended[t]] = 0
+                gates, past = inputs.take(x, axis=1), before @ u
+                # The logistic function; where the exponential is infinite it is 0, as it should be.
+                both, new = gates[:2], gates[2]
+                both += past[:2]
+                np.negative(both, out=both)
+                np.exp(both, out=both)
+                both += 1
+                np.reciprocal(both, out=both)
+                z, r = both
+                new += r * past[2]
+                np.tanh(new, out=new)
+                h = np.subtract(before, new, out=out[t])
+                h *= z
+                h += new
+                if trace is not None:
+                    trace.append((x, before, z, r, new, past[2]))
+        return out, h.copy()
 
     def log_probabilities(self, hidden: np.ndarray, targets: np.ndarray, gradients: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural logarithms for each row; with ``gradients``, adds those of the mean loss and returns the one by state."""
         n = len(targets)
         cls, member = targets // MEMBERS, targets % MEMBERS
         rows = np.arange(n)
-        p = hidden @ self.w["class_w"] + self.w["class_b"]
+        p = hidden @ self.w["class_w"]
+        p += self.w["class_b"]
         back = None
         if gradients is None:
             out = _picked(p, rows, cls)
@@ -202,30 +217,32 @@ class Network:
             p[rows, cls] -= 1
             p /= n
             gradients["class_w"] += hidden.T @ p
-            gradients["class_b"] += p.sum(axis=0)
+            gradients["class_b"] += np.ones(n, p.dtype) @ p
             back = p @ self.w["class_w"].T
         # Rows by class: products class by class, everything else at once.
-        order = np.argsort(cls, kind="stable")
+        order = _order(cls)
         cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
         present = [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
-        h, m = hidden[order], member[order]
+        place = np.empty(n, np.int64)
+        place[order] = rows
+        h, m = hidden.take(order, axis=0), member.take(order)
         q = np.empty((n, MEMBERS), np.result_type(h, self.w["word_w"]))
         for c, own in present:
             np.matmul(h[own], self.w["word_w"][c], out=q[own])
             q[own] += self.w["word_b"][c]
         if gradients is None:
-            out[order] += _picked(q, rows, m)
+            out += _picked(q, rows, m).take(place)
         else:
             _softmax(q)
-            out[order] += np.log(np.maximum(q[rows, m], 1e-30))
+            out += np.log(np.maximum(q[rows, m], 1e-30)).take(place)
             q[rows, m] -= 1
             q /= n
             by_word = np.empty((n, HIDDEN), q.dtype)
             for c, own in present:
-                gradients["word_w"][c] += h[own].T @ q[own]
-                gradients["word_b"][c] += q[own].sum(axis=0)
+                gradients["word_w"][c] += (q[own].T @ h[own]).T
+                gradients["word_b"][c] += np.ones(own.stop - own.start, q.dtype) @ q[own]
                 np.matmul(q[own], self.w["word_w"][c].T, out=by_word[own])
-            back[order] += by_word
+            back += by_word.take(place, axis=0)
         return out, back
 
     def learn(self, streams: np.ndarray) -> float:
@@ -260,25 +277,48 @@ class Network:
 
     def _backward(self, trace: list, back: np.ndarray, g: dict[str, np.ndarray]) -> None:
         u, carry = self.w["recurrent"], np.zeros_like(back[0])
-        given = np.empty((len(trace), len(back[0]), 3 * HIDDEN), back.dtype)
-        past_ = np.empty_like(given)
+        shape = (len(trace), len(back[0]), 3, HIDDEN)
+        given, past_ = np.empty(shape, back.dtype), np.empty(shape, back.dtype)
+        own = np.empty((3, *back[0].shape), back.dtype)
         for t in range(len(trace) - 1, -1, -1):
             x, before, z, r, new, past = trace[t]
-            d = back[t] + carry
+            d = carry + back[t]
             shut = 1 - z
-            d_new = d * shut * (1 - new * new)
-            given[t, :, :HIDDEN] = d * (before - new) * z * shut
-            given[t, :, HIDDEN : 2 * HIDDEN] = d_new * past * r * (1 - r)
-            given[t, :, 2 * HIDDEN :] = d_new
-            past_[t, :, : 2 * HIDDEN] = given[t, :, : 2 * HIDDEN]
-            np.multiply(d_new, r, out=past_[t, :, 2 * HIDDEN :])
-            carry = (d * z + past_[t] @ u.T) * (x != 0)[:, None]
+            d_z, d_r, d_new = own
+            np.multiply(d, shut, out=d_new)
+            d_new *= 1 - new * new
+            np.multiply(d, before - new, out=d_z)
+            d_z *= z
+            d_z *= shut
+            np.multiply(d_new, past, out=d_r)
+            d_r *= r
+            d_r *= 1 - r
+            given[t] = own.transpose(1, 0, 2)
+            d_new *= r
+            past_[t] = own.transpose(1, 0, 2)
+            d *= z
+            d += past_[t].reshape(-1, 3 * HIDDEN) @ u.T
+            d[x == 0] = 0
+            carry = d
         g["recurrent"] += np.concatenate([step[1] for step in trace]).T @ past_.reshape(-1, 3 * HIDDEN)
         # The rows of a symbol are added up before they meet its gradient.
         symbols = np.concatenate([step[0] for step in trace])
-        order = np.argsort(symbols, kind="stable")
+        order = _order(symbols)
         first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
-        g["inputs"][symbols[order[first]]] += np.add.reduceat(given.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+        rows = given.reshape(-1, 3 * HIDDEN).take(order, axis=0)
+        # Two numbers at a time, as the parts of a complex one: sums of complex numbers are sums of their parts.
+        pairs = rows.view(np.result_type(rows.dtype, np.complex64))
+        g["inputs"][symbols[order[first]]] += np.add.reduceat(pairs, first, axis=0).view(rows.dtype)
+
+
+def _gates_first(weights: np.ndarray) -> np.ndarray:
+    """(rows, 3 * HIDDEN) as (3, rows, HIDDEN)."""
+    return np.ascontiguousarray(weights.reshape(-1, 3, HIDDEN).transpose(1, 0, 2))
+
+
+def _order(values: np.ndarray) -> np.ndarray:
+    """The stable order of symbols or classes, by a radix sort, which numpy has for short integers."""
+    return np.argsort(values.astype(np.uint16), kind="stable")
 
 
 def _exponentials(logits: np.ndarray) -> np.ndarray:

@@ -92,6 +92,27 @@ def test_gradients_equal_differences():
             assert (up - down) / 2e-3 == pytest.approx(g[name].reshape(-1)[p], rel=0.03, abs=1e-5)
 
 
+def test_gates_lie_without_gaps_and_equal_the_plain_recurrence():
+    """Arithmetic on gates that lie interleaved takes most of an epoch's time."""
+    net, draw = small()
+    x = draw.integers(0, 40, (9, 6)) * 50
+    x[4] = 0
+    trace, state = [], draw.standard_normal((6, lm.HIDDEN)).astype(np.float32)
+    hidden, last = net.run(x, state, trace)
+    assert all(gate.flags.c_contiguous for step in trace for gate in step[2:])
+    h, n, u = state.astype(float), lm.HIDDEN, net.w["recurrent"].astype(float)
+    for t, given in enumerate(net.w["inputs"].astype(float)[x]):
+        before = h * (x[t] != 0)[:, None]
+        past = before @ u
+        z, r = (1 / (1 + np.exp(-(given + past)[:, i : i + n])) for i in (0, n))
+        new = np.tanh(given[:, 2 * n :] + r * past[:, 2 * n :])
+        h = (1 - z) * new + z * before
+        assert np.allclose(hidden[t], h, atol=1e-6)
+    assert np.array_equal(last, hidden[-1])
+    far = lm.Network({k: v * 1e4 for k, v in net.w.items()}).run(x, state)[0]
+    assert np.isfinite(far).all() and np.abs(far).max() <= max(1, np.abs(state).max())
+
+
 def test_state_is_carried_across_windows(monkeypatch):
     net, draw = small()
     sizes = [0, 1, 63, 64, 65, 300]
