@@ -175,6 +175,37 @@ def test_without_held_out_rows_all_trees_stay(encoded):
     assert (one.rounds, one.errors) == (3, [])
 
 
+def test_a_tree_takes_few_jobs(spark, encoded):
+    """Rows are binned once for all trees: a further tree costs a job a level, and no pass of its own."""
+    rows, inputs = encoded
+    context, jobs = spark.sparkContext, []
+    for number in (4, 12):
+        context.setJobGroup(f"boosting-{number}", "boosting")
+        model.boost_with_patience(rows, inputs, "__held_out", max_iter=number, patience=12, max_depth=2)
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"boosting-{number}")))
+    context._jsc.clearJobGroup()
+    assert jobs[1] - jobs[0] <= 8 * 3
+
+
+def test_later_goes_find_the_same_round(encoded, monkeypatch):
+    """The first go does not end boosting; more trees do, with the trees and errors of one go."""
+    rows, inputs = encoded
+    begun, booster = [], model._booster
+    monkeypatch.setattr(model, "_booster", lambda number, *args, **options: begun.append(number) or booster(number, *args, **options))
+    best = model.boost_with_patience(rows, inputs, "__held_out", max_iter=8, patience=2, max_depth=3)
+    assert begun == [4, 8] and len(best.errors) == 8
+    monkeypatch.undo()
+    whole = model.boosted_trees(inputs, max_iter=best.rounds, max_depth=3).fit(rows.filter("not __held_out"))
+    assert forecasts(best.pipeline.transform(rows)) == pytest.approx(forecasts(whole.transform(rows)), abs=1e-9)
+
+
+@pytest.mark.parametrize(
+    "errors, found", [([], (0, 0)), ([3.0], (1, 0)), ([3.0, 2.0, 2.0, 2.5], (2, 4)), ([3.0, 2.0, 2.5, 1.0, 5.0], (4, 0)), ([1.0, 2.0, 2.0, 0.5], (1, 3))]
+)
+def test_best_round_within_patience(errors, found):
+    assert model.best_round(errors, 2) == found
+
+
 def test_the_number_of_categories_changes_nothing(spark, features):
     columns = model.model_columns(features)
     many = features.withColumn("product", F.concat("product", F.lit("-"), F.monotonically_increasing_id() % 257))
